@@ -102,3 +102,29 @@ def sql_dirty(src: str = "raw_all") -> str:
     CASE WHEN event_id % {BAD_CCY_MOD} = 0 THEN 'XXX' ELSE currency END AS currency)
 FROM {src}"""
     return f"SELECT * FROM ({d}) AS d UNION ALL SELECT * FROM ({d}) AS d2 WHERE event_id % {DOUBLE_MOD} = 0"
+
+
+# FX1-gap (fixed values): the capture day 2024-01-15 is dropped, the day
+# 2024-01-25 is sent three times (the copies captured 1 and 2 microseconds
+# later, so they are distinct quotes that survive de-duplication).
+GAP_DROP_DAY = dt.date(2024, 1, 15)
+GAP_TRIPLE_DAY = dt.date(2024, 1, 25)
+
+
+def gap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = fx1_events(spark, sf_dir)
+    day = F.to_date("captured_at")
+    kept = e.filter(day != F.lit(GAP_DROP_DAY))
+    triple = e.filter(day == F.lit(GAP_TRIPLE_DAY))
+
+    def shifted(us: int) -> DataFrame:
+        return triple.withColumn("captured_at", F.col("captured_at") + F.make_dt_interval(secs=F.lit(us / 1e6)))
+
+    return kept.unionByName(shifted(1)).unionByName(shifted(2))
+
+
+def sql_gap(src: str = "raw_all") -> str:
+    kept = f"SELECT * FROM {src} WHERE CAST(captured_at AS DATE) <> DATE '{GAP_DROP_DAY}'"
+    triple = f"FROM {src} WHERE CAST(captured_at AS DATE) = DATE '{GAP_TRIPLE_DAY}'"
+    shift = "SELECT * REPLACE (captured_at + INTERVAL {n} MICROSECOND AS captured_at) "
+    return f"{kept}\nUNION ALL {shift.format(n=1)}{triple}\nUNION ALL {shift.format(n=2)}{triple}"
