@@ -122,11 +122,15 @@ def upsert_partitioned(
     if current is None:
         _write(batch, path, "overwrite", partition_col)
         return
-    parts = touched_partitions(batch, partition_col)
+    # Stage the batch once: it is used twice (touched partitions, merge) and
+    # is usually the product of normalize + de-dup, not worth recomputing.
+    cols = batch.columns
+    staged = _staged(spark, batch, partition_col, "upsert-batch").select(*cols)
+    parts = touched_partitions(staged, partition_col)
     if not parts:
         return
-    target = current.filter(F.col(partition_col).isin(parts)).select(*batch.columns)
-    merged = upsert_rows(target, batch, key, update_cols).select(*batch.columns)
+    target = current.filter(F.col(partition_col).isin(parts)).select(*cols)
+    merged = upsert_rows(target, staged, key, update_cols).select(*cols)
     _replace_partitions(spark, merged, path, partition_col, "upsert-stage")
 
 

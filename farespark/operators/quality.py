@@ -223,6 +223,42 @@ def union_all(parts: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
+def with_status(counts: DataFrame, severity: str = "error") -> DataFrame:
+    """Add severity and status to (check_name, model, column_name, failures)."""
+    return counts.select(
+        "check_name",
+        "model",
+        F.col("column_name").cast("string").alias("column_name"),
+        F.col("failures").cast("long").alias("failures"),
+        F.lit(severity).alias("severity"),
+        F.when(F.col("failures") == 0, "pass").when(F.lit(severity) == "warn", "warn").otherwise("fail").alias("status"),
+    )
+
+
+def model_column_checks(df: DataFrame, model: str, not_null: list[str], accepted: dict[str, list[str]]) -> DataFrame:
+    """All not_null and accepted_values tests of one model in ONE scan:
+    a single aggregate of ``count_if`` columns, unpivoted to report rows."""
+    aggs, names = [], []
+    for c in not_null:
+        aggs.append(F.count_if(F.col(c).isNull()).alias(f"not_null__{c}"))
+        names.append(f"not_null__{c}")
+    for c, values in accepted.items():
+        aggs.append(F.count_if(F.col(c).isNotNull() & ~F.col(c).isin(values)).alias(f"accepted_values__{c}"))
+        names.append(f"accepted_values__{c}")
+    if not aggs:
+        return None
+    long = df.agg(*aggs).unpivot([], names, "test", "failures")
+    parts = F.split("test", "__")
+    return with_status(
+        long.select(
+            parts.getItem(0).alias("check_name"),
+            F.lit(model).alias("model"),
+            parts.getItem(1).alias("column_name"),
+            "failures",
+        )
+    )
+
+
 class DataTestFailure(RuntimeError):
     pass
 

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from farespark.operators import materialize as M
 from farespark.operators import quality as Qy
 from farespark.params import DEFAULT, Params
 from farespark.plans import duckdb_sql as D
 from farespark.plans import flows, models
 from farespark.schemas import DWH_COLUMNS, RAW
+from farespark.session import scratch_path
 from farespark.sources import variants as V
 
 Q = {}
@@ -177,11 +181,29 @@ GAP_MODELS = GAP + D.stg_base("gap", P, name="stg_base") + D.stg("stg_base") + D
 FX1 = D.fx1_ods(P)
 
 
+_STATE: dict = {}
+_LOCK = threading.Lock()
+
+
 def _dirty_models(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    base = flows.stg_base_of(V.dirty(spark, sf).select(*RAW_COLS), P)
-    stg = models.stg(base)
-    ods = models.ods(stg, P)
-    return {"stg": stg, "ods": ods, "dwh": models.dwh(ods, P), "dm": models.dm(ods, P), "stg_base": base}
+    """The four models over FX1-dirty, materialized once per application:
+    data tests run on stored tables (as they do after a model run), not on
+    a re-computation of every model under every test."""
+    k = (spark.sparkContext.applicationId, sf, "dirty_models")
+    with _LOCK:
+        if k not in _STATE:
+            root = scratch_path(spark, "dq-models")
+            base = flows.stg_base_of(V.dirty(spark, sf).select(*RAW_COLS), P)
+            M.overwrite(base, f"{root}/stg_base")
+            stg = models.stg(spark.read.parquet(f"{root}/stg_base"))
+            M.overwrite(models.ods(stg, P), f"{root}/ods")
+            ods = spark.read.parquet(f"{root}/ods")
+            M.overwrite(models.dwh(ods, P), f"{root}/dwh")
+            M.overwrite(models.dm(ods, P), f"{root}/dm")
+            _STATE[k] = root
+        root = _STATE[k]
+    stg = models.stg(spark.read.parquet(f"{root}/stg_base"))
+    return {name: spark.read.parquet(f"{root}/{name}") for name in ("ods", "dwh", "dm")} | {"stg": stg}
 
 
 def _gap_ods(spark, sf):
@@ -339,17 +361,19 @@ REPORT_COLS = ["check_name", "model", "column_name", "failures", "severity", "st
 
 
 def build_report(m: dict[str, DataFrame], params: Params = P) -> DataFrame:
+    """One row per declared test. Column tests of a model share one
+    scan; unique and relationship tests are one aggregate / anti-join each."""
     parts = []
-    for check, model, col in GENERIC_TESTS:
-        df = m[model]
-        if check == "unique":
-            parts.append(Qy.summary(check, model, col, Qy.dq_unique(df, col)))
-        elif check == "not_null":
-            parts.append(Qy.summary(check, model, col, df.filter(F.col(col).isNull())))
-        elif check == "accepted_values":
-            parts.append(Qy.summary(check, model, col, Qy.dq_accepted_values(df, col, ACCEPTED[col]), count_col="n"))
-        elif check == "relationships":
-            parts.append(Qy.summary(check, model, col, Qy.dq_relationships(df, m["stg"], col)))
+    for model in ("stg", "ods", "dwh", "dm"):
+        tests = [(c, col) for c, mdl, col in GENERIC_TESTS if mdl == model]
+        nn = [col for c, col in tests if c == "not_null"]
+        acc = {col: ACCEPTED[col] for c, col in tests if c == "accepted_values"}
+        parts.append(Qy.model_column_checks(m[model], model, nn, acc))
+        for c, col in tests:
+            if c == "unique":
+                parts.append(Qy.summary(c, model, col, Qy.dq_unique(m[model], col)))
+            elif c == "relationships":
+                parts.append(Qy.summary(c, model, col, Qy.dq_relationships(m[model], m["stg"], col)))
     anomalies = {
         "volume_anomalies": Qy.dq_volume(m["ods"], "captured_at", params),
         "event_freshness_anomalies": Qy.dq_event_freshness(m["ods"], "departure_at", "captured_at", params),

@@ -18,8 +18,28 @@ from pyspark.sql import functions as F
 from farespark.schemas import RAW
 
 
+# Fact tables whose per-row work should use every core (dimension tables
+# are small and are read as they are).
+FACT_TABLES = {"events", "lineitem", "orders"}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return balance(spark, df) if name in FACT_TABLES else df
+
+
+def balance(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """Spread an input that arrives in fewer splits than there are cores.
+
+    A single-row-group file is one scan task, so all per-row work after it
+    (JSON, hashing, partial aggregation) would run on one core. On a
+    cluster reading many files the split count exceeds the parallelism and
+    this is a no-op; it never reduces parallelism.
+    """
+    target = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
 
 
 def events_to_raw(events: DataFrame) -> DataFrame:

@@ -55,11 +55,22 @@ def corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def batch2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Captures from the cut on, plus the late rows and the corrections."""
+    """Captures from the cut on, plus the late rows and the corrections.
+
+    One scan: every event maps to at most one batch-2 row (a new capture,
+    a late one, or the corrected copy of a batch-1 row).
+    """
     e = fx1_events(spark, sf_dir)
-    new = e.filter(F.col("captured_at") >= F.lit(CUT))
-    late = e.filter(is_late(e))
-    return new.unionByName(late).unionByName(corrections(spark, sf_dir))
+    new = F.col("captured_at") >= F.lit(CUT)
+    late = is_late(e)
+    fix = (F.col("captured_at") < F.lit(CUT)) & ~late & (F.col("event_id") % CORRECTION_MOD == 0)
+    fixed_price = F.round(F.col("price").cast("decimal(12,2)") * F.lit(1.1).cast("decimal(2,1)"), 2).cast("double")
+    return e.filter(new | late | fix).withColumns(
+        {
+            "price": F.when(fix, fixed_price).otherwise(F.col("price")),
+            "ingested_at": F.when(fix, F.col("ingested_at") + F.expr("INTERVAL 1 DAY")).otherwise(F.col("ingested_at")),
+        }
+    )
 
 
 def dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
