@@ -99,6 +99,12 @@ def max_value(spark: SparkSession, path: str, column: str, partition_col: str |
     return df.agg(F.max(column)).first()[0]
 
 
+def conform(batch: DataFrame, table: DataFrame) -> DataFrame:
+    """Cast a batch's columns to the stored table's types (same names/order)."""
+    types = {f.name: f.dataType for f in table.schema.fields}
+    return batch.select(*[F.col(c).cast(types[c]).alias(c) if c in types else F.col(c) for c in batch.columns])
+
+
 def touched_partitions(batch: DataFrame, partition_col: str) -> list:
     """Distinct partition values of a batch (calendar days: a bounded list)."""
     return [r[0] for r in batch.select(partition_col).distinct().collect()]
@@ -122,6 +128,9 @@ def upsert_partitioned(
     if current is None:
         _write(batch, path, "overwrite", partition_col)
         return
+    # The stored schema wins: a batch of wider types must not rewrite some
+    # partitions with a different Parquet type (ANSI casts fail on overflow).
+    batch = conform(batch, current)
     # Stage the batch once: it is used twice (touched partitions, merge) and
     # is usually the product of normalize + de-dup, not worth recomputing.
     cols = batch.columns
@@ -151,6 +160,7 @@ def delete_insert_partitioned(
     if current is None:
         _write(new, path, "overwrite", partition_col)
         return
+    new = conform(new, current)
     if since is not None:
         current = current.filter(F.col(partition_col) >= F.lit(since))
     merged = delete_insert_rows(current.select(*new.columns), new, key)

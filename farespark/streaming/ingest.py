@@ -39,6 +39,7 @@ def upsert_newer(spark: SparkSession, batch: DataFrame, path: str, partition_col
     if current is None:
         M.create_partitioned(batch, path, partition_col)
         return
+    batch = M.conform(batch, current)
     parts = M.touched_partitions(batch, partition_col)
     if not parts:
         return
