@@ -41,3 +41,8 @@ def weekday_name(dow: str | Column) -> Column:
 def add_days(ts: str | Column, n: str | Column | int) -> Column:
     n_col = F.lit(n) if isinstance(n, int) else _c(n)
     return _c(ts) + F.make_dt_interval(days=n_col)
+
+
+def iso_date(d: str | Column) -> Column:
+    """Date as ISO text 'yyyy-MM-dd' (H18)."""
+    return F.date_format(_c(d), "yyyy-MM-dd")

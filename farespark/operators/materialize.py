@@ -167,6 +167,32 @@ def delete_insert_partitioned(
     _replace_partitions(spark, merged, path, partition_col, "delete-insert-stage")
 
 
+def create_table(
+    spark: SparkSession,
+    name: str,
+    path: str,
+    schema: T.StructType,
+    partition_cols: list[str] | None = None,
+) -> None:
+    """Create-if-missing catalog table over a path.
+
+    Column types and descriptions come from the StructType; NOT NULL and
+    the primary key are not enforced by Parquet tables, they are the K1/K2
+    checks. Existing partitions under ``path`` are registered.
+    """
+    cols = []
+    for f in schema.fields:
+        comment = (f.metadata or {}).get("comment")
+        c = f"`{f.name}` {f.dataType.simpleString()}"
+        if comment:
+            c += " COMMENT '" + comment.replace("'", "") + "'"
+        cols.append(c)
+    part = f" PARTITIONED BY ({', '.join(partition_cols)})" if partition_cols else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({', '.join(cols)}) USING parquet{part} LOCATION '{path}'")
+    if partition_cols:
+        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+
+
 def align_columns(df: DataFrame, schema: T.StructType) -> DataFrame:
     """``sync_all_columns`` on a DataFrame: add missing columns as NULL,
     drop the ones the target schema no longer has, keep target order (A12)."""

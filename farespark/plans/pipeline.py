@@ -22,7 +22,7 @@ from farespark.operators import materialize as M
 from farespark.operators.ingest import above_watermark, normalize, to_stg_base
 from farespark.params import DEFAULT, Params
 from farespark.plans import models
-from farespark.schemas import DM_COLUMNS, DWH_COLUMNS, ODS_COLUMNS, STG_BASE
+from farespark.schemas import DM_COLUMNS, DWH_COLUMNS, ODS_COLUMNS, STG_BASE, with_column_docs
 
 
 @dataclass(frozen=True)
@@ -78,6 +78,8 @@ def load_stg(spark: SparkSession, raw_batch: DataFrame, layout: Layout, run_ts:
     """Step 1. Returns the STG watermark used (None on the first load)."""
     wm = M.max_value(spark, layout.stg, "captured_at", "captured_date")
     visible = above_watermark(raw_batch, "captured_at", wm)
+    if visible.isEmpty():  # D13: nothing new, nothing written
+        return wm
     rows = _with_cap_date(to_stg_base(visible, run_ts, params))
     M.upsert_partitioned(spark, rows, layout.stg, "record_hash", ["price", "ingested_at"], "captured_date")
     return wm
@@ -91,7 +93,9 @@ def append_ods(spark: SparkSession, layout: Layout, params: Params = DEFAULT):
         # partition pruning: only capture dates from the watermark's day on
         stg = stg.filter(F.col("captured_date") >= F.lit(wm).cast("date"))
     new = models.ods(models.stg(stg.select(*STG_BASE.fieldNames())), params)
-    new = above_watermark(new, "captured_at", wm)
+    new = with_column_docs(above_watermark(new, "captured_at", wm))
+    if new.isEmpty():
+        return wm
     M.append(_with_cap_date(new).sortWithinPartitions("route_key", "departure_at", "captured_at"), layout.ods, "captured_date")
     return wm
 
@@ -99,7 +103,7 @@ def append_ods(spark: SparkSession, layout: Layout, params: Params = DEFAULT):
 def refresh_dwh(spark: SparkSession, layout: Layout, params: Params = DEFAULT):
     """Step 3 (A10): re-open ``captured_date >= max(DWH.captured_date)``."""
     since = M.max_value(spark, layout.dwh, "captured_date")
-    new = models.dwh(read_ods(spark, layout), params, since=since)
+    new = with_column_docs(models.dwh(read_ods(spark, layout), params, since=since))
     if since is None:
         M.create_partitioned(new, layout.dwh, "captured_date")
     else:
@@ -109,7 +113,7 @@ def refresh_dwh(spark: SparkSession, layout: Layout, params: Params = DEFAULT):
 
 def refresh_dm(spark: SparkSession, layout: Layout, params: Params = DEFAULT) -> None:
     """Step 4 (A11): full rebuild of the mart (one row per route: small)."""
-    M.overwrite(models.dm(read_ods(spark, layout), params).coalesce(1), layout.dm)
+    M.overwrite(with_column_docs(models.dm(read_ods(spark, layout), params)), layout.dm)
 
 
 def run_batch(spark: SparkSession, raw_batch: DataFrame, layout: Layout, run_ts: dt.datetime, params: Params = DEFAULT) -> dict:

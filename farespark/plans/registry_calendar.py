@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from farespark.functions.dates import iso_date
 from farespark.functions.numeric import exact_avg
 from farespark.operators import calendar as C
 from farespark.params import DEFAULT
@@ -83,7 +84,7 @@ def q_route_grid(spark, sf):
     return C.route_grid(requests(spark, sf))
 
 
-CAL_COLS = ["route_key", "captured_date", "day_ahead", "departure_date", "demand_coef", "lead_coef", "expected_price"]
+CAL_COLS = ["route_key", "captured_date", "day_ahead", "departure_date", "departure_iso", "demand_coef", "lead_coef", "expected_price"]
 
 
 @register(
@@ -106,7 +107,7 @@ FROM caps c JOIN base b ON c.route_key = b.route_key, (SELECT unnest(generate_se
 FROM cal""",
             ),
         ],
-        "SELECT route_key, captured_date, day_ahead, departure_date, demand_coef, lead_coef, "
+        "SELECT route_key, captured_date, day_ahead, departure_date, strftime(departure_date, '%Y-%m-%d') AS departure_iso, demand_coef, lead_coef, "
         "round(CAST(base_price * demand_coef * lead_coef AS DECIMAL(38,10)), 2) AS expected_price FROM coef",
     ),
     CAL_COLS,
@@ -125,7 +126,58 @@ def q_route_calendar(spark, sf):
         "captured_date",
         F.col("day_ahead").cast("int").alias("day_ahead"),
         "departure_date",
+        iso_date("departure_date").alias("departure_iso"),
         C.demand_coef("departure_date").alias("demand_coef"),
         C.lead_coef(day_idx).alias("lead_coef"),
         C.expected_price("base_price", "departure_date", day_idx).alias("expected_price"),
     )
+
+
+# Per-quote factors over ODS: the lead index is the 0-based day number
+# (days before departure - 1), the base is the route's mean price.
+ODS_BASE_SQL = D.fx1_ods(P) + [
+    ("base", "SELECT route_key, CAST(SUM(price) AS DOUBLE) / COUNT(price) AS base_price FROM ods GROUP BY 1"),
+    (
+        "q",
+        f"""SELECT o.record_hash, o.departure_at, b.base_price,
+       CASE WHEN isodow(o.departure_at) >= 5 THEN CAST({C.WEEKEND_DEMAND} AS DOUBLE) ELSE CAST(1.0 AS DOUBLE) END AS demand_coef,
+       greatest(CAST({C.LEAD_FLOOR} AS DOUBLE), CAST({C.LEAD_START} AS DOUBLE) - CAST(o.days_before_departure - 1 AS DOUBLE) / {C.LEAD_SLOPE_DAYS}) AS lead_coef
+FROM ods o JOIN base b ON o.route_key = b.route_key
+WHERE o.days_before_departure >= 1""",
+    ),
+]
+
+
+def _quotes(spark, sf):
+    ods = flows.fx1_ods(spark, sf, P)
+    base = ods.groupBy("route_key").agg(exact_avg("price").alias("base_price"))
+    return ods.filter(F.col("days_before_departure") >= 1).join(base, "route_key")
+
+
+@register("demand_coef", D.query(ODS_BASE_SQL, "SELECT record_hash, demand_coef FROM q"), ["record_hash", "demand_coef"])
+def q_demand_coef(spark, sf):
+    """H12 on every quote's departure."""
+    return _quotes(spark, sf).select("record_hash", C.demand_coef("departure_at").alias("demand_coef"))
+
+
+@register("lead_coef", D.query(ODS_BASE_SQL, "SELECT record_hash, lead_coef FROM q"), ["record_hash", "lead_coef"])
+def q_lead_coef(spark, sf):
+    """H13 on every quote's lead time."""
+    return _quotes(spark, sf).select("record_hash", C.lead_coef(F.col("days_before_departure") - 1).alias("lead_coef"))
+
+
+@register(
+    "expected_price",
+    D.query(
+        ODS_BASE_SQL,
+        "SELECT record_hash, round(CAST(base_price * demand_coef * lead_coef AS DECIMAL(38,10)), 2) AS expected_price FROM q",
+    ),
+    ["record_hash", "expected_price"],
+)
+def q_expected_price(spark, sf):
+    """The route's seasonal price index at each quote."""
+    q = _quotes(spark, sf)
+    return q.select(
+        "record_hash",
+        C.expected_price("base_price", "departure_at", F.col("days_before_departure") - 1).alias("expected_price"),
+    )

@@ -92,3 +92,31 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert df.columns[0] == "route_key"
+
+
+def test_empty_batch_writes_nothing_and_docs_persist(spark):
+    layout = PL.Layout(scratch_path(spark, "empty"))
+    b1 = V.batch1(spark, SF_SMALL).select(*COLS)
+    PL.run_batch(spark, b1, layout, flows.RUN_TS)
+    before = rows(PL.read_stg_base(spark, layout))
+    info = PL.run_batch(spark, b1.limit(0), layout, flows.RUN_TS)  # D13
+    assert rows(PL.read_stg_base(spark, layout)) == before
+    assert info["stg_watermark"] is not None
+    meta = {f.name: f.metadata for f in spark.read.parquet(layout.dm).schema.fields}
+    assert "comment" in meta["best_search_weekday"]  # A13: descriptions stored with the data
+
+
+def test_create_table_over_partitioned_path(spark):
+    from farespark.schemas import STG_BASE as SB
+
+    layout = PL.Layout(scratch_path(spark, "ddl"))
+    PL.run_batch(spark, V.batch1(spark, SF_SMALL).select(*COLS), layout, flows.RUN_TS)
+    from pyspark.sql import types as T
+
+    schema = T.StructType([*SB.fields, T.StructField("captured_date", T.DateType())])  # StructType.add mutates
+    M.create_table(spark, "stg_raw_flight_prices_t", layout.stg, schema, ["captured_date"])
+    n = spark.table("stg_raw_flight_prices_t").count()
+    assert n == PL.read_stg_base(spark, layout).count() > 0
+    cols = {c.name: c.description for c in spark.catalog.listColumns("stg_raw_flight_prices_t")}
+    assert cols["record_hash"].startswith("sha256")
+    M.create_table(spark, "stg_raw_flight_prices_t", layout.stg, schema, ["captured_date"])  # idempotent
