@@ -103,7 +103,12 @@ def append_ods(spark: SparkSession, layout: Layout, params: Params = DEFAULT):
 def refresh_dwh(spark: SparkSession, layout: Layout, params: Params = DEFAULT):
     """Step 3 (A10): re-open ``captured_date >= max(DWH.captured_date)``."""
     since = M.max_value(spark, layout.dwh, "captured_date")
-    new = with_column_docs(models.dwh(read_ods(spark, layout), params, since=since))
+    ods = M.read_table(spark, layout.ods)
+    if since is not None:
+        # partition pruning: rows within the horizon of a re-opened departure
+        # day were captured at most `horizon_days` before it
+        ods = ods.filter(F.col("captured_date") >= F.date_sub(F.lit(since), params.horizon_days))
+    new = with_column_docs(models.dwh(ods.select(*ODS_COLUMNS), params, since=since))
     if since is None:
         M.create_partitioned(new, layout.dwh, "captured_date")
     else:

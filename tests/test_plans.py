@@ -56,7 +56,13 @@ def test_horizon_filter_reaches_parquet_scan(spark, stored_ods):
 def test_dwh_reopen_pushes_implied_departure_predicate(spark, stored_ods):
     ods = spark.read.parquet(stored_ods)
     p = plan(models.dwh(ods, DEFAULT, since="2024-01-20"))
-    assert "GreaterThanOrEqual(departure_at" in p
+    assert "GreaterThanOrEqual(departure_at" in p and "GreaterThanOrEqual(captured_at" in p
+
+
+def test_dwh_refresh_prunes_old_capture_partitions(spark, stored_ods):
+    ods = spark.read.parquet(stored_ods).filter(F.col("captured_date") >= F.date_sub(F.lit("2024-01-20"), 45))
+    p = plan(models.dwh(ods, DEFAULT, since="2024-01-20"))
+    assert "PartitionFilters: [isnotnull(captured_date" in p and "captured_date" in p
 
 
 def test_column_pruning_on_stored_ods(spark, stored_ods):
