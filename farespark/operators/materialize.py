@@ -76,6 +76,14 @@ def _staged(spark: SparkSession, df: DataFrame, partition_col: str, name: str) -
     return spark.read.parquet(stage)
 
 
+def stage(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to a fresh folder below the shared checkpoint folder and
+    read it back: a reliable lineage cut before overwriting a source."""
+    path = scratch_path(spark, name)
+    _write(df, path, "overwrite", None)
+    return spark.read.parquet(path)
+
+
 def _replace_partitions(spark: SparkSession, new_content: DataFrame, path: str, partition_col: str, name: str) -> None:
     staged = _staged(spark, new_content, partition_col, name)
     _write(staged.select(*new_content.columns), path, "overwrite", partition_col, dynamic=True)

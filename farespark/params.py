@@ -29,6 +29,10 @@ class Params:
     # group) or approx_percentile for very large groups.
     exact_percentiles: bool = True
     approx_accuracy: int = 10000
+    # Mart maintenance: fold each batch's new ODS rows into additive segment
+    # state (True) instead of re-scanning all of ODS per batch (False, the
+    # reference's full rebuild). Both write the whole mart table.
+    incremental_mart: bool = True
     # Anomaly checks (our own control chart; the reference gives no numbers):
     # z-score of a daily metric against the previous `anomaly_window` days,
     # needing `anomaly_min_history` of them, flagged when |z| > threshold.
