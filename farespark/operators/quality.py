@@ -104,29 +104,45 @@ def _day(ts_col: str) -> Column:
     return F.to_date(F.col(ts_col))
 
 
-def dq_volume(df: DataFrame, ts_col: str, params: Params = DEFAULT) -> DataFrame:
+def _recent(df: DataFrame, ts_col: str, since, params: Params) -> DataFrame:
+    """Rows a run that reports days >= ``since`` needs: those days plus the
+    history window before them (a plain predicate: it prunes date
+    partitions and row groups). ``since=None`` keeps everything."""
+    if since is None:
+        return df
+    first = F.date_sub(F.lit(since).cast("date"), params.anomaly_window + 1)
+    return df.filter(_day(ts_col) >= first)
+
+
+def _report_from(out: DataFrame, since) -> DataFrame:
+    return out if since is None else out.filter(F.col("bucket_date") >= F.lit(since).cast("date"))
+
+
+def dq_volume(df: DataFrame, ts_col: str, params: Params = DEFAULT, since=None) -> DataFrame:
     """K5: rows per day (zero days included) as a z-scored series."""
+    df = _recent(df, ts_col, since, params)
     daily = df.groupBy(_day(ts_col).alias("bucket_date")).agg(F.count(F.lit(1)).alias("metric_value"))
     spine = day_spine(daily, "bucket_date")
     series = spine.join(daily, "bucket_date", "left").select(
         "bucket_date", F.coalesce("metric_value", F.lit(0)).cast("double").alias("metric_value")
     )
-    return zscore(series, [], "bucket_date", params=params)
+    return _report_from(zscore(series, [], "bucket_date", params=params), since)
 
 
 def _micros(c: str) -> Column:
     return F.unix_micros(F.col(c).cast("timestamp"))
 
 
-def dq_event_freshness(df: DataFrame, event_col: str, update_col: str, params: Params = DEFAULT) -> DataFrame:
+def dq_event_freshness(df: DataFrame, event_col: str, update_col: str, params: Params = DEFAULT, since=None) -> DataFrame:
     """K6: per update day, max and mean of (update - event) in seconds."""
+    df = _recent(df, update_col, since, params)
     lag_s = (_micros(update_col) - _micros(event_col)) / F.lit(1_000_000.0)
     daily = df.groupBy(_day(update_col).alias("bucket_date")).agg(
         F.max(lag_s).alias("max_lag_seconds"), F.avg(lag_s).alias("avg_lag_seconds")
     )
     long = daily.unpivot(["bucket_date"], ["max_lag_seconds", "avg_lag_seconds"], "metric", "metric_value")
     long = long.withColumn("metric_value", round_num("metric_value", 3).cast("double"))
-    return zscore(long, ["metric"], "bucket_date", params=params)
+    return _report_from(zscore(long, ["metric"], "bucket_date", params=params), since)
 
 
 def _column_metrics(f: T.StructField) -> list[tuple[str, Column]]:
@@ -159,10 +175,11 @@ def column_metric_names(df: DataFrame, columns: list[str]) -> list[tuple[str, st
     return [(c, m) for c in columns for m, _ in _column_metrics(fields[c])]
 
 
-def dq_column_metrics(df: DataFrame, day_col: str, columns: list[str], params: Params = DEFAULT) -> DataFrame:
+def dq_column_metrics(df: DataFrame, day_col: str, columns: list[str], params: Params = DEFAULT, since=None) -> DataFrame:
     """K7/K8: many metrics of many columns in ONE aggregate pass per day,
     unpivoted to (day, column, metric, value), then one z-score window
     partitioned by (column, metric). No query per column."""
+    df = _recent(df, day_col, since, params)
     fields = {f.name: f for f in df.schema.fields}
     aggs, names = [], []
     for col in columns:
@@ -177,28 +194,30 @@ def dq_column_metrics(df: DataFrame, day_col: str, columns: list[str], params: P
     )
     long = daily.select("bucket_date", pairs.alias("p")).select("bucket_date", "p.column_name", "p.metric", "p.metric_value")
     long = long.withColumn("metric_value", round_num("metric_value", 6).cast("double"))
-    return zscore(long, ["column_name", "metric"], "bucket_date", params=params)
+    return _report_from(zscore(long, ["column_name", "metric"], "bucket_date", params=params), since)
 
 
-def dq_dimension(df: DataFrame, day_col: str, dims: list[str], params: Params = DEFAULT) -> DataFrame:
+def dq_dimension(df: DataFrame, day_col: str, dims: list[str], params: Params = DEFAULT, since=None) -> DataFrame:
     """K9: rows per dimension value and day (zeros included), z per value."""
+    df = _recent(df, day_col, since, params)
     daily = df.groupBy(*dims, _day(day_col).alias("bucket_date")).agg(F.count(F.lit(1)).alias("metric_value"))
     spine = day_spine(daily, "bucket_date", dims)
     series = spine.join(daily, [*dims, "bucket_date"], "left").select(
         *dims, "bucket_date", F.coalesce("metric_value", F.lit(0)).cast("double").alias("metric_value")
     )
-    return zscore(series, dims, "bucket_date", params=params)
+    return _report_from(zscore(series, dims, "bucket_date", params=params), since)
 
 
-def dq_freshness(df: DataFrame, day_col: str, params: Params = DEFAULT) -> DataFrame:
+def dq_freshness(df: DataFrame, day_col: str, params: Params = DEFAULT, since=None) -> DataFrame:
     """Days since the previous update, per observed update day."""
+    df = _recent(df, day_col, since, params)
     days = df.groupBy(_day(day_col).alias("bucket_date")).agg(F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy().orderBy("bucket_date")
     gaps = days.select(
         "bucket_date",
         F.datediff("bucket_date", F.lag("bucket_date").over(w)).cast("double").alias("metric_value"),
     )
-    return zscore(gaps, [], "bucket_date", params=params)
+    return _report_from(zscore(gaps, [], "bucket_date", params=params), since)
 
 
 # ------------------------------------------------------------------ report

@@ -5,7 +5,6 @@ from __future__ import annotations
 import threading
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 from farespark.params import DEFAULT
 from farespark.plans import duckdb_sql as D

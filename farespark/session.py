@@ -2,13 +2,29 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
+# Starting point for a large cluster (spark-submit --conf ...): many initial
+# shuffle partitions that AQE coalesces to ~256 MB each, larger input splits,
+# skew-join splitting on, and a broadcast threshold kept small so that only
+# genuinely small sides are broadcast.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.sources.partitionOverwriteMode": "static",
+}
+
+
 def get_spark(
     master: str | None = None,
     shuffle_partitions: int | None = None,
@@ -67,10 +83,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/farespark/{name}-{uuid.uuid4().hex[:12]}"
 
-
-def table_path(root: str, *parts: str) -> str:
-    return "/".join([root.rstrip("/"), *parts])
-
-
-def local_dir_exists(path: str) -> bool:
-    return os.path.isdir(path)

@@ -138,3 +138,20 @@ def test_full_and_incremental_mart_agree_in_pipeline(spark):
             PL.run_batch(spark, b.select(*COLS), layout, flows.RUN_TS, params)
         out[inc] = rows(PL.read_dm(spark, layout))
     assert out[True] == out[False] and out[True]
+
+
+def test_anomaly_checks_since_equal_full_history_rows(spark):
+    from farespark.operators import quality as Qy
+
+    ods = flows.fx1_ods(spark, SF_SMALL)
+    dwh = models.dwh(ods)
+    since = "2024-01-24"
+    cases = [
+        (Qy.dq_volume(ods, "captured_at"), Qy.dq_volume(ods, "captured_at", since=since)),
+        (Qy.dq_event_freshness(ods, "departure_at", "captured_at"), Qy.dq_event_freshness(ods, "departure_at", "captured_at", since=since)),
+        (Qy.dq_column_metrics(ods, "captured_at", ["price"]), Qy.dq_column_metrics(ods, "captured_at", ["price"], since=since)),
+        (Qy.dq_freshness(dwh, "captured_date"), Qy.dq_freshness(dwh, "captured_date", since=since)),
+    ]
+    for full, recent in cases:
+        want = rows(full.filter(F.col("bucket_date") >= F.lit(since).cast("date")))
+        assert rows(recent) == want and want
