@@ -29,6 +29,11 @@ class Params:
     # group) or approx_percentile for very large groups.
     exact_percentiles: bool = True
     approx_accuracy: int = 10000
+    # Exact percentiles through (group, price) counts and a sorted running
+    # sum instead of one in-memory value map per group: one more shuffle,
+    # but a group holding a huge share of the rows spills instead of
+    # holding all its distinct prices in memory.
+    skew_safe_percentiles: bool = False
     # Mart maintenance: fold each batch's new ODS rows into additive segment
     # state (True) instead of re-scanning all of ODS per batch (False, the
     # reference's full rebuild). Both write the whole mart table.

@@ -155,3 +155,15 @@ def test_anomaly_checks_since_equal_full_history_rows(spark):
     for full, recent in cases:
         want = rows(full.filter(F.col("bucket_date") >= F.lit(since).cast("date")))
         assert rows(recent) == want and want
+
+
+def test_skew_safe_percentiles_equal_percentile_disc(spark):
+    ods = flows.fx2_ods(spark, SF_SMALL)
+    a = rows(models.dwh(ods))
+    b = rows(models.dwh(ods, DEFAULT.with_(skew_safe_percentiles=True)))
+    assert a == b and a
+    hot = ods.withColumns(
+        {"route_key": F.lit("k"), "departure_at": F.lit("2024-01-02 00:00:00").cast("timestamp_ntz"),
+         "captured_at": F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"), "days_before_departure": F.lit(1)}
+    )
+    assert rows(models.dwh(hot)) == rows(models.dwh(hot, DEFAULT.with_(skew_safe_percentiles=True)))
