@@ -163,7 +163,7 @@ def test_skew_safe_percentiles_equal_percentile_disc(spark):
     b = rows(models.dwh(ods, DEFAULT.with_(skew_safe_percentiles=True)))
     assert a == b and a
     hot = ods.withColumns(
-        {"route_key": F.lit("k"), "departure_at": F.lit("2024-01-02 00:00:00").cast("timestamp_ntz"),
+        {"route_key": F.lit("k"), "route_origin": F.lit("A"), "route_destination": F.lit("B"), "departure_at": F.lit("2024-01-02 00:00:00").cast("timestamp_ntz"),
          "captured_at": F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"), "days_before_departure": F.lit(1)}
     )
     assert rows(models.dwh(hot)) == rows(models.dwh(hot, DEFAULT.with_(skew_safe_percentiles=True)))
