@@ -223,3 +223,15 @@ def test_calendar_grid_and_coefficients(spark):
     assert cal[0].lc == 1.25 and abs(cal[2].lc - (1.25 - 2 / 120)) < 1e-12
     floor = spark.range(1).select(C.lead_coef(F.lit(200)).alias("x")).first().x
     assert floor == 0.8
+
+
+def test_runner_raises_on_error_not_on_warn(spark):
+    import pytest
+
+    from farespark.operators import quality as Qy
+
+    warn = spark.createDataFrame([("volume_anomalies", "ods", None, 2)], "check_name string, model string, column_name string, failures long")
+    ok = Qy.raise_on_error(Qy.with_status(warn, "warn"))
+    assert ok.first().status == "warn"
+    with pytest.raises(Qy.DataTestFailure):
+        Qy.raise_on_error(Qy.with_status(warn, "error"))
