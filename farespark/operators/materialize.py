@@ -73,7 +73,8 @@ def overwrite(df: DataFrame, path: str) -> None:
 def _staged(spark: SparkSession, df: DataFrame, partition_col: str, name: str) -> DataFrame:
     stage = scratch_path(spark, name)
     _write(df, stage, "overwrite", partition_col)
-    return spark.read.parquet(stage)
+    # read through the known schema: an empty stage has no file to infer from
+    return spark.read.schema(df.schema).parquet(stage)
 
 
 def stage(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
@@ -118,6 +119,18 @@ def touched_partitions(batch: DataFrame, partition_col: str) -> list:
     return [r[0] for r in batch.select(partition_col).distinct().collect()]
 
 
+def staged_partitions(staged: DataFrame, partition_col: str) -> list[str]:
+    """Partition values of a staged, partitioned folder from its file
+    listing (``col=value`` directory names): no job is run."""
+    key = f"/{partition_col}="
+    vals = set()
+    for f in staged.inputFiles():
+        i = f.find(key)
+        if i >= 0:
+            vals.add(f[i + len(key):].split("/", 1)[0])
+    return sorted(vals)
+
+
 def upsert_partitioned(
     spark: SparkSession,
     batch: DataFrame,
@@ -134,6 +147,8 @@ def upsert_partitioned(
     """
     current = read_table(spark, path)
     if current is None:
+        # first load: written directly (an empty batch leaves an empty
+        # folder, which reads as "no table yet")
         _write(batch, path, "overwrite", partition_col)
         return
     # The stored schema wins: a batch of wider types must not rewrite some
@@ -143,10 +158,11 @@ def upsert_partitioned(
     # is usually the product of normalize + de-dup, not worth recomputing.
     cols = batch.columns
     staged = _staged(spark, batch, partition_col, "upsert-batch").select(*cols)
-    parts = touched_partitions(staged, partition_col)
-    if not parts:
+    parts = staged_partitions(staged, partition_col)
+    if not parts:  # empty batch (D13): the table is not touched
         return
-    target = current.filter(F.col(partition_col).isin(parts)).select(*cols)
+    ptype = current.schema[partition_col].dataType
+    target = current.filter(F.col(partition_col).isin([F.lit(p).cast(ptype) for p in parts])).select(*cols)
     merged = upsert_rows(target, staged, key, update_cols).select(*cols)
     _replace_partitions(spark, merged, path, partition_col, "upsert-stage")
 

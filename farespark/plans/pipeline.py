@@ -82,8 +82,7 @@ def load_stg(spark: SparkSession, raw_batch: DataFrame, layout: Layout, run_ts:
     """Step 1. Returns the STG watermark used (None on the first load)."""
     wm = M.max_value(spark, layout.stg, "captured_at", "captured_date")
     visible = above_watermark(raw_batch, "captured_at", wm)
-    if visible.isEmpty():  # D13: nothing new, nothing written
-        return wm
+    # An empty batch stages nothing and leaves the table untouched
     rows = _with_cap_date(to_stg_base(visible, run_ts, params))
     M.upsert_partitioned(spark, rows, layout.stg, "record_hash", ["price", "ingested_at"], "captured_date")
     return wm
@@ -98,8 +97,6 @@ def append_ods(spark: SparkSession, layout: Layout, params: Params = DEFAULT):
         stg = stg.filter(F.col("captured_date") >= F.lit(wm).cast("date"))
     new = models.ods(models.stg(stg.select(*STG_BASE.fieldNames())), params)
     new = with_column_docs(above_watermark(new, "captured_at", wm))
-    if new.isEmpty():
-        return wm
     M.append(_with_cap_date(new).sortWithinPartitions("route_key", "departure_at", "captured_at"), layout.ods, "captured_date")
     return wm
 
@@ -126,15 +123,16 @@ def refresh_dm(spark: SparkSession, layout: Layout, params: Params = DEFAULT) ->
     Full form: from all of ODS. Incremental form: ODS rows past the segment
     state's own watermark are folded into the additive state (bounded size)
     and the mart is rebuilt from it, so a batch scans only new partitions.
-    The state carries its watermark, so a run that failed half-way is
-    caught up by the next one; a lost state is rebuilt from all of ODS.
+    The state carries its watermark and is written as a new version
+    folder, so a run that failed half-way is caught up by the next one.
     """
     if not params.incremental_mart:
         M.overwrite(with_column_docs(models.dm(read_ods(spark, layout), params)), layout.dm)
         return
-    state = M.read_table(spark, layout.dm_segments)
-    wm = None if state is None else state.agg(F.max("through_captured_at")).first()[0]
+    state, version, wm = read_segment_state(spark, layout)
     ods = M.read_table(spark, layout.ods)
+    if ods is None:
+        return
     if wm is not None:
         ods = ods.filter(F.col("captured_date") >= F.lit(wm).cast("date"))
         ods = above_watermark(ods, "captured_at", wm)
@@ -142,14 +140,28 @@ def refresh_dm(spark: SparkSession, layout: Layout, params: Params = DEFAULT) ->
     if through is not None:
         new = models.segment_stats(ods.select(*ODS_COLUMNS), params)
         merged = new if state is None else models.merge_segments(state, new)
-        staged = M.stage(spark, merged.withColumn("through_captured_at", F.lit(through)), "dm-state-stage")
-        M.overwrite(staged, layout.dm_segments)
-    elif state is None:
-        return  # no ODS rows at all yet
-    seg = M.read_table(spark, layout.dm_segments)
+        version = (version or 0) + 1
+        # a new folder per version: the old one stays readable, and a write
+        # that fails never becomes a visible version (no data files commit)
+        merged.withColumn("through_captured_at", F.lit(through)).write.parquet(f"{layout.dm_segments}/v={version}")
+    if version is None:
+        return
+    seg = spark.read.parquet(f"{layout.dm_segments}/v={version}")
     M.overwrite(with_column_docs(models.dm_from_segments(seg, params)), layout.dm)
 
 
+def read_segment_state(spark: SparkSession, layout: Layout):
+    """(state of the newest committed version, its number, its watermark)."""
+    allv = M.read_table(spark, layout.dm_segments)
+    if allv is None:
+        return None, None, None
+    head = allv.agg(F.max(F.struct("v", "through_captured_at")).alias("h")).first()["h"]
+    if head is None:
+        return None, None, None
+    state = allv.filter(F.col("v") == head["v"]).drop("v")
+    return state, head["v"], head["through_captured_at"]
+
+
 def run_batch(spark: SparkSession, raw_batch: DataFrame, layout: Layout, run_ts: dt.datetime, params: Params = DEFAULT) -> dict:
     stg_wm = load_stg(spark, raw_batch, layout, run_ts, params)
     ods_wm = append_ods(spark, layout, params)
