@@ -97,7 +97,7 @@ def append_ods(spark: SparkSession, layout: Layout, params: Params = DEFAULT):
         stg = stg.filter(F.col("captured_date") >= F.lit(wm).cast("date"))
     new = models.ods(models.stg(stg.select(*STG_BASE.fieldNames())), params)
     new = with_column_docs(above_watermark(new, "captured_at", wm))
-    M.append(_with_cap_date(new).sortWithinPartitions("route_key", "departure_at", "captured_at"), layout.ods, "captured_date")
+    M.append(_with_cap_date(new).sortWithinPartitions("captured_date", "route_key", "departure_at", "captured_at"), layout.ods, "captured_date")
     return wm
 
 
