@@ -288,7 +288,7 @@ ROUTE_STATS_COLS = [
         FX1 + D.dm_parts("ods", P),
         "SELECT route_key, route_origin, route_destination, samples_total, route_avg_price, "
         "CAST(round(CAST(route_price_stddev AS DECIMAL(38,10)), 4) AS DOUBLE) AS route_price_stddev, "
-        "route_min_price, route_max_price FROM route_stats",
+        "route_min_price, route_max_price FROM per_route",
     ),
     ROUTE_STATS_COLS,
 )
@@ -329,7 +329,7 @@ def q_daily_agg(spark, sf):
     D.query(
         FX1 + D.dm_parts("ods", P),
         "SELECT route_key, CAST(round(CAST(CASE WHEN route_avg_price = 0 THEN NULL ELSE route_price_stddev / route_avg_price END "
-        "AS DECIMAL(38,10)), 4) AS DOUBLE) AS route_price_cv FROM route_stats",
+        "AS DECIMAL(38,10)), 4) AS DOUBLE) AS route_price_cv FROM per_route",
     ),
     ["route_key", "route_price_cv"],
 )
@@ -385,7 +385,7 @@ def rank_search_slot(spark, sf):
     D.query(
         FX1 + D.dm_parts("ods", P),
         "SELECT r.route_key, r.samples_total, CAST(l.days_before_departure AS INTEGER) AS best_days_before_departure, "
-        "l.avg_price_for_days_before_departure FROM route_stats r LEFT JOIN lead_ranked l ON r.route_key = l.route_key AND l.rn = 1",
+        "l.avg_price_for_days_before_departure FROM per_route r LEFT JOIN lead_ranked l ON r.route_key = l.route_key AND l.rn = 1",
     ),
     ["route_key", "samples_total", "best_days_before_departure", "avg_price_for_days_before_departure"],
 )
@@ -404,7 +404,7 @@ def join_best_lead(spark, sf):
     D.query(
         FX1 + D.dm_parts("ods", P),
         "SELECT r.route_key, r.samples_total, s.search_weekday_num, CAST(s.search_hour AS INTEGER) AS best_search_hour, "
-        "s.avg_price_for_search_slot FROM route_stats r LEFT JOIN slot_ranked s ON r.route_key = s.route_key AND s.rn = 1",
+        "s.avg_price_for_search_slot FROM per_route r LEFT JOIN slot_ranked s ON r.route_key = s.route_key AND s.rn = 1",
     ),
     ["route_key", "samples_total", "search_weekday_num", "best_search_hour", "avg_price_for_search_slot"],
 )
