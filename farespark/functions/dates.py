@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -46,3 +48,20 @@ def add_days(ts: str | Column, n: str | Column | int) -> Column:
 def iso_date(d: str | Column) -> Column:
     """Date as ISO text 'yyyy-MM-dd' (H18)."""
     return F.date_format(_c(d), "yyyy-MM-dd")
+
+
+def wall_lit(v) -> Column:
+    """Literal of a wall-clock value that no time zone can shift.
+
+    ``F.lit(naive datetime)`` makes a session-zone TIMESTAMP through the
+    Python process's local zone; a driver outside UTC would move every
+    watermark. Datetimes become TIMESTAMP_NTZ parsed from ISO text (aware
+    ones are converted to UTC first); dates stay DATE.
+    """
+    if isinstance(v, dt.datetime):
+        if v.tzinfo is not None:
+            v = v.astimezone(dt.timezone.utc).replace(tzinfo=None)
+        return F.lit(v.isoformat(sep=" ")).cast("timestamp_ntz")
+    if isinstance(v, dt.date):
+        return F.lit(v.isoformat()).cast("date")
+    return F.lit(v)

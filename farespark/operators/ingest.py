@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from farespark.functions.dates import wall_lit
 from farespark.functions.keys import record_hash
 from farespark.params import DEFAULT, Params
 from farespark.schemas import PRICE, STG_BASE
@@ -48,7 +49,7 @@ def normalize(raw: DataFrame, run_ts: dt.datetime, params: Params = DEFAULT) ->
         F.coalesce(F.col("ticket_class"), F.lit(params.default_ticket_class)).alias("ticket_class"),
         F.coalesce(F.col("currency"), F.lit(params.default_currency)).alias("currency"),
         _price_col(params).alias("price"),
-        F.coalesce(F.col("ingested_at").cast("timestamp_ntz"), F.lit(run_ts).cast("timestamp_ntz")).alias(
+        F.coalesce(F.col("ingested_at").cast("timestamp_ntz"), wall_lit(run_ts)).alias(
             "ingested_at"
         ),
     )
@@ -71,7 +72,7 @@ def dedupe_latest(df: DataFrame, key: str = "record_hash", order: tuple[str, ...
     """One row per key: the latest ``ingested_at`` wins, ties by price, then
     by the remaining columns (a total order, so reruns agree).
 
-    Written as ``max(struct(...))`` per key: a hash aggregate with map-side
+    Written as ``max(struct(...))`` per key: an aggregate with a map-side
     partial merge, so a hot key is collapsed before the shuffle instead of
     being sorted whole inside one window partition.
     """
@@ -88,13 +89,13 @@ def to_stg_base(raw: DataFrame, run_ts: dt.datetime, params: Params = DEFAULT) -
 def above_watermark(df: DataFrame, column: str, watermark) -> DataFrame:
     """Strict ``column > watermark`` (B8); NULL watermark means epoch."""
     wm = watermark if watermark is not None else EPOCH
-    return df.filter(F.col(column) > F.lit(wm).cast(df.schema[column].dataType))
+    return df.filter(F.col(column) > wall_lit(wm).cast(df.schema[column].dataType))
 
 
 def from_watermark(df: DataFrame, column: str, watermark) -> DataFrame:
     """Inclusive ``column >= watermark`` (the DWH re-opened last day)."""
     wm = watermark if watermark is not None else dt.date(1970, 1, 1)
-    return df.filter(F.col(column) >= F.lit(wm).cast(df.schema[column].dataType))
+    return df.filter(F.col(column) >= wall_lit(wm).cast(df.schema[column].dataType))
 
 
 def upsert_rows(target: DataFrame, batch: DataFrame, key: str, update_cols: list[str]) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from farespark.functions.dates import wall_lit
 from farespark.operators.ingest import delete_insert_rows, upsert_rows
 from farespark.session import scratch_path
 
@@ -104,7 +105,7 @@ def max_value(spark: SparkSession, path: str, column: str, partition_col: str |
         last = df.agg(F.max(partition_col)).first()[0]
         if last is None:
             return None
-        df = df.filter(F.col(partition_col) == F.lit(last))
+        df = df.filter(F.col(partition_col) == wall_lit(last))
     return df.agg(F.max(column)).first()[0]
 
 
@@ -186,7 +187,7 @@ def delete_insert_partitioned(
         return
     new = conform(new, current)
     if since is not None:
-        current = current.filter(F.col(partition_col) >= F.lit(since))
+        current = current.filter(F.col(partition_col) >= wall_lit(since))
     merged = delete_insert_rows(current.select(*new.columns), new, key)
     _replace_partitions(spark, merged, path, partition_col, "delete-insert-stage")
 

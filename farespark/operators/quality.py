@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from farespark.functions.dates import wall_lit
 from farespark.functions.numeric import round_num
 from farespark.params import DEFAULT, Params
 
@@ -110,12 +111,12 @@ def _recent(df: DataFrame, ts_col: str, since, params: Params) -> DataFrame:
     partitions and row groups). ``since=None`` keeps everything."""
     if since is None:
         return df
-    first = F.date_sub(F.lit(since).cast("date"), params.anomaly_window + 1)
+    first = F.date_sub(wall_lit(since).cast("date"), params.anomaly_window + 1)
     return df.filter(_day(ts_col) >= first)
 
 
 def _report_from(out: DataFrame, since) -> DataFrame:
-    return out if since is None else out.filter(F.col("bucket_date") >= F.lit(since).cast("date"))
+    return out if since is None else out.filter(F.col("bucket_date") >= wall_lit(since).cast("date"))
 
 
 def dq_volume(df: DataFrame, ts_col: str, params: Params = DEFAULT, since=None) -> DataFrame:

@@ -18,6 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from farespark.functions.dates import wall_lit
 from farespark.operators import materialize as M
 from farespark.operators.ingest import above_watermark, normalize, to_stg_base
 from farespark.params import DEFAULT, Params
@@ -94,7 +95,7 @@ def append_ods(spark: SparkSession, layout: Layout, params: Params = DEFAULT):
     stg = M.read_table(spark, layout.stg)
     if wm is not None:
         # partition pruning: only capture dates from the watermark's day on
-        stg = stg.filter(F.col("captured_date") >= F.lit(wm).cast("date"))
+        stg = stg.filter(F.col("captured_date") >= wall_lit(wm).cast("date"))
     new = models.ods(models.stg(stg.select(*STG_BASE.fieldNames())), params)
     new = with_column_docs(above_watermark(new, "captured_at", wm))
     M.append(_with_cap_date(new).sortWithinPartitions("captured_date", "route_key", "departure_at", "captured_at"), layout.ods, "captured_date")
@@ -108,7 +109,7 @@ def refresh_dwh(spark: SparkSession, layout: Layout, params: Params = DEFAULT):
     if since is not None:
         # partition pruning: rows within the horizon of a re-opened departure
         # day were captured at most `horizon_days` before it
-        ods = ods.filter(F.col("captured_date") >= F.date_sub(F.lit(since), params.horizon_days))
+        ods = ods.filter(F.col("captured_date") >= F.date_sub(wall_lit(since), params.horizon_days))
     new = with_column_docs(models.dwh(ods.select(*ODS_COLUMNS), params, since=since))
     if since is None:
         M.create_partitioned(new, layout.dwh, "captured_date")
@@ -134,7 +135,7 @@ def refresh_dm(spark: SparkSession, layout: Layout, params: Params = DEFAULT) ->
     if ods is None:
         return
     if wm is not None:
-        ods = ods.filter(F.col("captured_date") >= F.lit(wm).cast("date"))
+        ods = ods.filter(F.col("captured_date") >= wall_lit(wm).cast("date"))
         ods = above_watermark(ods, "captured_at", wm)
     through = ods.agg(F.max("captured_at")).first()[0]
     if through is not None:
@@ -143,7 +144,7 @@ def refresh_dm(spark: SparkSession, layout: Layout, params: Params = DEFAULT) ->
         version = (version or 0) + 1
         # a new folder per version: the old one stays readable, and a write
         # that fails never becomes a visible version (no data files commit)
-        merged.withColumn("through_captured_at", F.lit(through)).write.parquet(f"{layout.dm_segments}/v={version}")
+        merged.withColumn("through_captured_at", wall_lit(through)).write.parquet(f"{layout.dm_segments}/v={version}")
     if version is None:
         return
     seg = spark.read.parquet(f"{layout.dm_segments}/v={version}")
@@ -178,6 +179,6 @@ def skipped_by_watermark(raw_batch: DataFrame, stg_base: DataFrame, watermark, r
     """
     if watermark is None:
         return normalize(raw_batch.limit(0), run_ts, params)
-    at_or_below = raw_batch.filter(F.col("captured_at") <= F.lit(watermark))
+    at_or_below = raw_batch.filter(F.col("captured_at") <= wall_lit(watermark))
     rows = normalize(at_or_below, run_ts, params)
     return rows.join(stg_base.select("record_hash"), "record_hash", "left_anti")

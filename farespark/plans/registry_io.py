@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from farespark.functions.dates import wall_lit
 from farespark.operators import materialize as M
 from farespark.operators.ingest import delete_insert_rows, source_fallback, to_stg_base
 from farespark.operators import report
@@ -192,7 +193,7 @@ def dwh_delete_insert(spark, sf):
     since = old.agg(F.max("captured_date")).first()[0]
     b12 = V.batch1(spark, sf).select(*RAW_COLS)
     wm1 = b12.agg(F.max("captured_at")).first()[0]
-    b2v = V.batch2(spark, sf).select(*RAW_COLS).filter(F.col("captured_at") > F.lit(wm1))
+    b2v = V.batch2(spark, sf).select(*RAW_COLS).filter(F.col("captured_at") > wall_lit(wm1))
     ods_all = flows.ods_of(b12.unionByName(b2v), P)
     new = models.dwh(ods_all, P, since=since)
     return delete_insert_rows(old, new, "feature_key")
@@ -229,7 +230,7 @@ def schema_sync(spark, sf):
             path = scratch_path(spark, "schema-sync")
             b1 = V.batch1(spark, sf).select(*RAW_COLS)
             wm1 = b1.agg(F.max("captured_at")).first()[0]
-            b2v = V.batch2(spark, sf).select(*RAW_COLS).filter(F.col("captured_at") > F.lit(wm1))
+            b2v = V.batch2(spark, sf).select(*RAW_COLS).filter(F.col("captured_at") > wall_lit(wm1))
             old = flows.ods_of(b1, P).drop("departure_day_of_week").withColumn("legacy_note", F.lit("v1"))
             M.append(old.withColumn("captured_date", F.to_date("captured_at")), path, "captured_date")
             new = flows.ods_of(b2v, P)
@@ -279,7 +280,7 @@ def batch_counters(spark, sf):
     b1 = V.batch1(spark, sf).select(*RAW_COLS)
     b2 = V.batch2(spark, sf).select(*RAW_COLS)
     wm = st["batch2"]["stg_watermark"]
-    b2v = b2.filter(F.col("captured_at") > F.lit(wm))
+    b2v = b2.filter(F.col("captured_at") > wall_lit(wm))
 
     def cnt(df: DataFrame, batch: int, counter: str) -> DataFrame:
         return df.agg(F.count(F.lit(1)).alias("n")).select(

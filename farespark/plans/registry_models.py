@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farespark.functions import dates, keys
+from farespark.functions.dates import wall_lit
 from farespark.functions.numeric import exact_avg, round_num, safe_ratio
 from farespark.operators.ingest import above_watermark, json_price, normalize, skip_incomplete
 from farespark.params import DEFAULT
@@ -148,7 +149,7 @@ def filter_self_route(spark, sf):
 def filter_watermark(spark, sf):
     """Strict filter above the max capture of the rows before the cut."""
     stg = flows.fx1_stg(spark, sf)
-    wm = stg.filter(F.col("captured_at") < F.lit(V.CUT)).agg(F.max("captured_at")).first()[0]
+    wm = stg.filter(F.col("captured_at") < wall_lit(V.CUT)).agg(F.max("captured_at")).first()[0]
     return above_watermark(stg, "captured_at", wm)
 
 

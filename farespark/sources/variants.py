@@ -11,6 +11,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from farespark.functions.dates import wall_lit
 from farespark.schemas import RAW
 from farespark.sources.fixtures import fx1_raw
 
@@ -33,13 +34,13 @@ def fx1_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def is_late(df: DataFrame):
-    return (F.col("event_id") % LATE_MOD == 0) & (F.col("captured_at") < F.lit(CUT))
+    return (F.col("event_id") % LATE_MOD == 0) & (F.col("captured_at") < wall_lit(CUT))
 
 
 def batch1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Captures before the cut, minus the rows held back as late."""
     e = fx1_events(spark, sf_dir)
-    return e.filter((F.col("captured_at") < F.lit(CUT)) & ~is_late(e))
+    return e.filter((F.col("captured_at") < wall_lit(CUT)) & ~is_late(e))
 
 
 def corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,9 +62,9 @@ def batch2(spark: SparkSession, sf_dir: str) -> DataFrame:
     a late one, or the corrected copy of a batch-1 row).
     """
     e = fx1_events(spark, sf_dir)
-    new = F.col("captured_at") >= F.lit(CUT)
+    new = F.col("captured_at") >= wall_lit(CUT)
     late = is_late(e)
-    fix = (F.col("captured_at") < F.lit(CUT)) & ~late & (F.col("event_id") % CORRECTION_MOD == 0)
+    fix = (F.col("captured_at") < wall_lit(CUT)) & ~late & (F.col("event_id") % CORRECTION_MOD == 0)
     fixed_price = F.round(F.col("price").cast("decimal(12,2)") * F.lit(1.1).cast("decimal(2,1)"), 2).cast("double")
     return e.filter(new | late | fix).withColumns(
         {
@@ -125,8 +126,8 @@ GAP_TRIPLE_DAY = dt.date(2024, 1, 25)
 def gap(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = fx1_events(spark, sf_dir)
     day = F.to_date("captured_at")
-    kept = e.filter(day != F.lit(GAP_DROP_DAY))
-    triple = e.filter(day == F.lit(GAP_TRIPLE_DAY))
+    kept = e.filter(day != wall_lit(GAP_DROP_DAY))
+    triple = e.filter(day == wall_lit(GAP_TRIPLE_DAY))
 
     def shifted(us: int) -> DataFrame:
         return triple.withColumn("captured_at", F.col("captured_at") + F.make_dt_interval(secs=F.lit(us / 1e6)))

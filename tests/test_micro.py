@@ -235,3 +235,26 @@ def test_runner_raises_on_error_not_on_warn(spark):
     assert ok.first().status == "warn"
     with pytest.raises(Qy.DataTestFailure):
         Qy.raise_on_error(Qy.with_status(warn, "error"))
+
+
+def test_wall_clock_literals_ignore_process_zone(spark):
+    import os
+    import time
+
+    from farespark.functions.dates import wall_lit
+
+    old = os.environ.get("TZ")
+    os.environ["TZ"] = "Asia/Tokyo"
+    time.tzset()
+    try:
+        raw = raw_df(spark, [quote(cap="2024-03-01 09:00:00"), quote(cap="2024-03-01 09:00:01")])
+        kept = above_watermark(raw, "captured_at", T("2024-03-01 09:00:00")).collect()
+        assert [r.captured_at for r in kept] == [T("2024-03-01 09:00:01")]
+        v = spark.range(1).select(wall_lit(T("2024-01-20 12:00:00")).alias("x")).first().x
+        assert v == T("2024-01-20 12:00:00")
+    finally:
+        if old is None:
+            os.environ.pop("TZ", None)
+        else:
+            os.environ["TZ"] = old
+        time.tzset()

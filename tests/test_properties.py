@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from farespark.functions.dates import wall_lit
 from farespark.operators import materialize as M
 from farespark.operators.ingest import delete_insert_rows, to_stg_base
 from farespark.params import DEFAULT
@@ -59,7 +60,7 @@ def test_incremental_pipeline_equals_full_run(spark):
     PL.run_batch(spark, b1, layout, flows.RUN_TS)
     info = PL.run_batch(spark, b2, layout, flows.RUN_TS)
     wm = info["stg_watermark"]
-    full_ods = flows.ods_of(b1.unionByName(b2.filter(F.col("captured_at") > F.lit(wm))))
+    full_ods = flows.ods_of(b1.unionByName(b2.filter(F.col("captured_at") > wall_lit(wm))))
     assert rows(PL.read_ods(spark, layout)) == rows(full_ods)
     assert rows(PL.read_dwh(spark, layout)) == rows(models.dwh(full_ods).select(*DWH_COLUMNS))
     assert rows(PL.read_dm(spark, layout)) == rows(models.dm(full_ods))
