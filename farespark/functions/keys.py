@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 # Fixed text layout of timestamps inside record_hash: microseconds always
 # present, no zone offset (stable across engines; DuckDB equivalent
-# strftime('%Y-%m-%dT%H:%M:%S.%f')).
+# strftime('%Y-%m-%dT%H:%M:%S.%f'); Spark pattern yyyy-MM-dd'T'HH:mm:ss.SSSSSS).
 TS_TEXT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
@@ -21,7 +21,13 @@ def route_key(origin: str | Column, destination: str | Column) -> Column:
 
 
 def ts_text(ts: str | Column) -> Column:
-    return F.date_format(_c(ts), TS_TEXT)
+    """'yyyy-MM-ddTHH:mm:ss.ffffff' of a TIMESTAMP_NTZ, built without any
+    time zone: the NTZ-to-string cast gives the wall clock, the fraction is
+    taken from the seconds field and padded to six digits."""
+    t = _c(ts).cast("timestamp_ntz")
+    whole = F.substring(t.cast("string"), 1, 19)  # 'yyyy-MM-dd HH:mm:ss'
+    micros = (F.extract(F.lit("SECOND"), t) * 1_000_000).cast("long") % 1_000_000
+    return F.concat(F.translate(whole, " ", "T"), F.lit("."), F.lpad(micros.cast("string"), 6, "0"))
 
 
 def record_hash(

@@ -130,14 +130,11 @@ def dq_volume(df: DataFrame, ts_col: str, params: Params = DEFAULT, since=None)
     return _report_from(zscore(series, [], "bucket_date", params=params), since)
 
 
-def _micros(c: str) -> Column:
-    return F.unix_micros(F.col(c).cast("timestamp"))
-
-
 def dq_event_freshness(df: DataFrame, event_col: str, update_col: str, params: Params = DEFAULT, since=None) -> DataFrame:
     """K6: per update day, max and mean of (update - event) in seconds."""
     df = _recent(df, update_col, since, params)
-    lag_s = (_micros(update_col) - _micros(event_col)) / F.lit(1_000_000.0)
+    # zone-free difference of two wall clocks
+    lag_s = F.timestamp_diff("MICROSECOND", F.col(event_col), F.col(update_col)) / F.lit(1_000_000.0)
     daily = df.groupBy(_day(update_col).alias("bucket_date")).agg(
         F.max(lag_s).alias("max_lag_seconds"), F.avg(lag_s).alias("avg_lag_seconds")
     )

@@ -258,3 +258,15 @@ def test_wall_clock_literals_ignore_process_zone(spark):
         else:
             os.environ["TZ"] = old
         time.tzset()
+
+
+def test_hash_text_is_zone_free_in_a_dst_gap(spark):
+    from farespark.functions.keys import ts_text
+
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.sql("SELECT timestamp_ntz'2024-03-10 02:30:00.5' AS t")  # no such local time in New York
+        assert df.select(ts_text("t").alias("x")).first().x == "2024-03-10T02:30:00.500000"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
