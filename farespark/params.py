@@ -38,6 +38,8 @@ class Params:
     # state (True) instead of re-scanning all of ODS per batch (False, the
     # reference's full rebuild). Both write the whole mart table.
     incremental_mart: bool = True
+    # Independent models (DWH, DM) of one run are submitted concurrently.
+    model_threads: int = 2
     # Anomaly checks (our own control chart; the reference gives no numbers):
     # z-score of a daily metric against the previous `anomaly_window` days,
     # needing `anomaly_min_history` of them, flagged when |z| > threshold.

@@ -13,6 +13,7 @@ Order per batch (the reference's schedule, as a plain function order):
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -164,10 +165,20 @@ def read_segment_state(spark: SparkSession, layout: Layout):
 
 
 def run_batch(spark: SparkSession, raw_batch: DataFrame, layout: Layout, run_ts: dt.datetime, params: Params = DEFAULT) -> dict:
+    """One scheduled run. DWH and DM both read only ODS, so they are
+    submitted as concurrent Spark jobs (the reference runs its models on
+    several threads too); the session's scheduler shares the cluster."""
     stg_wm = load_stg(spark, raw_batch, layout, run_ts, params)
     ods_wm = append_ods(spark, layout, params)
-    dwh_since = refresh_dwh(spark, layout, params)
-    refresh_dm(spark, layout, params)
+    if params.model_threads > 1:
+        with ThreadPoolExecutor(max_workers=min(2, params.model_threads)) as pool:
+            dwh_job = pool.submit(refresh_dwh, spark, layout, params)
+            dm_job = pool.submit(refresh_dm, spark, layout, params)
+            dwh_since = dwh_job.result()
+            dm_job.result()
+    else:
+        dwh_since = refresh_dwh(spark, layout, params)
+        refresh_dm(spark, layout, params)
     return {"stg_watermark": stg_wm, "ods_watermark": ods_wm, "dwh_since": dwh_since}
 
 
