@@ -115,11 +115,6 @@ def conform(batch: DataFrame, table: DataFrame) -> DataFrame:
     return batch.select(*[F.col(c).cast(types[c]).alias(c) if c in types else F.col(c) for c in batch.columns])
 
 
-def touched_partitions(batch: DataFrame, partition_col: str) -> list:
-    """Distinct partition values of a batch (calendar days: a bounded list)."""
-    return [r[0] for r in batch.select(partition_col).distinct().collect()]
-
-
 def staged_partitions(staged: DataFrame, partition_col: str) -> list[str]:
     """Partition values of a staged, partitioned folder from its file
     listing (``col=value`` directory names): no job is run."""
@@ -139,12 +134,16 @@ def upsert_partitioned(
     key: str,
     update_cols: list[str],
     partition_col: str,
+    only_newer: str | None = None,
 ) -> None:
     """Keyed upsert into a partitioned table (A4).
 
     The key must determine the partition (record_hash includes captured_at,
     the partition is its date), so a key can only live in the batch's own
-    partitions: only those are read, merged and rewritten.
+    partitions: only those are read, merged and rewritten. With
+    ``only_newer`` (a version column such as ``ingested_at``) a stored row
+    is replaced only by a batch row at least as new, which makes the result
+    independent of batch order and of replays.
     """
     current = read_table(spark, path)
     if current is None:
@@ -164,6 +163,13 @@ def upsert_partitioned(
         return
     ptype = current.schema[partition_col].dataType
     target = current.filter(F.col(partition_col).isin([F.lit(p).cast(ptype) for p in parts])).select(*cols)
+    if only_newer:
+        stored = target.select(key, F.col(only_newer).alias("_stored_version"))
+        staged = (
+            staged.join(stored, key, "left")
+            .filter(F.col("_stored_version").isNull() | (F.col(only_newer) >= F.col("_stored_version")))
+            .select(*cols)
+        )
     merged = upsert_rows(target, staged, key, update_cols).select(*cols)
     _replace_partitions(spark, merged, path, partition_col, "upsert-stage")
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from farespark.functions.keys import route_key
 from farespark.operators import materialize as M
-from farespark.operators.ingest import dedupe_latest, normalize, upsert_rows
+from farespark.operators.ingest import dedupe_latest, normalize
 from farespark.params import DEFAULT, Params
 from farespark.plans import models
 from farespark.schemas import PRICE, RAW, STG_BASE
@@ -35,22 +35,7 @@ def upsert_newer(spark: SparkSession, batch: DataFrame, path: str, partition_col
     """Upsert where a stored row is only replaced by a *newer* version
     (``ingested_at``), so the result does not depend on how files are
     grouped into micro-batches or on replays."""
-    current = M.read_table(spark, path)
-    if current is None:
-        M.create_partitioned(batch, path, partition_col)
-        return
-    batch = M.conform(batch, current)
-    parts = M.touched_partitions(batch, partition_col)
-    if not parts:
-        return
-    target = current.filter(F.col(partition_col).isin(parts)).select(*batch.columns)
-    # keep the batch row only where it is at least as new as the stored one
-    newer = batch.alias("b").join(
-        target.select("record_hash", F.col("ingested_at").alias("_old")).alias("t"), "record_hash", "left"
-    )
-    newer = newer.filter(F.col("_old").isNull() | (F.col("ingested_at") >= F.col("_old"))).select(*batch.columns)
-    merged = upsert_rows(target, newer, "record_hash", ["price", "ingested_at"]).select(*batch.columns)
-    M._replace_partitions(spark, merged, path, partition_col, "stream-upsert-stage")
+    M.upsert_partitioned(spark, batch, path, "record_hash", ["price", "ingested_at"], partition_col, only_newer="ingested_at")
 
 
 def stream_ingest(
