@@ -168,3 +168,23 @@ def test_skew_safe_percentiles_equal_percentile_disc(spark):
          "captured_at": F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"), "days_before_departure": F.lit(1)}
     )
     assert rows(models.dwh(hot)) == rows(models.dwh(hot, DEFAULT.with_(skew_safe_percentiles=True)))
+
+
+def test_report_since_reads_recent_days_only(spark):
+    from farespark.operators import quality as Qy
+    from farespark.plans import registry_dq as R
+
+    ods = flows.fx1_ods(spark, SF_SMALL)
+    stg = models.stg(flows.fx1_stg_base(spark, SF_SMALL))
+    m = {"stg": stg, "ods": ods, "dwh": models.dwh(ods), "dm": models.dm(ods)}
+    since = "2024-01-24"
+    got = {(r.check_name, r.model, r.column_name): r.failures for r in R.build_report(m, since=since).collect()}
+    recent = R.recent_models(m, since)
+    assert recent["ods"].count() < ods.count()
+    for (check, model, col), n in got.items():
+        if check == "not_null":
+            assert n == recent[model].filter(F.col(col).isNull()).count()
+        if check == "unique":
+            assert n == Qy.dq_unique(recent[model], col).count()
+    vol = Qy.dq_volume(ods, "captured_at").filter(F.col("bucket_date") >= F.lit(since).cast("date"))
+    assert got[("volume_anomalies", "ods", None)] == vol.filter("is_anomaly").count()
