@@ -216,12 +216,12 @@ SYNC_SCHEMA = T.StructType(
         SCEN
         + D.stg_base("b1", P, name="s1") + D.stg("s1", name="stg1") + D.ods("stg1", P, name="ods1")
         + D.stg_base("b2v", P, name="s2") + D.stg("s2", name="stg2") + D.ods("stg2", P, name="ods2"),
-        "SELECT * REPLACE (CAST(NULL AS INTEGER) AS departure_day_of_week) FROM ods1 UNION ALL SELECT * FROM ods2",
+        "SELECT * REPLACE (CAST(NULL AS VARCHAR) AS ticket_class) FROM ods1 UNION ALL SELECT * FROM ods2",
     ),
     ODS_COLUMNS,
 )
 def schema_sync(spark, sf):
-    """Old files lack departure_day_of_week and carry an extra column;
+    """Old files lack ticket_class and carry an extra column;
     new files have the current schema; reading through the current schema
     adds the missing column as NULL and drops the removed one."""
     k = _key(spark, sf, "sync")
@@ -231,7 +231,7 @@ def schema_sync(spark, sf):
             b1 = V.batch1(spark, sf).select(*RAW_COLS)
             wm1 = b1.agg(F.max("captured_at")).first()[0]
             b2v = V.batch2(spark, sf).select(*RAW_COLS).filter(F.col("captured_at") > wall_lit(wm1))
-            old = flows.ods_of(b1, P).drop("departure_day_of_week").withColumn("legacy_note", F.lit("v1"))
+            old = flows.ods_of(b1, P).drop("ticket_class").withColumn("legacy_note", F.lit("v1"))
             M.append(old.withColumn("captured_date", F.to_date("captured_at")), path, "captured_date")
             new = flows.ods_of(b2v, P)
             M.append(new.withColumn("captured_date", F.to_date("captured_at")), path, "captured_date")
