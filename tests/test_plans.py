@@ -88,3 +88,23 @@ READ_ONLY = [n for n in REGISTRY if not n.startswith(("stream_", "pipeline", "od
 def test_no_python_in_registered_plans(spark, name):
     p = plan(REGISTRY[name][0](spark, SF_SMALL))
     assert not any(node in p for node in PY_NODES)
+
+
+def test_lineitem_is_never_broadcast(spark):
+    from farespark.sources.fixtures import fx2_raw
+
+    p = plan(fx2_raw(spark, SF_SMALL))
+    # the scan feeding each BroadcastExchange must not be lineitem
+    ids = {m.group(1): m.group(2) for m in re.finditer(r"^\((\d+)\) Scan parquet.*?\nLocation: .*?/(\w+)\.parquet", p, flags=re.M | re.S)}
+    tree = p.split("\n\n")[0]
+    lines = tree.splitlines()
+    for i, line in enumerate(lines):
+        if "BroadcastExchange" in line:
+            depth = len(line) - len(line.lstrip(" :+-"))
+            for below in lines[i + 1:]:
+                if len(below) - len(below.lstrip(" :+-")) <= depth:
+                    break
+                m = re.search(r"Scan parquet\s+\((\d+)\)", below)
+                if m:
+                    assert ids.get(m.group(1)) != "lineitem", below
+    assert "SortMergeJoin" in p
