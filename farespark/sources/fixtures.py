@@ -107,9 +107,9 @@ def fx2_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_suppkey", "l_linenumber", "l_extendedprice", "l_shipdate"
     )
-    # fact-to-fact: always a shuffle (sort-merge) join on the order key. A
-    # column-pruned size estimate can fall under the broadcast threshold and
-    # would otherwise broadcast the lineitem side.
+    # fact-to-fact: always a shuffle (sort-merge) join on the order key,
+    # whatever the size estimates say (a small estimate once made the planner
+    # broadcast the whole lineitem side).
     j = li.hint("merge").join(orders, li.l_orderkey == orders.o_orderkey).join(
         supp, F.col("l_suppkey") == F.col("s_suppkey")
     )
