@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -63,9 +65,9 @@ def get_spark(
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is set by the operator (HDFS / object store) and is
-    only read here. When it is unset (local tests) a private folder is
-    created and registered, so ``DataFrame.checkpoint()`` works too.
+    On a cluster the setting is required: a folder of one machine is not seen
+    by the others. Where it is unset and everything runs on this machine
+    (local master, as in tests), a private folder is created and registered.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -73,11 +75,30 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current
     conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf_dir = tempfile.mkdtemp(prefix="farespark-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package to the Python workers, once for each application."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    made = Path(tempfile.mkdtemp(prefix="farespark-py-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(made, "w") as z:
+        for p in sorted(package.rglob("*.py")):
+            z.write(p, p.relative_to(package.parent))
+    sc.addPyFile(str(made))
+    _shipped.add(sc.applicationId)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder name below the shared checkpoint folder."""
     root = checkpoint_root(spark).rstrip("/")
