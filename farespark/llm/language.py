@@ -123,9 +123,12 @@ def train(rows: DataFrame, max_fit: int = MAX_FIT, clusters: int = CLUSTERS) ->
     rows = rows.where("text is not null and lang is not null").select("doc_id", "text", "lang")
     n, df = document_frequencies(rows)
     idf = np.log((1 + n) / (1 + df)) + 1
-    per = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("_n"))
-    # A pseudo-random share of each language; the rank only keeps the bound where one row repeats very often.
-    part = rows.join(per, "lang").where(F.pmod(F.xxhash64("doc_id", "text", F.lit(7)), F.lit(1 << 30)) < F.lit(max_fit * float(1 << 30)) / F.col("_n"))
+    per = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row a language
+    if not per:
+        return Model([], np.zeros((0, BINS), "f4"), idf, np.zeros(0))
+    # A pseudo-random share of each language.
+    below = F.create_map(*[F.lit(x) for lang, n in sorted(per.items()) for x in (lang, min(1 << 30, (max_fit << 30) // n))])
+    part = rows.where(F.pmod(F.xxhash64("doc_id", "text", F.lit(7)), F.lit(1 << 30)) < F.element_at(below, F.col("lang")))
 
     def vectors(frames):
         for f in frames:
@@ -134,7 +137,7 @@ def train(rows: DataFrame, max_fit: int = MAX_FIT, clusters: int = CLUSTERS) ->
             yield pd.DataFrame(got, columns=["lang", "v"])
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        v = np.stack([np.frombuffer(x, "<f4") for x in pdf["v"][: 2 * max_fit]])
+        v = np.stack([np.frombuffer(x, "<f4") for x in pdf["v"].head(2 * max_fit)])
         c = _clustered(v, clusters)
         cos = v @ c.T
         own = cos.argmax(axis=1)

@@ -115,62 +115,73 @@ def _first_shared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _compare(cosine: float, tables: int, probes: int, scale: float, kind: str):
-    def pairs(x: pd.DataFrame, y: pd.DataFrame | None):
-        """Linked places (i in x, j in y) of one bucket."""
-        u = _unit(x["body"], kind)
-        v = u if y is None else _unit(y["body"], kind)
-        i, j = np.nonzero(u @ v.T >= cosine - 1e-9)
-        if y is None:
-            i, j = i[i < j], j[i < j]
-        if not len(i):
-            return None
-        exact = np.einsum("ij,ij->i", u[i], v[j]) >= cosine
-        i, j = i[exact], j[exact]
-        # The label is part of a bucket's key: compare cells before the label is mixed in.
+    """Links of rows that share a cell. The body holds the cell's number before the label is mixed in, and the vector."""
+    none = np.empty(0, np.int64)
+
+    def opened(rows: pd.DataFrame):
+        width = len(rows["body"].iloc[0])
+        raw = np.frombuffer(b"".join(rows["body"]), np.uint8).reshape(len(rows), width)
+        unit = np.ascontiguousarray(raw[:, 8:]).view(kind).astype("f8")
+        return raw[:, :8].copy().view("<i8")[:, 0], unit / np.linalg.norm(unit, axis=1)[:, None]
+
+    def small(key: np.ndarray, unit: np.ndarray):
+        """Pairs of places in one bucket: rows d apart share one, or none further apart do."""
+        i, d = np.arange(len(key)), 1
+        while True:
+            i = i[i + d < len(key)]
+            i = i[key[i] == key[i + d]]
+            if not len(i):
+                return
+            for at in range(0, len(i), 100_000):
+                p = i[at : at + 100_000]
+                hit = p[np.einsum("ij,ij->i", unit[p], unit[p + d]) >= cosine]
+                yield hit, hit + d
+            d += 1
+
+    def large(u: np.ndarray, v: np.ndarray, same: bool):
+        for at in range(0, len(u), 1024):
+            i, j = np.nonzero(u[at : at + 1024] @ v.T >= cosine - 1e-9)
+            i += at
+            keep = (i < j) if same else np.ones(len(i), bool)
+            i, j = i[keep], j[keep]
+            exact = np.einsum("ij,ij->i", u[i], v[j]) >= cosine
+            yield i[exact], j[exact]
+
+    def told(pairs, cell, x: pd.DataFrame, u, y: pd.DataFrame, v):
+        """ids and weights of the pairs that first meet in this cell."""
+        pairs = [p for p in pairs if len(p[0])]
+        if not pairs:
+            return none, none, none, none
+        i, j = (np.concatenate(p) for p in zip(*pairs))
         used_i, used_j = np.unique(i), np.unique(j)
-        ci = cells(u[used_i], tables, probes, scale)
-        cj = cells(v[used_j], tables, probes, scale)
+        ci, cj = (cells(w[used], tables, probes, scale) for w, used in ((u, used_i), (v, used_j)))
         mine = np.zeros(len(i), bool)
-        cell = x["cell"].iloc[0]
         for at in range(0, len(i), 50_000):
             s = slice(at, at + 50_000)
-            mine[s] = _first_shared(ci[np.searchsorted(used_i, i[s])], cj[np.searchsorted(used_j, j[s])]) == cell
-        return i[mine], j[mine]
+            mine[s] = _first_shared(ci[np.searchsorted(used_i, i[s])], cj[np.searchsorted(used_j, j[s])]) == cell[i[s]]
+        i, j = i[mine], j[mine]
+        a, b = x["id"].to_numpy()[i], y["id"].to_numpy()[j]
+        return a, b, np.concatenate([a, b]), np.concatenate([y["w"].to_numpy()[j], x["w"].to_numpy()[i]])
 
     def compare(rows: pd.DataFrame, other: pd.DataFrame | None):
-        none = np.empty(0, np.int64)
-        a, b, ids, n = [], [], [], []
-        rows = _opened(rows)
-        key = rows["key"].to_numpy()
-        if other is not None:
-            todo = [(rows, _opened(other))]
-        else:
+        out = []
+        # Buckets of vectors of other lengths differ in their keys; a chance meeting of hashes links nothing.
+        for width, x in rows.groupby(rows["body"].map(len), sort=False):
+            cell, u = opened(x)
+            if other is not None:
+                y = other[other["body"].map(len) == width]
+                if len(y):
+                    out.append(told(large(u, (v := opened(y)[1]), False), cell, x, u, y, v))
+                continue
+            key = x["key"].to_numpy()
             cut = np.flatnonzero(key[1:] != key[:-1]) + 1
             starts, ends = np.concatenate([[0], cut]), np.concatenate([cut, [len(key)]])
-            todo = [(rows.iloc[s:e], None) for s, e in zip(starts, ends) if e - s > 1]
-        for x, y in todo:
-            if y is None and len(x) > 1 and x["dim"].nunique() > 1 or y is not None and x["dim"].iloc[0] != y["dim"].iloc[0]:
-                continue  # a chance meeting of hashes
-            got = pairs(x, y)
-            if got is None or not len(got[0]):
-                continue
-            i, j = got
-            z = x if y is None else y
-            xi, zj = x["id"].to_numpy()[i], z["id"].to_numpy()[j]
-            a.append(xi)
-            b.append(zj)
-            ids += [xi, zj]
-            n += [z["w"].to_numpy()[j], x["w"].to_numpy()[i]]
-        cat = lambda x: np.concatenate(x or [none])
-        return cat(a), cat(b), cat(ids), cat(n)
-
-    def _opened(rows: pd.DataFrame) -> pd.DataFrame:
-        """The body holds the cell's number and the vector."""
-        return rows.assign(
-            cell=[int.from_bytes(b[:8], "little", signed=True) for b in rows["body"]],
-            body=[b[8:] for b in rows["body"]],
-            dim=[len(b) for b in rows["body"]],
-        )
+            size = ends - starts
+            some = np.repeat((size > 1) & (size <= 64), size)
+            out.append(told(small(key[some], u[some]), cell[some], x[some], u[some], x[some], u[some]))
+            for s, e in zip(starts[size > 64], ends[size > 64]):
+                out.append(told(large(u[s:e], u[s:e], True), cell[s:e], x.iloc[s:e], u[s:e], x.iloc[s:e], u[s:e]))
+        return tuple(np.concatenate([o[k] for o in out] or [none]) for k in range(4))
 
     return compare
 

@@ -164,15 +164,28 @@ class LibraryEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids as little-endian unsigned 32-bit integers."""
-        split = split_batch(texts)
-        new = list({s for slices in split for s in slices if s not in self.cache})
-        if len(self.cache) + len(new) > CACHE:
+        if len(self.cache) > CACHE:
             self.cache.clear()
-            new = list({s for slices in split for s in slices})
-        for part in itertools.batched(new, 5000):
+        split = split_batch(texts)
+        known = [list(map(self.cache.get, slices)) for slices in split]
+        new = list({s for slices, ids in zip(split, known) if None in ids for s, x in zip(slices, ids) if x is None})
+        self.learn(new)
+        return [b"".join(map(self.cache.__getitem__, s) if None in ids else ids) for s, ids in zip(split, known)]
+
+    def learn(self, new: list[str]) -> None:
+        """Ids of new pre-tokens. Words with their space in front are cut apart again by the library as they were, so
+        it gets many of them as one line and says of each id which word it belongs to."""
+        words = [s for s in new if s[0] == " " and s[1:].isalpha() and s.isascii()]
+        others = [s for s in new if not (s[0] == " " and s[1:].isalpha() and s.isascii())]
+        lines = list(itertools.batched(words, 256))
+        for part in itertools.batched(lines, 64):
+            for line, e in zip(part, self.tokenizer.encode_batch(["".join(x) for x in part], add_special_tokens=False)):
+                ids, word = np.array(e.ids, "<u4"), np.array(e.word_ids)
+                cut = np.searchsorted(word, np.arange(len(line) + 1)).tolist()
+                self.cache.update((s, ids[a:b].tobytes()) for s, a, b in zip(line, cut, cut[1:]))
+        for part in itertools.batched(others, 5000):
             got = self.tokenizer.encode_batch_fast(list(part), add_special_tokens=False)
             self.cache.update((s, np.array(e.ids, "<u4").tobytes()) for s, e in zip(part, got))
-        return [b"".join(map(self.cache.__getitem__, slices)) for slices in split]
 
 
 @functools.lru_cache(maxsize=2)

@@ -112,11 +112,12 @@ def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def edited_likeness(docs: DataFrame) -> DataFrame:
     """Fingerprints of each text and its edited text, and how like they and the next document's are."""
     text = text_of(docs)
-    # A key without nulls: a null id is told from id 0 by the hash.
-    keyed = docs.select(
-        "doc_id", F.coalesce("doc_id", F.lit(0)).cast("long").alias("id"), F.xxhash64(text, F.col("doc_id").isNull()).alias("text_hash"), text.alias("text")
-    )
-    order = land(next_documents(keyed.select("doc_id", "text_hash", F.char_length("text").cast("long").alias("n"))), "winnowing-next")
+    # A key without nulls: the lowest bit of the hash tells a null id from id 0. Both joins below then
+    # need the same columns of a document, and so take the same exchange.
+    hashed = F.xxhash64(text).bitwiseAND(F.lit(-2)).bitwiseOR(F.col("doc_id").isNull().cast("long"))
+    keyed = docs.select(F.coalesce("doc_id", F.lit(0)).cast("long").alias("id"), hashed.alias("text_hash"), text.alias("text"))
+    doc_id = F.when(F.col("text_hash").bitwiseAND(F.lit(1)) == 0, F.col("id"))
+    order = land(next_documents(keyed.select(doc_id.alias("doc_id"), "text_hash", F.char_length("text").cast("long").alias("n"))), "winnowing-next")
     before = order.select(
         F.coalesce("next_id", F.lit(0)).cast("long").alias("id"),
         F.col("next_hash").alias("text_hash"),
@@ -124,7 +125,6 @@ def edited_likeness(docs: DataFrame) -> DataFrame:
         F.col("text_hash").alias("prev_hash"),
         F.floor(F.col("n") / 4).cast("int").alias("need"),
     )
-    # Both joins take the same exchange of the texts with their fingerprints.
     own = fingerprint(keyed, F.col("text"), "fp").withColumn("own", hashes(F.col("fp"))).drop("fp")
     nexts = own.join(before, ["id", "text_hash"]).select(
         F.col("prev_id").alias("id"), F.col("prev_hash").alias("text_hash"), F.expr("left(text, need)").alias("head"), F.col("own").alias("next_own")
@@ -135,7 +135,7 @@ def edited_likeness(docs: DataFrame) -> DataFrame:
     both = fingerprint(both, F.col("edited"), "fp_edited").withColumn("own_edited", hashes(F.col("fp_edited")))
     both = likeness(likeness(both, "own", "own_edited", "near_edited"), "own", "next_own", "near_next")
     return both.select(
-        "doc_id",
+        doc_id.alias("doc_id"),
         F.col("n").alias("n_chars"),
         F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
         written(F.col("own")).alias("fingerprint"),
