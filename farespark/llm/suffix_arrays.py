@@ -5,10 +5,10 @@ from __future__ import annotations
 import numpy as np
 
 
-def suffix_array(text: np.ndarray, depth: int | None = None) -> np.ndarray:
-    """Order of the suffixes of a byte array, by their first ``depth`` bytes at least (all if None).
+def suffix_array(text: np.ndarray) -> np.ndarray:
+    """Order of the suffixes of a byte array.
 
-    Suffixes are first ordered by eight bytes. Then only groups of equal rank
+    Suffixes are first ordered by seven bytes. Then only groups of equal rank
     are refined, by the rank of what follows, doubling the length each time.
     """
     n = len(text)
@@ -23,7 +23,7 @@ def suffix_array(text: np.ndarray, depth: int | None = None) -> np.ndarray:
     rank = np.empty(n, np.int64)
     rank[order] = np.flatnonzero(head)[np.cumsum(head) - 1]
     h = 7
-    while depth is None or h < depth:
+    while True:
         ends = np.concatenate([head[1:], [True]])
         open_ = np.flatnonzero(~(head & ends))  # places in groups of two or more
         if not len(open_):
@@ -86,7 +86,7 @@ def repeated_windows(text: np.ndarray, valid: np.ndarray, length: int) -> tuple[
 
     ``valid``: mask of the starts; a valid window lies within ``text``.
     """
-    order = suffix_array(text, length)
+    order = suffix_array(text)  # whole: Kasai's rule does not hold for suffixes that are ordered by some bytes only
     same = common_prefixes(text, order, length) >= length
     group = np.cumsum(~same) - 1
     live = valid[order]
