@@ -11,7 +11,9 @@ have equal anchors, and consecutive windows mostly share theirs.
    k-gram is found once own no repeated window and go.
 2. A snippet that occurs twice (copies of a document, say) repeats as a whole;
    one of its places stands for all. Only different snippets of one k-gram
-   have to be compared byte by byte.
+   have to be compared byte by byte, and of these only such as share a side: a
+   window holds its k-gram and at least half of its other bytes before or after
+   it, so equal windows have equal bytes on that side.
 3. These are dealt out to shards by the k-gram. Each shard builds a suffix array
    (Larsson-Sadakane) and common prefixes (Kasai); windows whose neighbour in it
    shares ``length`` bytes are repeated. A k-gram with more than ``PIECE``
@@ -69,9 +71,17 @@ def _least(keys: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(keys[: len(keys) - rest], keys[rest:]) if rest else keys
 
 
-def anchors(data: bytes, length: int = LENGTH) -> list[tuple[int, int, int, int]]:
-    """(k-gram hash, snippet hash, first window, last window) of each anchor of a document."""
-    out = []
+def _hash(data: bytes, seed: int) -> int:
+    return xxhash.xxh3_64_intdigest(data, seed) - (1 << 63)
+
+
+def anchors(data: bytes, length: int = LENGTH) -> list[tuple]:
+    """(k-gram hash, snippet hash, first window, last window, left, right) of each anchor of a document.
+
+    left, right: hash of the k-gram and the ``side`` bytes before or after it,
+    None if no window of the anchor holds them.
+    """
+    out, side = [], (length - GRAM) // 2
     for at in range(0, max(0, len(data) - length + 1), _STRETCH):
         part = np.frombuffer(data, np.uint8)[at : at + _STRETCH + length - 1]
         h = _gram_hashes(part)
@@ -80,12 +90,14 @@ def anchors(data: bytes, length: int = LENGTH) -> list[tuple[int, int, int, int]
         first = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
         last = np.concatenate([first[1:] - 1, [len(owner) - 1]])
         grams = h[owner[first]].view(np.int64).tolist()
-        for g, lo, hi in zip(grams, (first + at).tolist(), (last + at).tolist()):
-            out.append((g, xxhash.xxh3_64_intdigest(data[lo : hi + length]) - (1 << 63), lo, hi))
+        for g, place, lo, hi in zip(grams, (owner[first] + at).tolist(), (first + at).tolist(), (last + at).tolist()):
+            left = _hash(data[place - side : place + GRAM], 1) if place - lo >= side else None
+            right = _hash(data[place : place + GRAM + side], 2) if place - hi <= length - GRAM - side else None
+            out.append((g, _hash(data[lo : hi + length], 0), lo, hi, left, right))
     return out
 
 
-_ANCHOR = "doc_id long, text_hash long, gram long, snippet long, lo int, hi int"
+_ANCHOR = "doc_id long, text_hash long, gram long, snippet long, lo int, hi int, sides array<long>"
 
 
 def _anchor_rows(length: int):
@@ -98,10 +110,10 @@ def _anchor_rows(length: int):
                     got = anchors(t.encode("utf-8", "surrogatepass"), length)
                     out += got
                     ids += [n] * len(got)
-                got = pd.DataFrame(out, columns=["gram", "snippet", "lo", "hi"])
+                got = pd.DataFrame([(*x[:4], [s for s in x[4:] if s is not None]) for x in out], columns=["gram", "snippet", "lo", "hi", "sides"])
                 for c in ("doc_id", "text_hash"):
                     got.insert(0, c, part[c].iloc[ids].to_numpy() if ids else [])
-                yield got[["doc_id", "text_hash", "gram", "snippet", "lo", "hi"]]
+                yield got[["doc_id", "text_hash", "gram", "snippet", "lo", "hi", "sides"]]
 
     return rows
 
@@ -190,16 +202,20 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, piece: int = PIECE) ->
     twice = every.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram")
     places = land(every.join(twice, "gram"), "passages-places")
 
-    snippets = places.groupBy("gram", "snippet").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "text_hash", "lo", "hi")).alias("at"))
+    snippets = places.groupBy("gram", "snippet").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "text_hash", "lo", "hi", "sides")).alias("at"))
     snippets = land(snippets, "passages-snippets")
-    kinds = snippets.groupBy("gram").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
-    wanted = snippets.join(kinds, "gram").select(
-        "gram", "snippet", F.ceil(F.col("kinds") / piece).cast("long").alias("shards"), "at.*"
+    several = snippets.groupBy("gram").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1").select("gram")
+    sides = snippets.join(several, "gram").select("gram", "snippet", F.explode("at.sides").alias("side"))
+    shared = sides.groupBy("side").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("side")
+    alike = land(sides.join(shared, "side").select("gram", "snippet").distinct(), "passages-alike")
+    kinds = alike.groupBy("gram").agg(F.count(F.lit(1)).alias("kinds"))
+    wanted = snippets.join(alike, ["gram", "snippet"]).join(kinds, "gram").select(
+        "gram", "snippet", F.ceil(F.col("kinds") / piece).cast("long").alias("shards"), "at.doc_id", "at.text_hash", "at.lo", "at.hi"
     )
     same = F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("d.text_hash") == F.col("w.text_hash"))
     data = (
         keyed.alias("d")
-        .join(wanted.alias("w"), same)
+        .join(wanted.alias("w").hint("merge"), same)  # grows with the documents: never a broadcast
         .select("gram", "snippet", "shards", F.pmod("snippet", "shards").alias("shard"), F.expr(f"substring(cast(d.text as binary), lo + 1, hi - lo + {length})").alias("data"))
     )
     found = land(
