@@ -335,7 +335,7 @@ def dq_freshness(spark, sf):
 
 # ------------------------------------------------------------ K11, K12
 
-# (check, model, column, severity) of the declared tests, in a fixed order.
+# The declared tests (check, model, column), in a fixed order.
 GENERIC_TESTS = [
     ("unique", "stg", "record_hash"), ("not_null", "stg", "record_hash"), ("not_null", "stg", "route_origin"),
     ("not_null", "stg", "route_destination"), ("accepted_values", "stg", "ticket_class"), ("accepted_values", "stg", "currency"),
