@@ -92,12 +92,6 @@ def above_watermark(df: DataFrame, column: str, watermark) -> DataFrame:
     return df.filter(F.col(column) > wall_lit(wm).cast(df.schema[column].dataType))
 
 
-def from_watermark(df: DataFrame, column: str, watermark) -> DataFrame:
-    """Inclusive ``column >= watermark`` (the DWH re-opened last day)."""
-    wm = watermark if watermark is not None else dt.date(1970, 1, 1)
-    return df.filter(F.col(column) >= wall_lit(wm).cast(df.schema[column].dataType))
-
-
 def upsert_rows(target: DataFrame, batch: DataFrame, key: str, update_cols: list[str]) -> DataFrame:
     """Keyed upsert as a relation.
 

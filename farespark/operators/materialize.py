@@ -2,9 +2,9 @@
 
 Tables are partitioned by a date column. A batch rewrites only the
 partitions it can touch: the new content of those partitions is first
-written to a staging folder below the shared checkpoint folder (which cuts
-the lineage to the files about to be replaced), then swapped in with
-dynamic partition overwrite. Everything else in the table is never read.
+written to a staging folder below the table's root (which cuts the lineage
+to the files about to be replaced), then swapped in with dynamic partition
+overwrite; the next change finishes a swap that was interrupted. Everything else in the table is never read.
 """
 
 from __future__ import annotations
@@ -37,6 +37,19 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
         raise
 
 
+def read_synced(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
+    """A table through the columns of ``schema`` (A12, ``sync_all_columns``).
+
+    Columns that older files lack come back NULL, columns that the model has
+    dropped are left out. A column that is stored already keeps its type.
+    """
+    stored = read_table(spark, path)
+    if stored is None:
+        return None
+    types = {f.name: f.dataType for f in stored.schema.fields}
+    return read_table(spark, path, T.StructType([T.StructField(f.name, types.get(f.name, f.dataType)) for f in schema.fields]))
+
+
 def read_first(spark: SparkSession, paths: list[str]) -> DataFrame | None:
     """First existing table among candidate locations."""
     for p in paths:
@@ -46,7 +59,12 @@ def read_first(spark: SparkSession, paths: list[str]) -> DataFrame | None:
     return None
 
 
-def _write(df: DataFrame, path: str, mode: str, partition_col: str | None, dynamic: bool = False) -> None:
+def _write(df: DataFrame, path: str, mode: str, partition_col: str | None, dynamic: bool = False, order: tuple[str, ...] = ()) -> None:
+    if partition_col and not dynamic:
+        # Without it every task writes a file into every day it holds. AQE splits a large day and joins small ones.
+        df = df.hint("rebalance", F.col(partition_col))
+    if order:
+        df = df.sortWithinPartitions(*([partition_col] if partition_col else []), *order)
     w = df.write.mode(mode)
     if dynamic:
         w = w.option("partitionOverwriteMode", "dynamic")
@@ -55,10 +73,10 @@ def _write(df: DataFrame, path: str, mode: str, partition_col: str | None, dynam
     w.parquet(path)
 
 
-def append(df: DataFrame, path: str, partition_col: str | None = None) -> None:
-    """Append files (A3, A9). Rows inside a partition are laid out by the
-    compound lookup key of the raw store when present (A14)."""
-    _write(df, path, "append", partition_col)
+def append(df: DataFrame, path: str, partition_col: str | None = None, order: tuple[str, ...] = ()) -> None:
+    """Append files (A3, A9), clustered by the partition column and sorted
+    by ``order`` (the compound lookup key, A14) within it."""
+    _write(df, path, "append", partition_col, order=order)
 
 
 def create_partitioned(df: DataFrame, path: str, partition_col: str) -> None:
@@ -78,17 +96,31 @@ def _staged(spark: SparkSession, df: DataFrame, partition_col: str, name: str) -
     return spark.read.schema(df.schema).parquet(stage)
 
 
-def stage(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to a fresh folder below the shared checkpoint folder and
-    read it back: a reliable lineage cut before overwriting a source."""
-    path = scratch_path(spark, name)
-    _write(df, path, "overwrite", None)
-    return spark.read.parquet(path)
+def _replace_partitions(spark: SparkSession, new_content: DataFrame, path: str, partition_col: str) -> None:
+    _write(new_content, f"{path}/{SWAP}/rows", "overwrite", partition_col)
+    finish_swap(spark, path, partition_col, new_content.schema)
 
 
-def _replace_partitions(spark: SparkSession, new_content: DataFrame, path: str, partition_col: str, name: str) -> None:
-    staged = _staged(spark, new_content, partition_col, name)
-    _write(staged.select(*new_content.columns), path, "overwrite", partition_col, dynamic=True)
+#: Hidden folder below a table's root with the staged content of the partitions that are being replaced.
+SWAP = "_swap"
+
+
+def finish_swap(spark: SparkSession, path: str, partition_col: str, schema: T.StructType | None = None) -> None:
+    """Moves staged partitions into the table and removes the staging folder.
+
+    Called before a table is read for a change, it also finishes what an
+    interrupted run left: a complete stage is swapped in (again), an
+    incomplete one is dropped, as its batch is still to be loaded.
+    """
+    root = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{SWAP}")
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return
+    if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{SWAP}/rows/_SUCCESS")):
+        staged = read_table(spark, f"{path}/{SWAP}/rows", schema)
+        if staged is not None:
+            _write(staged, path, "overwrite", partition_col, dynamic=True)
+    fs.delete(root, True)
 
 
 def max_value(spark: SparkSession, path: str, column: str, partition_col: str | None = None):
@@ -145,7 +177,8 @@ def upsert_partitioned(
     is replaced only by a batch row at least as new, which makes the result
     independent of batch order and of replays.
     """
-    current = read_table(spark, path)
+    finish_swap(spark, path, partition_col)
+    current = read_synced(spark, path, batch.schema)
     if current is None:
         # first load: written directly (an empty batch leaves an empty
         # folder, which reads as "no table yet")
@@ -171,7 +204,7 @@ def upsert_partitioned(
             .select(*cols)
         )
     merged = upsert_rows(target, staged, key, update_cols).select(*cols)
-    _replace_partitions(spark, merged, path, partition_col, "upsert-stage")
+    _replace_partitions(spark, merged, path, partition_col)
 
 
 def delete_insert_partitioned(
@@ -187,7 +220,8 @@ def delete_insert_partitioned(
     ``new`` only holds partitions ``>= since`` (the re-opened days), so only
     those partitions are read and rewritten; older ones stay untouched.
     """
-    current = read_table(spark, path)
+    finish_swap(spark, path, partition_col)
+    current = read_synced(spark, path, new.schema)
     if current is None:
         _write(new, path, "overwrite", partition_col)
         return
@@ -195,7 +229,7 @@ def delete_insert_partitioned(
     if since is not None:
         current = current.filter(F.col(partition_col) >= wall_lit(since))
     merged = delete_insert_rows(current.select(*new.columns), new, key)
-    _replace_partitions(spark, merged, path, partition_col, "delete-insert-stage")
+    _replace_partitions(spark, merged, path, partition_col)
 
 
 def create_table(
@@ -222,15 +256,3 @@ def create_table(
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({', '.join(cols)}) USING parquet{part} LOCATION '{path}'")
     if partition_cols:
         spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
-
-
-def align_columns(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """``sync_all_columns`` on a DataFrame: add missing columns as NULL,
-    drop the ones the target schema no longer has, keep target order (A12)."""
-    cols = []
-    for f in schema.fields:
-        if f.name in df.columns:
-            cols.append(F.col(f.name).cast(f.dataType).alias(f.name))
-        else:
-            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
-    return df.select(*cols)

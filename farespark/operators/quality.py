@@ -106,13 +106,15 @@ def _day(ts_col: str) -> Column:
 
 
 def _recent(df: DataFrame, ts_col: str, since, params: Params) -> DataFrame:
-    """Rows a run that reports days >= ``since`` needs: those days plus the
-    history window before them (a plain predicate: it prunes date
-    partitions and row groups). ``since=None`` keeps everything."""
+    """Rows a run that reports days >= ``since`` needs: those days plus as many
+    observed days before them as the history window counts and one for the
+    lag, however far back they lie. The days come from one aggregate of the
+    date column; the predicate is a literal then. ``since=None`` keeps everything."""
     if since is None:
         return df
-    first = F.date_sub(wall_lit(since).cast("date"), params.anomaly_window + 1)
-    return df.filter(_day(ts_col) >= first)
+    before = df.select(_day(ts_col).alias("d")).filter(F.col("d") < wall_lit(since).cast("date")).distinct()
+    first = before.orderBy(F.desc("d")).limit(params.anomaly_window + 1).agg(F.min("d")).first()[0]
+    return df.filter(_day(ts_col) >= (wall_lit(since) if first is None else wall_lit(first)).cast("date"))
 
 
 def _report_from(out: DataFrame, since) -> DataFrame:
@@ -168,11 +170,6 @@ def _column_metrics(f: T.StructField) -> list[tuple[str, Column]]:
     return out
 
 
-def column_metric_names(df: DataFrame, columns: list[str]) -> list[tuple[str, str]]:
-    fields = {f.name: f for f in df.schema.fields}
-    return [(c, m) for c in columns for m, _ in _column_metrics(fields[c])]
-
-
 def dq_column_metrics(df: DataFrame, day_col: str, columns: list[str], params: Params = DEFAULT, since=None) -> DataFrame:
     """K7/K8: many metrics of many columns in ONE aggregate pass per day,
     unpivoted to (day, column, metric, value), then one z-score window

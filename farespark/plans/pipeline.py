@@ -24,7 +24,7 @@ from farespark.operators import materialize as M
 from farespark.operators.ingest import above_watermark, normalize, to_stg_base
 from farespark.params import DEFAULT, Params
 from farespark.plans import models
-from farespark.schemas import DM_COLUMNS, DWH_COLUMNS, ODS_COLUMNS, STG_BASE, with_column_docs
+from farespark.schemas import DM_COLUMNS, DWH, DWH_COLUMNS, ODS, ODS_COLUMNS, STG_BASE, with_column_docs
 
 
 @dataclass(frozen=True)
@@ -55,6 +55,10 @@ class Layout:
     def dm_segments(self) -> str:
         return f"{self.root}/dm_segment_state"
 
+    @property
+    def dm_segment_commits(self) -> str:
+        return f"{self.root}/dm_segment_commits"
+
 
 def _with_cap_date(df: DataFrame) -> DataFrame:
     return df.withColumn("captured_date", F.to_date("captured_at"))
@@ -66,12 +70,12 @@ def read_stg_base(spark: SparkSession, layout: Layout) -> DataFrame | None:
 
 
 def read_ods(spark: SparkSession, layout: Layout) -> DataFrame | None:
-    df = M.read_table(spark, layout.ods)
+    df = M.read_synced(spark, layout.ods, ODS)
     return None if df is None else df.select(*ODS_COLUMNS)
 
 
 def read_dwh(spark: SparkSession, layout: Layout) -> DataFrame | None:
-    df = M.read_table(spark, layout.dwh)
+    df = M.read_synced(spark, layout.dwh, DWH)
     return None if df is None else df.select(*DWH_COLUMNS)
 
 
@@ -82,6 +86,7 @@ def read_dm(spark: SparkSession, layout: Layout) -> DataFrame | None:
 
 def load_stg(spark: SparkSession, raw_batch: DataFrame, layout: Layout, run_ts: dt.datetime, params: Params = DEFAULT):
     """Step 1. Returns the STG watermark used (None on the first load)."""
+    M.finish_swap(spark, layout.stg, "captured_date")
     wm = M.max_value(spark, layout.stg, "captured_at", "captured_date")
     visible = above_watermark(raw_batch, "captured_at", wm)
     # An empty batch stages nothing and leaves the table untouched
@@ -94,19 +99,24 @@ def append_ods(spark: SparkSession, layout: Layout, params: Params = DEFAULT):
     """Step 2 (A9): strict ``captured_at > max(ODS.captured_at)`` append."""
     wm = M.max_value(spark, layout.ods, "captured_at", "captured_date")
     stg = M.read_table(spark, layout.stg)
+    if stg is None:  # nothing has been loaded yet (D13)
+        return None
     if wm is not None:
         # partition pruning: only capture dates from the watermark's day on
         stg = stg.filter(F.col("captured_date") >= wall_lit(wm).cast("date"))
     new = models.ods(models.stg(stg.select(*STG_BASE.fieldNames())), params)
     new = with_column_docs(above_watermark(new, "captured_at", wm))
-    M.append(_with_cap_date(new).sortWithinPartitions("captured_date", "route_key", "departure_at", "captured_at"), layout.ods, "captured_date")
+    M.append(_with_cap_date(new), layout.ods, "captured_date", order=("route_key", "departure_at", "captured_at"))
     return wm
 
 
 def refresh_dwh(spark: SparkSession, layout: Layout, params: Params = DEFAULT):
     """Step 3 (A10): re-open ``captured_date >= max(DWH.captured_date)``."""
+    M.finish_swap(spark, layout.dwh, "captured_date")
     since = M.max_value(spark, layout.dwh, "captured_date")
-    ods = M.read_table(spark, layout.ods)
+    ods = M.read_synced(spark, layout.ods, ODS)
+    if ods is None:
+        return None
     if since is not None:
         # partition pruning: rows within the horizon of a re-opened departure
         # day were captured at most `horizon_days` before it
@@ -125,16 +135,18 @@ def refresh_dm(spark: SparkSession, layout: Layout, params: Params = DEFAULT) ->
     Full form: from all of ODS. Incremental form: ODS rows past the segment
     state's own watermark are folded into the additive state (bounded size)
     and the mart is rebuilt from it, so a batch scans only new partitions.
-    The state carries its watermark and is written as a new version
-    folder, so a run that failed half-way is caught up by the next one.
+    The state is written as a new version folder and counts once its commit
+    row is written, which names its watermark and parameters. So a run that
+    failed half-way is caught up by the next one, which writes over what it
+    left, and other parameters build the state anew.
     """
-    if not params.incremental_mart:
-        M.overwrite(with_column_docs(models.dm(read_ods(spark, layout), params)), layout.dm)
-        return
-    state, version, wm = read_segment_state(spark, layout)
-    ods = M.read_table(spark, layout.ods)
+    ods = M.read_synced(spark, layout.ods, ODS)
     if ods is None:
         return
+    if not params.incremental_mart:
+        M.overwrite(with_column_docs(models.dm(ods.select(*ODS_COLUMNS), params)), layout.dm)
+        return
+    state, version, wm = read_segment_state(spark, layout, params)
     if wm is not None:
         ods = ods.filter(F.col("captured_date") >= wall_lit(wm).cast("date"))
         ods = above_watermark(ods, "captured_at", wm)
@@ -142,26 +154,36 @@ def refresh_dm(spark: SparkSession, layout: Layout, params: Params = DEFAULT) ->
     if through is not None:
         new = models.segment_stats(ods.select(*ODS_COLUMNS), params)
         merged = new if state is None else models.merge_segments(state, new)
-        version = (version or 0) + 1
-        # a new folder per version: the old one stays readable, and a write
-        # that fails never becomes a visible version (no data files commit)
-        merged.withColumn("through_captured_at", wall_lit(through)).write.parquet(f"{layout.dm_segments}/v={version}")
-    if version is None:
+        version += 1
+        M.overwrite(merged, f"{layout.dm_segments}/v={version}")
+        commit = spark.range(1).select(
+            F.lit(version).cast("long").alias("v"), wall_lit(through).alias("through_captured_at"), F.lit(_built_with(params)).alias("built_with")
+        )
+        M.append(commit, layout.dm_segment_commits)
+    elif state is None:
         return
     seg = spark.read.parquet(f"{layout.dm_segments}/v={version}")
     M.overwrite(with_column_docs(models.dm_from_segments(seg, params)), layout.dm)
 
 
-def read_segment_state(spark: SparkSession, layout: Layout):
-    """(state of the newest committed version, its number, its watermark)."""
-    allv = M.read_table(spark, layout.dm_segments)
-    if allv is None:
-        return None, None, None
-    head = allv.agg(F.max(F.struct("v", "through_captured_at")).alias("h")).first()["h"]
+def _built_with(params: Params) -> str:
+    """The parameters that the segment state depends on."""
+    return f"currency={params.currency} mart_horizon_days={params.mart_horizon_days}"
+
+
+def read_segment_state(spark: SparkSession, layout: Layout, params: Params = DEFAULT):
+    """(state, version, watermark) of the newest committed version.
+
+    The state and the watermark are None if there is no version or it was
+    built with other parameters. Only that version's folder is read.
+    """
+    commits = M.read_table(spark, layout.dm_segment_commits)
+    head = None if commits is None else commits.agg(F.max(F.struct("v", "through_captured_at", "built_with")).alias("h")).first()["h"]
     if head is None:
-        return None, None, None
-    state = allv.filter(F.col("v") == head["v"]).drop("v")
-    return state, head["v"], head["through_captured_at"]
+        return None, 0, None
+    if head["built_with"] != _built_with(params):
+        return None, head["v"], None
+    return spark.read.parquet(f"{layout.dm_segments}/v={head['v']}"), head["v"], head["through_captured_at"]
 
 
 def run_batch(spark: SparkSession, raw_batch: DataFrame, layout: Layout, run_ts: dt.datetime, params: Params = DEFAULT) -> dict:

@@ -174,8 +174,7 @@ def raw_append(spark, sf):
             path = scratch_path(spark, "raw")
             for b in (V.batch1(spark, sf), V.batch2(spark, sf)):
                 rows = b.select(*RAW_COLS).withColumn("captured_date", F.to_date("captured_at"))
-                rows = rows.sortWithinPartitions("captured_date", "route_origin", "route_destination", "departure_at", "captured_at")
-                M.append(rows, path, "captured_date")
+                M.append(rows, path, "captured_date", order=("route_origin", "route_destination", "departure_at", "captured_at"))
             _STATE[k] = path
     return spark.read.parquet(_STATE[k]).select(*RAW_COLS)
 

@@ -108,6 +108,26 @@ DM_COLUMNS = [
     "route_max_price",
 ]
 
+_TYPES = {
+    "departure_at": TS,
+    "captured_at": TS,
+    "departure_date": T.DateType(),
+    "captured_date": T.DateType(),
+    "days_before_departure": T.IntegerType(),
+    "departure_day_of_week": T.IntegerType(),
+    "price": PRICE,
+    "min_price": PRICE,
+    "max_price": PRICE,
+    "p25_price": PRICE,
+    "p50_price": PRICE,
+    "avg_price": T.DoubleType(),
+    "prev_avg_price": T.DoubleType(),
+    "avg_price_7d": T.DoubleType(),
+}
+# What the stored tables hold now; files written before a column was added lack it.
+ODS = T.StructType([T.StructField(c, _TYPES.get(c, T.StringType())) for c in [*ODS_COLUMNS, "captured_date"]])
+DWH = T.StructType([T.StructField(c, _TYPES.get(c, T.StringType())) for c in DWH_COLUMNS])
+
 # Columns the reports read from the mart.
 DM_READ_COLUMNS = [
     "route_origin",

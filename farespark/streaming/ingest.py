@@ -11,9 +11,11 @@ re-run from the checkpoint and the upsert gives the same state again.
 from __future__ import annotations
 
 import datetime as dt
+import threading
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 from farespark.functions.keys import route_key
 from farespark.operators import materialize as M
@@ -23,6 +25,45 @@ from farespark.plans import models
 from farespark.schemas import PRICE, RAW, STG_BASE
 
 
+class _Totals(StreamingQueryListener):
+    """Sums over every micro-batch; a query's own progress list keeps only the last ones."""
+
+    def __init__(self):
+        self.batches: dict[str, dict[int, tuple[int, int]]] = {}
+        self.ended: dict[str, threading.Event] = {}
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        p = event.progress
+        late = sum(s.numRowsDroppedByWatermark for s in p.stateOperators)
+        rows, dropped = self.batches.setdefault(str(p.runId), {}).get(p.batchId, (0, 0))
+        self.batches[str(p.runId)][p.batchId] = (rows + p.numInputRows, dropped + late)
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        self.ended.setdefault(str(event.runId), threading.Event()).set()
+
+
+def _drain(spark: SparkSession, start) -> tuple[int, int, int]:
+    """Runs a query to its end: micro-batches, input rows, rows dropped by the watermark."""
+    totals = _Totals()
+    spark.streams.addListener(totals)
+    try:
+        q = start()
+        q.awaitTermination()
+        # The listener hears of a query's end after all its progress.
+        if not totals.ended.setdefault(str(q.runId), threading.Event()).wait(60):
+            raise RuntimeError("the stream ended, but its progress did not arrive")
+    finally:
+        spark.streams.removeListener(totals)
+    of = totals.batches.get(str(q.runId), {})
+    return len(of), sum(r for r, _ in of.values()), sum(d for _, d in of.values())
+
+
 def raw_stream(spark: SparkSession, landing: str, max_files: int | None = None) -> DataFrame:
     """File stream of raw quotes with the explicit RAW schema (never inferred)."""
     r = spark.readStream.schema(RAW)
@@ -54,14 +95,9 @@ def stream_ingest(
         b = dedupe_latest(batch).select(*STG_BASE.fieldNames()).withColumn("captured_date", F.to_date("captured_at"))
         upsert_newer(spark, b, stg_path)
 
-    q = (
-        rows.writeStream.foreachBatch(apply)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    q.awaitTermination()
-    return {"batches": len(q.recentProgress), "rows": sum(p["numInputRows"] for p in q.recentProgress)}
+    writer = rows.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    batches, n, _ = _drain(spark, writer.start)
+    return {"batches": batches, "rows": n}
 
 
 def stream_daily(
@@ -101,17 +137,12 @@ def stream_daily(
         F.col("min_price").cast(PRICE).alias("min_price"),
         F.col("max_price").cast(PRICE).alias("max_price"),
     )
-    q = (
+    writer = (
         out.writeStream.format("parquet")
         .option("path", out_path)
         .option("checkpointLocation", checkpoint)
         .outputMode("append")
         .trigger(availableNow=True)
-        .start()
     )
-    q.awaitTermination()
-    dropped = 0
-    for p in q.recentProgress:
-        for s in p.get("stateOperators", []):
-            dropped += s.get("numRowsDroppedByWatermark", 0)
-    return {"batches": len(q.recentProgress), "rows_dropped_by_watermark": dropped}
+    batches, _, dropped = _drain(spark, writer.start)
+    return {"batches": batches, "rows_dropped_by_watermark": dropped}
