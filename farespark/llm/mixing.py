@@ -30,7 +30,7 @@ from fractions import Fraction
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from farespark.llm.common import table, text_of
+from farespark.llm.common import land, table, text_of
 
 BUCKETS = 12  # bits: 4096 ranges of the drawn order
 LEVELS = ("_domain", "_language", "_source")
@@ -132,7 +132,8 @@ def mixed(docs: DataFrame, mix: Mixture, domain: Column, id_col: str = "doc_id")
             "_tokens": tokens_of(text_of(docs)),
         }
     )
-    narrow = told.select(*LEVELS, "_key", "_text_hash", "_tokens")
+    # Read three times below: the words of a text are counted once for it.
+    narrow = land(told.select(*LEVELS, "_key", "_text_hash", "_tokens"), "mixing-rows")
     sums = narrow.groupBy(*LEVELS).agg(F.sum("_tokens").alias("n")).collect()
     leaves = {tuple(r[c] for c in LEVELS): r["n"] for r in sums}
     budget = int(Fraction(str(mix.fraction)) * sum(leaves.values()))
