@@ -5,6 +5,12 @@ weights of its features), a document the noisy-or of its sentences:
 1 - prod(1 - s). The weights are fitted to document labels only, by the
 noisy-or likelihood; the sentence scores then tell which sentences offend.
 
+Every sentence adds a little to a noisy-or, so that length alone would make a
+text toxic. The strongest sentence therefore counts in full, and the others of
+a document beyond the usual length (``USUAL`` of the clean documents of the fit
+are no longer) count by their mean: they add as much as in a document of the
+usual length. Documents up to that length have the plain noisy-or.
+
 Features: each distinct word of a sentence, and its first ``PREFIXES``
 letters, lower-cased. Counts of features by label are taken over every
 labelled document (each document counts once for a feature) by a partial
@@ -39,6 +45,8 @@ MIN_DOCS = 12
 RATIO = 4.0
 MAX_FEATURES = 50_000
 ROUNDS = 150
+#: The share of the clean documents of the fit that have the usual length or less, in sentences.
+USUAL = 0.9
 
 _WORD = re.compile(r"[^\W\d_]+")
 _SENTENCE = re.compile(r"[^.!?\n]+(?:[.!?]+|\n|$)")
@@ -62,10 +70,10 @@ def features(sentence: str) -> set[str]:
 
 
 class Model:
-    """weights: feature -> weight; bias of a sentence."""
+    """weights: feature -> weight; bias of a sentence; usual length of a document in sentences."""
 
-    def __init__(self, weights: dict[str, float], bias: float, trained: bool = True):
-        self.bias, self.trained, self.weights = bias, trained, weights
+    def __init__(self, weights: dict[str, float], bias: float, trained: bool = True, usual: float = 1.0):
+        self.bias, self.trained, self.weights, self.usual = bias, trained, weights, usual
         # A sentence's features come from its words, so the weight of a word is looked up once.
         self.words: dict[str, float] = {}
         self.plain = 1 / (1 + np.exp(-bias)) if trained else 0.0
@@ -88,7 +96,9 @@ class Model:
         low = text.lower()
         moved = len(low) != len(text)
         miss, found, n_plain = 0.0, [], 0
-        for s, e in sentences(text):
+        spans = sentences(text)
+        most = np.log1p(-self.plain) if spans else 0.0
+        for s, e in spans:
             part = text[s:e].lower() if moved else low[s:e]
             held = set()
             for w in _WORD.findall(part):
@@ -99,10 +109,14 @@ class Model:
                 continue
             z = self.bias + sum(map(self.weights.__getitem__, held))
             p = 1 / (1 + np.exp(-min(max(z, -40.0), 40.0)))
-            miss += np.log1p(-min(p, 1 - 1e-12))
+            one = np.log1p(-min(p, 1 - 1e-12))
+            miss, most = miss + one, min(most, one)
             if at_least is not None and p >= at_least:
                 found.append((s, e, float(p)))
         miss += n_plain * np.log1p(-self.plain)
+        if len(spans) > self.usual:
+            # The strongest sentence, and the others as in a document of the usual length.
+            miss = most + (miss - most) * (self.usual - 1) / (len(spans) - 1)
         return float(-np.expm1(miss)), found
 
 
@@ -141,7 +155,8 @@ def fit(bags: list[list[set[str]]], labels: np.ndarray, vocabulary: list[str], r
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         move = rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-9)
         w, b = w - move[:-1], min(b - move[-1], -1.0)
-    return Model({f: float(x) for f, x in zip(vocabulary, w) if abs(x) > 0.05}, float(b))
+    usual = np.quantile([len(bag) for bag, y in zip(bags, labels) if not y > 0], USUAL)
+    return Model({f: float(x) for f, x in zip(vocabulary, w) if abs(x) > 0.05}, float(b), usual=max(float(usual), 1.0))
 
 
 def _bag(text: str | None) -> list[set[str]]:

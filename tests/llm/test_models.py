@@ -71,6 +71,33 @@ def test_offending_sentence_is_found(spark):
         assert len(said) == r["toxic"] and all("vilest" in s for s in said)
 
 
+def test_length_alone_is_not_toxic(spark, tmp_path):
+    """Clean documents of tens of thousands of sentences stay; the same with one toxic sentence go."""
+    rng = np.random.default_rng(7)
+    plain = [f"word{i}" for i in range(60)]
+    mixed = [f"{a}{i}x" for i in range(12) for a in ("mild", "calm")]  # seen in both kinds of documents
+
+    def sentence(bad: bool = False) -> str:
+        words = list(rng.choice(plain, 8)) + (["vilest"] if bad else []) + ([str(rng.choice(mixed))] if rng.random() < 0.02 else [])
+        return " ".join(words) + "."
+
+    rows = []
+    for i in range(600):
+        toxic = int(i % 5 == 0)
+        bad = int(rng.integers(30)) if toxic else -1
+        rows.append((i, " ".join(sentence(n == bad) for n in range(30)), toxic))
+    long = [sentence() for _ in range(40_000)]
+    texts = {1000: " ".join(long), 1001: " ".join([*long[:25_000], sentence(True), *long[25_000:]]), 1002: "Nothing known here. " * 50_000}
+    docs = [(i, t) for i, t, _ in rows] + list(texts.items())
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    got = {r["doc_id"]: r for r in toxicity.op8_toxicity(spark, str(tmp_path)).collect()}
+    assert [got[i]["predicted"] for i in texts] == [0, 1, 0]
+    assert got[1001]["n_offending"] == 1 and got[1000]["n_offending"] == got[1002]["n_offending"] == 0
+    kept = toxicity.drop_toxic(*(spark.read.parquet(str(tmp_path / f"{t}.parquet")) for t in ("documents", "labels")))
+    assert {r["doc_id"] for r in kept.collect()} & set(texts) == {1000, 1002}
+
+
 def test_drop_toxic_keeps_columns(spark, edge):
     docs = spark.read.parquet(f"{edge}/documents.parquet")
     kept = toxicity.drop_toxic(docs, spark.read.parquet(f"{edge}/labels.parquet"))
