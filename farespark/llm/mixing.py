@@ -5,8 +5,10 @@ children by weight; a child that has fewer tokens than its part (times
 ``max_epochs``) takes what it has, and what it leaves goes to its siblings by
 their weights. Only what a whole family cannot take goes up to the parent's
 siblings. A leaf takes whole epochs of its documents and then a prefix of one
-more epoch, in an order drawn by (seed, leaf, epoch): documents until the next
-would go beyond the leaf's budget.
+more epoch, in an order drawn by (seed, leaf, epoch). The prefix is one of
+tokens: the document that would go beyond the leaf's budget is cut at it, so
+each leaf gives its part to the token. A cut document is a row of its own
+beside the whole copies of it.
 
 The token counts of the leaves cover all documents. They and the cuts of the
 prefixes are one row a leaf, so the driver solves the tree; the number of
@@ -18,8 +20,9 @@ tasks as there are leaves. Texts are not shuffled.
 Defined results: null and empty texts have no tokens and cost nothing: they
 are taken with the part of the order they fall into. Null languages and
 sources are nodes of their own. Documents that tie in the order (repeated
-rows) are taken or left together. An empty table, or a budget of 0, gives an
-empty result. Other columns stay as they are.
+rows) are taken one by one; which of them is cut is open. An empty table, or a
+budget of 0, gives an empty result. Other columns than the text stay as they
+are.
 """
 
 from __future__ import annotations
@@ -109,6 +112,11 @@ def tokens_of(text: Column) -> Column:
     return F.when(F.length(t) == 0, 0).otherwise(F.size(F.split(t, " "))).cast("long")
 
 
+def first_tokens(text: Column, n: Column) -> Column:
+    """The text up to the end of its n-th word, white space as it is."""
+    return F.array_join(F.slice(F.split(text, r"(?<=\S)(?=\s)"), 1, n.cast("int")), "")
+
+
 def domain_of(source: Column) -> Column:
     """The domain of a source: by the number in its name; sources without one are web."""
     n = F.coalesce(F.regexp_extract(source, r"(\d{1,9})$", 1).try_cast("int"), F.lit(0))
@@ -120,7 +128,7 @@ def _draw(seed: int, epoch: Column) -> Column:
 
 
 def mixed(docs: DataFrame, mix: Mixture, domain: Column, id_col: str = "doc_id") -> DataFrame:
-    """``docs`` that are chosen, with _domain, _tokens and _copies (how often each is taken)."""
+    """``docs`` that are chosen, with _domain, _tokens (of one copy) and _copies (how often each is taken)."""
     spark = docs.sparkSession
     told = docs.withColumns(
         {
@@ -154,24 +162,39 @@ def mixed(docs: DataFrame, mix: Mixture, domain: Column, id_col: str = "doc_id")
         .collect()
     )
     at = spark.createDataFrame([(*[r[c] for c in LEVELS], r["_at"]["_b"], r["_at"]["_before"]) for r in ranges], "_domain string, _language string, _source string, _cut long, _before long")
-    order = Window.partitionBy(*LEVELS).orderBy("_r").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    last = (
+    order = Window.partitionBy(*LEVELS).orderBy("_r").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # The place in the order where the budget ends: rows that tie there, tokens of each, and what is left for them.
+    edges = (
         _with_leaf(drawn, at)
         .where("_b = _cut")
-        .withColumn("_sum", F.col("_before") + F.sum("_tokens").over(order))
-        .groupBy(*LEVELS, "_cut")
-        .agg(F.max(F.when(F.col("_sum") <= F.col("_rest"), F.col("_r"))).alias("_last"))
+        .groupBy(*LEVELS, "_before", "_rest", "_r")
+        .agg(F.sum("_tokens").alias("_n"), F.count(F.lit(1)).alias("_rows"))
+        .withColumn("_sum", F.col("_before") + F.sum("_n").over(order))
+        .where("_sum > _rest")
+        .groupBy(*LEVELS)
+        .agg(F.min_by(F.struct("_r", "_rows", F.expr("_n div _rows").alias("_each"), F.expr("_rest - _sum + _n").alias("_room")), "_r").alias("_edge"))
         .collect()
     )
-    # Up to the end of the range before the cut, if nothing of the cut's own range fits.
-    ends = {tuple(r[c] for c in LEVELS): r["_last"] if r["_last"] is not None else (r["_cut"] << (63 - BUCKETS)) - 1 for r in last}
-    chosen = [(*row[:3], row[3], ends.get(row[:3], -1) if row[4] else -1) for row in plan]
-    picks = spark.createDataFrame(chosen, "_domain string, _language string, _source string, _full long, _last long")
+    ends = {tuple(r[c] for c in LEVELS): (r["_edge"]["_r"], r["_edge"]["_rows"], *divmod(r["_edge"]["_room"], r["_edge"]["_each"])) for r in edges}
+    chosen = [(*row[:4], *(ends[row[:3]] if row[4] else (-1, 0, 0, 0))) for row in plan]
+    picks = spark.createDataFrame(chosen, f"{schema.removesuffix(', _rest long')}, _edge long, _rows long, _whole long, _part long")
+    drawn = _with_leaf(told, picks).withColumn("_r", _draw(mix.seed, F.col("_full")))
+    numbered = drawn.withColumn("_number", F.lit(1))
+    if any(row[5] > 1 for row in chosen):
+        tie = (F.col("_r") == F.col("_edge")) & (F.col("_rows") > 1)
+        number = F.row_number().over(Window.partitionBy(*LEVELS).orderBy("_r"))  # the rows of one place of the order
+        numbered = numbered.where(~tie).unionByName(drawn.where(tie).withColumn("_number", number))
+    at_edge = F.col("_r") == F.col("_edge")
+    whole = F.col("_full") + ((F.col("_r") < F.col("_edge")) | (at_edge & (F.col("_number") <= F.col("_whole")))).cast("long")
+    cut = (at_edge & (F.col("_number") == F.col("_whole") + 1) & (F.col("_part") > 0)).cast("long")
+    takes = F.array(
+        F.struct(F.col("_tokens").alias("n"), whole.alias("copies"), F.lit(False).alias("cut")),
+        F.struct(F.col("_part").alias("n"), cut.alias("copies"), F.lit(True).alias("cut")),
+    )
+    text = F.when(F.col("_take.cut"), first_tokens(F.col("text"), F.col("_take.n"))).otherwise(F.col("text")).alias("text")
     return (
-        _with_leaf(told, picks)
-        .withColumn("_copies", F.col("_full") + (_draw(mix.seed, F.col("_full")) <= F.col("_last")).cast("long"))
-        .where("_copies > 0")
-        .select(*[docs[c] for c in docs.columns], "_domain", "_tokens", "_copies")
+        numbered.withColumn("_take", F.explode(F.filter(takes, lambda t: t["copies"] > 0)))
+        .select(*[text if c == "text" else F.col(f"`{c}`") for c in docs.columns], "_domain", F.col("_take.n").alias("_tokens"), F.col("_take.copies").alias("_copies"))
     )
 
 
@@ -188,6 +211,6 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def take_mix(docs: DataFrame, mix: Mixture = PLAN) -> DataFrame:
-    """The chosen documents, each as often as it is taken; columns unchanged."""
+    """The chosen documents, each as often as it is taken; columns unchanged, but for the text of the cut ones."""
     m = mixed(docs, mix, domain_of(F.col("source")))
-    return m.withColumn("_epoch", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select(*[docs[c] for c in docs.columns])
+    return m.withColumn("_epoch", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select(*[F.col(f"`{c}`") for c in docs.columns])

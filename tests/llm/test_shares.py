@@ -98,3 +98,49 @@ def test_take_mix_keeps_columns(spark, edge):
     docs = spark.read.parquet(f"{edge}/documents.parquet")
     out = mixing.take_mix(docs)
     assert out.columns == docs.columns and out.count() > 0
+
+
+def _leaves(rows, n_tokens) -> Counter:
+    domain = ("web", "books", "reference")
+    out = Counter()
+    for r in rows:
+        digits = re.search(r"[0-9]*$", r["source"] or "")[0]
+        out[(domain[int(digits or 0) % 3], r["lang"], r["source"])] += n_tokens(r)
+    return out
+
+
+def _words(r) -> int:
+    return len(re.findall(r"[^ \t\n\x0b\f\r]+", r["text"] or ""))
+
+
+def _realised(parts: dict) -> dict:
+    return {k: n for k, n in parts.items() if n}
+
+
+@pytest.mark.parametrize("where", ["small", "edge", "empty"])
+def test_op7_realises_the_weights(spark, request, where):
+    d = request.getfixturevalue(where)
+    docs = rows_of(spark, d, "documents")
+    held = _leaves(docs, _words)
+    parts = mixing.solve(held, mixing.PLAN, int(Fraction(str(mixing.PLAN.fraction)) * sum(held.values())))
+    got = mixing.op7_mixing(spark, d).collect()
+    assert _realised(_leaves(got, lambda r: r["n_tokens"] * r["copies"])) == _realised(parts)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_take_mix_gives_each_leaf_its_part_of_skewed_documents(spark, seed):
+    """Leaves that one very long document dominates, repeated rows, and odd white space."""
+    rows = [(0, " \n" + "long\t word  " * 5000, "en", "src0"), (1, "only one document of its leaf " * 40, "de", "src1")]
+    rows += [(10 + i, f"short text\n{i} " * 25, "en", "src0") for i in range(130)]
+    rows += [(500, "the same row again and again", "fr", "src2")] * 7 + [(501, None, "fr", "src2"), (502, "", "fr", "src2")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    mix = mixing.Mixture(fraction=0.8, max_epochs=1, seed=seed)
+    held = _leaves(docs.collect(), _words)
+    parts = mixing.solve(held, mix, int(Fraction(str(mix.fraction)) * sum(held.values())))
+    got = mixing.take_mix(docs, mix).collect()
+    assert _realised(_leaves(got, _words)) == _realised(parts)
+    whole = {r[0]: r[1] or "" for r in rows}
+    assert all(whole[r["doc_id"]].startswith(r["text"] or "") for r in got)
+    assert not Counter(r["doc_id"] for r in got) - Counter(r[0] for r in rows)
+    cut = Counter((r["lang"], r["source"]) for r in got if (r["text"] or "") != whole[r["doc_id"]])
+    assert all(n == 1 for n in cut.values())
