@@ -11,7 +11,7 @@ range of the hash, and only the range with the cut is ordered row by row.
 Equal texts have equal hashes and stay together; only texts of which the
 copies alone fill over a hundredth of a shard are ordered by (text, id), so
 that no group is too large for a task or a shard. Only shards that give or
-take a block are rewritten.
+take a block are rewritten; the others stay as they are in the old layout.
 
 Law: bytes. Sizes are near equal: each cut is off by less than one group.
 
@@ -177,8 +177,14 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     total = rows.agg(F.sum("size")).first()[0] or 0
     blocks = plan(rows.select("old", "ord", "size"), N_OLD, capacities(total, N_NEW))
     path = scratch_path(spark, "sharding")
-    write_shards(rows.withColumn("shard", assigned(blocks)), path, affected(blocks, N_OLD, N_NEW) if blocks else [])
+    dealt = rows.withColumn("shard", assigned(blocks))
+    written = affected(blocks, N_OLD, N_NEW) if blocks else []
+    write_shards(dealt, path, written)
     files = spark.read.schema("doc_id long, text string, size long, ord long, old int, shard int").parquet(path)
+    # A shard that already holds its capacity and keeps all its rows has no new files.
+    stay = sorted({t.new for t in blocks} - set(written))
+    if stay:
+        files = files.unionByName(dealt.where(F.col("shard").isin(stay)).select(*files.columns))
     kept = files.select(
         "doc_id", "size", F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("text_crc32"), "shard", "ord", F.shiftright("ord", 63 - _RANGES).alias("span")
     )

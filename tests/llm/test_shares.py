@@ -10,6 +10,7 @@ from fractions import Fraction
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from farespark.llm import mixing, sharding
 from tests.llm.conftest import bag, rows_of
@@ -57,6 +58,36 @@ def test_only_affected_shards_are_written():
     assert sharding.affected(blocks, 3, 4) == [1, 3]
 
 
+def _old_shards(spark, rows) -> list[list[tuple]]:
+    """The rows (doc_id, text) by the old shard that they have in a small table."""
+    docs = sharding.sized(spark.createDataFrame(rows, "doc_id long, text string"))
+    out = [[] for _ in range(sharding.N_OLD)]
+    for r in docs.select("doc_id", "text", F.pmod(sharding._order(docs, 0.0), F.lit(sharding.N_OLD)).alias("old")).collect():
+        out[r["old"]].append((r["doc_id"], r["text"]))
+    return out
+
+
+def _resharded(spark, rows, tmp_path) -> list:
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    return sharding.op4_sharding(spark, str(tmp_path)).collect()
+
+
+def test_op4_keeps_the_one_null_text(spark, tmp_path):
+    row = _old_shards(spark, [(i, None) for i in range(60)])[0][0]
+    got = _resharded(spark, [row], tmp_path)
+    assert [(r["doc_id"], r["shard"], r["slot"]) for r in got] == [(row[0], 0, 0)]
+
+
+def test_op4_keeps_a_shard_that_holds_its_capacity(spark, tmp_path):
+    """Of 240 bytes old shard 0 has 30, which is its capacity: it gives and takes nothing, the others change."""
+    old = _old_shards(spark, [(i, f"t{i:03d}") for i in range(400)])
+    rows = old[0][:6] + [x for shard, n in zip(old[1:], (10, 9, 8, 8, 7)) for x in shard[:n]]
+    got = _resharded(spark, rows, tmp_path)
+    assert sorted(r["doc_id"] for r in got) == sorted(i for i, _ in rows)
+    assert sorted(r["doc_id"] for r in got if r["shard"] == 0) == sorted(i for i, _ in rows[:6])
+    assert sorted(r["slot"] for r in got if r["shard"] == 0) == list(range(6))
+
+
 def test_deal_gives_shortage_to_siblings_first():
     half = Fraction(1, 2)
     assert mixing.deal(100, [(half, 10), (half, 500)]) == [10, 90]
