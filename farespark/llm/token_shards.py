@@ -152,11 +152,14 @@ def _displacements(keys: np.ndarray, seed: int, tries: int = 64, most: int = 1 <
 
 
 class LibraryEncoder:
-    """Ids of the tokenizers library. It sees each distinct pre-token once; the ids of a text are those of its pre-tokens in turn."""
+    """Ids of the tokenizers library. It sees each distinct pre-token once; the ids of a text are those of its pre-tokens in turn.
+    Texts that hold an added token of the vocabulary, which has an id of its own, go through the library whole."""
 
     def __init__(self, path: str):
         import tokenizers
 
+        self.whole = tokenizers.Tokenizer.from_file(path)
+        self.added = [t.content for t in self.whole.get_added_tokens_decoder().values()]
         self.tokenizer = tokenizers.Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.wide = self.tokenizer.get_vocab_size() > 1 << 16
@@ -164,6 +167,14 @@ class LibraryEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids as little-endian unsigned 32-bit integers."""
+        held = [any(a in t for a in self.added) for t in texts]
+        if any(held):
+            rest = iter(self.encode_plain([t for t, h in zip(texts, held) if not h]))
+            return [np.array(self.whole.encode(t, add_special_tokens=False).ids, "<u4").tobytes() if h else next(rest) for t, h in zip(texts, held)]
+        return self.encode_plain(texts)
+
+    def encode_plain(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts without added tokens."""
         if len(self.cache) > CACHE:
             self.cache.clear()
         split = split_batch(texts)

@@ -56,6 +56,20 @@ def test_lookup_by_key(spark, edge, library):
     assert token_shards.lookup(spark, path, 12345) == []
 
 
+def test_op1_added_tokens(spark, tmp_path):
+    """Against the library as it comes: added tokens have ids of their own."""
+    library = tokenizers.Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    end = "<|endoftext|>"
+    texts = [end, f"one {end} two{end}{end}three", f" {end}\n {end} it's", "none of them <|endoftext |>", "", None, "a plain text " * 300 + end]
+    docs = list(enumerate(texts))
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = token_shards.op1_token_shards(spark, str(tmp_path)).collect()
+    ids = {i: [*library.encode(t or "", add_special_tokens=False).ids, 0] for i, t in docs}
+    assert ids[0] == [50256, 0]
+    want = [(i, len(x), zlib.crc32(np.array(x, "<u4").tobytes())) for i, x in ids.items()]
+    assert bag((r["doc_id"], r["n_tokens"], r["ids_crc32"]) for r in got) == bag(want)
+
+
 @pytest.mark.parametrize("n", [0, 1, 2, 7, 1000, 20_000])
 def test_perfect_hash(n):
     keys = token_shards.key_hashes(np.arange(n) * 17 - 5, np.zeros(n, bool))
