@@ -43,6 +43,7 @@ PREFIXES = (4, 5)
 MIN_DOCS = 12
 #: A feature is kept if its rate in one label is so many times the other's.
 RATIO = 4.0
+#: Features of the model at most, those that lean to toxic first.
 MAX_FEATURES = 50_000
 ROUNDS = 150
 #: The share of the clean documents of the fit that have the usual length or less, in sentences.
@@ -195,9 +196,9 @@ def train(rows: DataFrame, max_fit: int = MAX_FIT, min_docs: int = MIN_DOCS) ->
     kept = (
         feature_counts(rows)
         .where(F.col("n0") + F.col("n1") >= least)
-        .select("feature", F.abs(F.log(rate)).alias("gain"), (F.col("n0") + F.col("n1")).alias("n"))
+        .select("feature", (rate > 1).alias("leans"), F.abs(F.log(rate)).alias("gain"), (F.col("n0") + F.col("n1")).alias("n"))
         .where(F.col("gain") >= float(np.log(RATIO)))
-        .orderBy(F.desc(F.col("gain") * F.sqrt(F.col("n").cast("double"))), "feature")
+        .orderBy(F.desc("leans"), F.desc(F.col("gain") * F.sqrt(F.col("n").cast("double"))), "feature")
         .limit(MAX_FEATURES)
     )
     vocabulary = sorted(r["feature"] for r in kept.collect())

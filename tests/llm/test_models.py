@@ -98,6 +98,17 @@ def test_length_alone_is_not_toxic(spark, tmp_path):
     assert {r["doc_id"] for r in kept.collect()} & set(texts) == {1000, 1002}
 
 
+def test_clean_words_do_not_crowd_out_toxic_ones(spark, monkeypatch):
+    """More frequent words of clean documents alone than the model holds features, and a rare toxic word."""
+    monkeypatch.setattr(toxicity, "MAX_FEATURES", 20)
+    rows = [(i, "the same words in both. " + " ".join(f"{c}lean{c}" for c in "abcdefghijklmnopqrstuvwxyz") + ".", 0) for i in range(300)]
+    rows += [(300 + i, "the same words in both. you are the vilest.", 1) for i in range(30)]
+    df = spark.createDataFrame(rows, "_id long, text string, toxic int")
+    model = toxicity.train(df)
+    assert len(model.weights) <= 20 and model.weights.get("vilest", 0) > 0
+    assert all((r["_toxicity"]["score"] >= 0.5) == bool(r["toxic"]) for r in toxicity.scored(df, model).collect())
+
+
 def test_drop_toxic_keeps_columns(spark, edge):
     docs = spark.read.parquet(f"{edge}/documents.parquet")
     kept = toxicity.drop_toxic(docs, spark.read.parquet(f"{edge}/labels.parquet"))
