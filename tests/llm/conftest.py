@@ -54,13 +54,22 @@ def edge(spark, tmp_path_factory) -> str:
     ]
     rows = [(*r, 1, 2, "x") for r in vectors]
     spark.createDataFrame(rows, "vec_id long, embedding array<float>, label string, id long, w long, body string").write.parquet(f"{d}/embeddings.parquet")
+    html = "<p>one page of some length</p>" * 40
+    pages = [
+        (0, "http://a.example/", html), (5, "http://b.example/x y\tz", html), (5, "http://b.example/", html), (5, "http://b.example/", html),
+        (None, "http://c.example/", html), (None, None, "lonely"), (7, None, None), (8, "http://d.example/é", ""), (9, "u", "é\r\n\r\nWARC/1.1\r\nWARC-Type: response"),
+        (10, "v", "x" * 3_000_000), (11, "w\r\nWARC-Type: evil", "<p>"), (11, "w", "<q>"), (-3, "n", "<p>"),
+    ]
+    spark.createDataFrame([(*r, "k", "p", "resp", 1) for r in pages], "page_id long, url string, html string, key string, payload string, record_type string, n int").repartition(3).write.parquet(f"{d}/pages.parquet")
+    items = [(0, "Short naïve CAFÉ word"), (1, " ".join(WORDS)), (1, "w5x5 word"), (1, "w5x5 word"), (2, None), (3, " \n"), (None, "id few"), (4, "unknownterm")]
+    spark.createDataFrame([(*r, "t", 3, 2.0) for r in items], "item_id long, text string, term string, doc_id int, score double").write.parquet(f"{d}/benchmark.parquet")
     return d
 
 
 @pytest.fixture(scope="session")
 def empty(spark, tmp_path_factory, edge) -> str:
     d = str(tmp_path_factory.mktemp("none"))
-    for t in ("documents", "labels", "embeddings"):
+    for t in ("documents", "labels", "embeddings", "pages", "benchmark"):
         spark.read.parquet(f"{edge}/{t}.parquet").where(F.lit(False)).write.parquet(f"{d}/{t}.parquet")
     return d
 
