@@ -36,11 +36,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from farespark.llm.common import table
+from farespark.llm.common import batches_of, table
 from farespark.session import scratch_path
 
 #: Cells of a shard (a document's cells stay together, so the last one may go beyond), and terms of a block of items.
@@ -50,7 +49,7 @@ OPENED = 64
 # Letters of a term: ASCII letters (lower-cased) and digits, and every byte of other code points.
 _LETTERS = bytes(c if chr(c).isdigit() or chr(c).isalpha() and c < 128 or c >= 128 else 32 for c in range(256)).lower()
 _ONES = np.array([bin(i).count("1") for i in range(16)], np.uint8)
-_INDEX = "n_docs int, n_rows int, ids binary, nulls binary, terms array<string>, dfs array<int>, height int, bits binary, top int, drops binary"
+_INDEX = "ids binary, nulls binary, terms string, dfs array<int>, height int, bits binary, top int, drops binary"
 
 
 def terms_of(text: str | None) -> list[bytes]:
@@ -103,14 +102,14 @@ class Tree:
         self.none = 1 + int(ones.sum(dtype=np.int64))
         self.bits = np.zeros(self.none + 1, np.uint8)
         self.bits[: len(inner)] = inner
-        self.before = np.ones(self.none + 1, np.int64)  # the first child's number
-        self.before[1 : len(inner)] += np.cumsum(ones, dtype=np.int64)[:-1]
-        self.value = np.zeros(self.none + 1, np.int64)
+        self.before = np.ones(self.none + 1, np.int32)  # the first child's number
+        self.before[1 : len(inner)] += np.cumsum(ones, dtype=np.int32)[:-1]
+        self.value = np.zeros(self.none + 1, np.int32)
         self.value[0] = top
         node, place, nodes = 0, 0, 1
         for _ in range(height):
             width, n = int(drops[place : place + 1]), int(np.frombuffer(drops, "<i8", 1, place + 1)[0])
-            got = np.frombuffer(drops, f"<u{width}", n, place + 9).astype(np.int64)
+            got = np.frombuffer(drops, f"<u{width}", n, place + 9).astype(np.int32)
             place += 9 + n * width
             at = node + nodes
             self.value[at : at + n] = np.repeat(self.value[node : node + nodes], ones[node : node + nodes]) - got
@@ -137,7 +136,7 @@ def best(tree: Tree, level: int, rows: np.ndarray, nodes: np.ndarray, weights: n
     height, n = tree.height, len(ids)
     hits_s, hits_c = np.zeros(0, np.int64), np.zeros(0, np.int64)
     state, lv, col = nodes[None, :], np.array([level]), np.array([0])
-    bound = tree.value[state] @ weights
+    bound = tree.value[state].astype(np.int64) @ weights
     if level == height:
         hits_s, hits_c, bound = bound, col, bound[:0]
     while len(bound):
@@ -152,7 +151,7 @@ def best(tree: Tree, level: int, rows: np.ndarray, nodes: np.ndarray, weights: n
         below = np.concatenate([tree.child(state[now], quadrant), tree.child(state[now], quadrant + 1)])
         lv2 = np.tile(lv[now] + 1, 2)
         col2 = np.concatenate([2 * col[now], 2 * col[now] + 1])
-        b2 = tree.value[below] @ weights
+        b2 = tree.value[below].astype(np.int64) @ weights
         leaf = (lv2 == height) & (b2 > 0)
         if leaf.any():
             hits_s, hits_c = np.concatenate([hits_s, b2[leaf]]), np.concatenate([hits_c, col2[leaf]])
@@ -190,16 +189,14 @@ def _shard(docs: list[tuple], known: dict[bytes, int], n_all: int, l_all: int) -
     col = np.repeat(np.arange(len(docs)), sizes)
     height, bits, top, drops = build(row, col, (1_000_000_000 * tf) // (1000 * tf + 20 * m))
     return {
-        "n_docs": len(docs), "n_rows": len(names),
         "ids": np.array([d[0] for d in docs], "<i8").tobytes(), "nulls": np.array([d[1] for d in docs], "u1").tobytes(),
-        "terms": [t.decode() for t in names], "dfs": np.bincount(row, minlength=len(names)).astype(np.int32),
+        "terms": b"\n".join(names).decode(), "dfs": np.bincount(row, minlength=len(names)).astype(np.int32),
         "height": height, "bits": bits, "top": top, "drops": drops,
     }
 
 
 _INDEX_ARROW = pa.schema(
-    [("n_docs", pa.int32()), ("n_rows", pa.int32()), ("ids", pa.binary()), ("nulls", pa.binary()), ("terms", pa.list_(pa.string())), ("dfs", pa.list_(pa.int32())),
-     ("height", pa.int32()), ("bits", pa.binary()), ("top", pa.int32()), ("drops", pa.binary())]
+    [("ids", pa.binary()), ("nulls", pa.binary()), ("terms", pa.string()), ("dfs", pa.list_(pa.int32())), ("height", pa.int32()), ("bits", pa.binary()), ("top", pa.int32()), ("drops", pa.binary())]
 )
 
 
@@ -247,7 +244,9 @@ class Index:
     def write(cls, docs: DataFrame, path: str, cells: int = SHARD_CELLS) -> Index:
         rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
         n, total = rows.select("text").mapInArrow(_counted, "n long, total long").agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("total"), F.lit(0))).first()
-        rows.mapInArrow(_indexing(n, total, cells), _INDEX).write.parquet(path)
+        # A shard is a row group of its own, so that a reader holds one at a time.
+        shards = rows.mapInArrow(_indexing(n, total, cells), _INDEX)
+        shards.write.option("parquet.block.size", 1 << 20).option("parquet.block.size.row.check.min", 1).option("parquet.block.size.row.check.max", 1).parquet(path)
         return cls(docs.sparkSession, path, n)
 
     def rows(self) -> DataFrame:
@@ -256,7 +255,7 @@ class Index:
     def weights(self, items: DataFrame) -> DataFrame:
         """item_id, term, w of each known term of the items (item_id, text)."""
         wanted = items.select("item_id", F.col("text").cast("string").alias("text")).mapInArrow(_item_terms(items.schema["item_id"].dataType.simpleString()), f"item_id {items.schema['item_id'].dataType.simpleString()}, term string").distinct()
-        df = self.rows().select(F.explode(F.arrays_zip("terms", "dfs")).alias("t")).groupBy(F.col("t.terms").alias("term")).agg(F.sum("t.dfs").alias("df"))
+        df = self.rows().select(F.explode(F.arrays_zip(F.split("terms", "\n").alias("terms"), "dfs")).alias("t")).groupBy(F.col("t.terms").alias("term")).agg(F.sum("t.dfs").alias("df"))
         w = F.floor(F.lit(1000.0) * F.log(F.lit(float(2 * self.n + 2)) / (2 * F.col("df") + 1).cast("double")))
         return wanted.join(df, "term").select("item_id", "term", w.cast("long").alias("w"))
 
@@ -271,10 +270,11 @@ class Index:
         for b in range(blocks):
             # One block of the stated query set, not rows of the corpus.
             block = [(r["item_id"], [t["term"] for t in r["terms"]], [t["w"] for t in r["terms"]]) for r in known.where(F.col("block") == b).collect()]
-            hits = self.rows().mapInArrow(_searching(block, top), "number int, doc_id long, score long")
+            hits = self.rows().drop("dfs").mapInArrow(_searching(block, top), "number int, doc_id long, score long")
             named = self.spark.createDataFrame([(i, r[0]) for i, r in enumerate(block)], f"number int, item_id {kind}")
             ranked = hits.withColumn("rank", F.row_number().over(Window.partitionBy("number").orderBy(F.desc("score"), F.asc_nulls_last("doc_id")))).where(F.col("rank") <= top)
-            ranked.join(named, "number").select("item_id", "rank", "doc_id", "score").write.mode("append").parquet(found)
+            with batches_of(self.spark, 1):
+                ranked.join(named, "number").select("item_id", "rank", "doc_id", "score").write.mode("append").parquet(found)
         return self.spark.read.schema(f"item_id {kind}, rank int, doc_id long, score long").parquet(found)
 
 
@@ -292,14 +292,14 @@ def _searching(block: list[tuple], top: int):
     names = sorted({t for _, terms, _ in block for t in terms})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place = {t: i for i, t in enumerate(names)}
-        items = [(np.array([place[t] for t in terms], np.int64), np.array(w, np.int64)) for _, terms, w in block]
+        number = {t: i for i, t in enumerate(names)}
+        items = [(np.array([number[t] for t in terms], np.int64), np.array(w, np.int64)) for _, terms, w in block]
         hits: list[list[tuple[int, int, bool]]] = [[] for _ in block]  # (-score, id, is null), sorted
         for b in batches:
             for at in range(b.num_rows):
                 row = {n: b.column(i)[at] for i, n in enumerate(b.schema.names)}
-                terms = row["terms"].values
-                found = pc.fill_null(pc.index_in(pa.array(names, terms.type), value_set=terms), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+                place = dict(zip(row["terms"].as_py().split("\n"), itertools.count()))
+                found = np.array([place.get(t, -1) for t in names], np.int64)
                 tree = Tree(row["height"].as_py(), row["bits"].as_py(), row["top"].as_py(), row["drops"].as_py())
                 ids, nulls = np.frombuffer(row["ids"].as_py(), "<i8"), np.frombuffer(row["nulls"].as_py(), "u1")
                 level = tree.height - (len(ids) - 1).bit_length()
