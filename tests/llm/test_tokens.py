@@ -19,9 +19,7 @@ from tests.llm.conftest import bag, texts_of
 
 @pytest.fixture(scope="module")
 def library():
-    t = tokenizers.Tokenizer.from_file(P.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
-    return t
+    return tokenizers.Tokenizer.from_file(P.path("byte_bpe_50k.json"))
 
 
 @pytest.fixture(scope="module")
@@ -70,6 +68,18 @@ def test_op1_added_tokens(spark, tmp_path):
     assert bag((r["doc_id"], r["n_tokens"], r["ids_crc32"]) for r in got) == bag(want)
 
 
+def test_every_code_point(library, multi):
+    """Classes show in the slices: each code point after a digit, before a letter, after a space and twice, through both libraries."""
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    ours, theirs = token_shards.LibraryEncoder(P.path("byte_bpe_50k.json")), bpe.encoder(bpe.multi_ranks_path())
+    for at in range(0, len(points), 100_000):
+        texts = [f"1{c}a {c}{c} 's{c}" for c in points[at : at + 100_000]]
+        want = [np.array(e.ids, "<u4").tobytes() for e in library.encode_batch(texts, add_special_tokens=False)]
+        assert [t for t, a, b in zip(texts, ours.encode(texts), want) if a != b] == []
+        want = [np.array(x, "<u4").tobytes() for x in multi.encode_ordinary_batch(texts)]
+        assert [t for t, a, b in zip(texts, theirs.encode(texts), want) if a != b] == []
+
+
 @pytest.mark.parametrize("n", [0, 1, 2, 7, 1000, 20_000])
 def test_perfect_hash(n):
     keys = token_shards.key_hashes(np.arange(n) * 17 - 5, np.zeros(n, bool))
