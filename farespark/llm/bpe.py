@@ -18,19 +18,48 @@ from __future__ import annotations
 
 import base64
 import functools
+import hashlib
 import heapq
 import itertools
+from array import array
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farespark.llm.common import table, text_of
 from farespark.llm.pretokens import split_batch
 
-#: Distinct slices that a worker keeps; beyond that it starts anew.
-CACHE = 600_000
+#: Distinct slices of a generation; a worker keeps two generations, and slices that are asked for again move to the newer one.
+CACHE = 150_000
+
+
+class SliceCache:
+    """Ids of the slices met lately, ``learn`` for those not known; slices over ``LONG`` code points are not kept."""
+
+    LONG = 64
+
+    def __init__(self, learn):
+        self.learn, self.new, self.old = learn, {}, {}
+
+    def ids(self, slices: list[str]) -> bytes:
+        """The slices' ids in turn, little-endian unsigned 32-bit."""
+        known = list(map(self.new.get, slices))
+        if None in known:
+            for i in [i for i, k in enumerate(known) if k is None]:
+                known[i] = self._found(slices[i])
+        return b"".join(known)
+
+    def _found(self, piece: str) -> bytes:
+        got = self.new.get(piece) or self.old.get(piece) or self.learn(piece)
+        if len(piece) <= self.LONG:
+            self.new[piece] = got
+            if len(self.new) >= CACHE:
+                self.old, self.new = self.new, {}
+        return got
 
 
 def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -102,7 +131,7 @@ class Encoder:
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
-        self.cache: dict[str, bytes] = {}
+        self.cache = SliceCache(lambda piece: array("I", merge(piece.encode("utf-8", "surrogatepass"), ranks)).tobytes())
         tokens = [b""] * (max(ranks.values()) + 1)
         for t, r in ranks.items():
             tokens[r] = t
@@ -110,22 +139,8 @@ class Encoder:
         self.start = np.concatenate([[0], np.cumsum(self.size)[:-1]])
         self.bytes = np.frombuffer(b"".join(tokens), np.uint8)
 
-    def slice_ids(self, piece: str) -> bytes:
-        ids = np.array(merge(piece.encode("utf-8", "surrogatepass"), self.ranks), "<u4").tobytes()
-        if len(self.cache) >= CACHE:
-            self.cache.clear()
-        self.cache[piece] = ids
-        return ids
-
     def encode(self, texts: list[str]) -> list[bytes]:
-        out = []
-        for slices in split_batch(texts):
-            known = list(map(self.cache.get, slices))
-            if None in known:
-                for i in (i for i, k in enumerate(known) if k is None):
-                    known[i] = self.cache.get(slices[i]) or self.slice_ids(slices[i])
-            out.append(b"".join(known))
-        return out
+        return [self.cache.ids(slices) for slices in split_batch(texts)]
 
     def ends(self, ids: bytes) -> np.ndarray:
         """Byte offset at which each token ends."""
@@ -181,15 +196,25 @@ def decoded(ids: Column, ends: Column, path: str) -> Column:
     return of(ids, ends)
 
 
+def _digests(path: str, kind: pa.DataType, some: int = 200):
+    schema = pa.schema([("doc_id", kind), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc = encoder(path)
+        for b in batches:
+            for at in range(0, b.num_rows, some):
+                part, told = b.slice(at, some), []
+                for ids in enc.encode([t or "" for t in part.column(1).to_pylist()]):
+                    told.append((len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(enc.decode(ids, enc.ends(ids))).hexdigest()))
+                yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(c, t) for c, t in zip(zip(*told), schema.types[1:]))], schema=schema)
+
+    return run
+
+
 def digests(docs: DataFrame, path: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 of each document."""
-    e = docs.select("doc_id", encoded(text_of(docs), path).alias("e"))
-    return e.select("doc_id", F.col("e.ids").alias("ids"), decoded(F.col("e.ids"), F.col("e.ends"), path).alias("decoded")).select(
-        "doc_id",
-        F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-        F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 of each document: encoded, and decoded by the offsets, in one pass."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return rows.mapInArrow(_digests(path, pa.int64()), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def multi_ranks_path() -> str:

@@ -31,19 +31,20 @@ from __future__ import annotations
 import functools
 import itertools
 import zlib
+from array import array
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from farespark.llm.bpe import SliceCache
 from farespark.llm.common import table, text_of
 from farespark.llm.pretokens import split_batch
 from farespark.session import scratch_path
 
 SHARD_TOKENS = 1 << 20
 END_ID = 0
-CACHE = 600_000
 
 _U = np.uint64
 
@@ -151,8 +152,13 @@ def _displacements(keys: np.ndarray, seed: int, tries: int = 64, most: int = 1 <
     return moves
 
 
+# Fixed values of byte-level vocabularies: the printable bytes stand for themselves, the others for code points from 256 on, in turn.
+_PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_SHOWN = dict(zip([b for b in range(256) if b not in _PRINTABLE], range(256, 512)))
+
+
 class LibraryEncoder:
-    """Ids of the tokenizers library. It sees each distinct pre-token once; the ids of a text are those of its pre-tokens in turn.
+    """Ids of the tokenizers library. Its model sees each distinct pre-token once in a while; the ids of a text are those of its pre-tokens in turn.
     Texts that hold an added token of the vocabulary, which has an id of its own, go through the library whole."""
 
     def __init__(self, path: str):
@@ -160,43 +166,19 @@ class LibraryEncoder:
 
         self.whole = tokenizers.Tokenizer.from_file(path)
         self.added = [t.content for t in self.whole.get_added_tokens_decoder().values()]
-        self.tokenizer = tokenizers.Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.wide = self.tokenizer.get_vocab_size() > 1 << 16
-        self.cache: dict[str, bytes] = {}
+        self.model = self.whole.model
+        self.wide = self.whole.get_vocab_size() > 1 << 16
+        self.cache = SliceCache(self.learn)
+
+    def learn(self, piece: str) -> bytes:
+        shown = piece.encode("utf-8", "surrogatepass").decode("latin-1").translate(_SHOWN)
+        return array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids as little-endian unsigned 32-bit integers."""
         held = [any(a in t for a in self.added) for t in texts]
-        if any(held):
-            rest = iter(self.encode_plain([t for t, h in zip(texts, held) if not h]))
-            return [np.array(self.whole.encode(t, add_special_tokens=False).ids, "<u4").tobytes() if h else next(rest) for t, h in zip(texts, held)]
-        return self.encode_plain(texts)
-
-    def encode_plain(self, texts: list[str]) -> list[bytes]:
-        """Ids of texts without added tokens."""
-        if len(self.cache) > CACHE:
-            self.cache.clear()
-        split = split_batch(texts)
-        known = [list(map(self.cache.get, slices)) for slices in split]
-        new = list({s for slices, ids in zip(split, known) if None in ids for s, x in zip(slices, ids) if x is None})
-        self.learn(new)
-        return [b"".join(map(self.cache.__getitem__, s) if None in ids else ids) for s, ids in zip(split, known)]
-
-    def learn(self, new: list[str]) -> None:
-        """Ids of new pre-tokens. Words with their space in front are cut apart again by the library as they were, so
-        it gets many of them as one line and says of each id which word it belongs to."""
-        words = [s for s in new if s[0] == " " and s[1:].isalpha() and s.isascii()]
-        others = [s for s in new if not (s[0] == " " and s[1:].isalpha() and s.isascii())]
-        lines = list(itertools.batched(words, 256))
-        for part in itertools.batched(lines, 64):
-            for line, e in zip(part, self.tokenizer.encode_batch(["".join(x) for x in part], add_special_tokens=False)):
-                ids, word = np.array(e.ids, "<u4"), np.array(e.word_ids)
-                cut = np.searchsorted(word, np.arange(len(line) + 1)).tolist()
-                self.cache.update((s, ids[a:b].tobytes()) for s, a, b in zip(line, cut, cut[1:]))
-        for part in itertools.batched(others, 5000):
-            got = self.tokenizer.encode_batch_fast(list(part), add_special_tokens=False)
-            self.cache.update((s, np.array(e.ids, "<u4").tobytes()) for s, e in zip(part, got))
+        plain = iter(split_batch([t for t, h in zip(texts, held) if not h]))
+        return [np.array(self.whole.encode(t, add_special_tokens=False).ids, "<u4").tobytes() if h else self.cache.ids(next(plain)) for t, h in zip(texts, held)]
 
 
 @functools.lru_cache(maxsize=2)
@@ -294,16 +276,20 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
 
 
 def lookup(spark: SparkSession, path: str, doc_id: int) -> list[list[int]]:
-    """Ids of the documents with this id (usually one): the shards that can hold it are read, its slot is computed."""
+    """Ids of the documents with this id (usually one): of the shards that can hold it only the index is fetched, its slot is computed, and the slot's bytes are cut out of the payload."""
     out = []
-    for s in read_shards(spark, path).where((F.col("first_id") <= doc_id) & (F.col("last_id") >= doc_id)).orderBy("part", "seq").collect():
-        index, payload = MphIndex.from_bytes(bytes(s["index"])), np.frombuffer(s["payload"], f"<u{s['width']}")
-        base = _mix(np.array([doc_id], "i8").view(_U), 1)
+    shards = read_shards(spark, path).where((F.col("first_id") <= doc_id) & (F.col("last_id") >= doc_id))
+    base = _mix(np.array([doc_id], "i8").view(_U), 1)
+    for s in shards.select("part", "seq", "width", "index").orderBy("part", "seq").toLocalIterator():
+        index, slots = MphIndex.from_bytes(bytes(s["index"])), []
         for number in itertools.count():
             known, at, n = index.find(key_hash(base, np.array([number])))
             if not known[0]:
                 break
-            out.append(payload[int(at[0]) : int(at[0]) + int(n[0])].tolist())
+            slots.append((int(at[0]) * s["width"], int(n[0]) * s["width"]))
+        if slots:
+            cuts = [F.substring("payload", a + 1, n) for a, n in slots]
+            out += [np.frombuffer(c, f"<u{s['width']}").tolist() for c in shards.where((F.col("part") == s["part"]) & (F.col("seq") == s["seq"])).select(*cuts).first()]
     return out
 
 

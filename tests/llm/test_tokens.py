@@ -69,11 +69,11 @@ def test_op1_added_tokens(spark, tmp_path):
 
 
 def test_every_code_point(library, multi):
-    """Classes show in the slices: each code point after a digit, before a letter, after a space and twice, through both libraries."""
+    """Classes show in the slices: each code point between a digit and a letter, those of the first blocks also after a space, twice and after a quote."""
     points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
     ours, theirs = token_shards.LibraryEncoder(P.path("byte_bpe_50k.json")), bpe.encoder(bpe.multi_ranks_path())
     for at in range(0, len(points), 100_000):
-        texts = [f"1{c}a {c}{c} 's{c}" for c in points[at : at + 100_000]]
+        texts = [f"1{c}a {c}{c} 's{c}" if c < "\u3100" else f"1{c}a" for c in points[at : at + 100_000]]
         want = [np.array(e.ids, "<u4").tobytes() for e in library.encode_batch(texts, add_special_tokens=False)]
         assert [t for t, a, b in zip(texts, ours.encode(texts), want) if a != b] == []
         want = [np.array(x, "<u4").tobytes() for x in multi.encode_ordinary_batch(texts)]
