@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pytest
 
@@ -98,17 +100,51 @@ def test_length_alone_is_not_toxic(spark, tmp_path):
     assert {r["doc_id"] for r in kept.collect()} & set(texts) == {1000, 1002}
 
 
-def test_clean_words_do_not_crowd_out_toxic_ones(spark, monkeypatch):
-    """More frequent words of clean documents alone than the model holds features, and a rare toxic word."""
-    monkeypatch.setattr(toxicity, "MAX_FEATURES", 20)
+def test_clean_words_do_not_crowd_out_toxic_ones(spark):
+    """More frequent words of clean documents alone, and a rare toxic word."""
     rows = [(i, "the same words in both. " + " ".join(f"{c}lean{c}" for c in "abcdefghijklmnopqrstuvwxyz") + ".", 0) for i in range(300)]
     rows += [(300 + i, "the same words in both. you are the vilest.", 1) for i in range(30)]
     df = spark.createDataFrame(rows, "_id long, text string, toxic int")
     model = toxicity.train(df)
-    assert len(model.weights) <= 20 and model.weights.get("vilest", 0) > 0
+    assert model.weights.get("vilest", 0) > 0
     assert all((r["_toxicity"]["score"] >= 0.5) == bool(r["toxic"]) for r in toxicity.scored(df, model).collect())
 
 
+def plain_score(model, text: str) -> float:
+    """The noisy-or by its definition, feature sets from scratch."""
+    shares = []
+    for s, e in toxicity.sentences(text):
+        z = model.bias + sum(model.weights.get(f, 0.0) for f in toxicity.features(text[s:e]))
+        shares.append(-np.log(1 - 1 / (1 + np.exp(-z))))
+    if not shares:
+        return 0.0
+    return 1 - np.exp(-(sum(max(0, x - toxicity.FLOOR) for x in shares) + min(toxicity.FLOOR, max(shares))))
+
+
+def test_scores_never_fall_with_a_sentence_added():
+    rng = np.random.default_rng(3)
+    words = [f"w{chr(97 + i)}" for i in range(20)]
+    model = toxicity.Model({w: float(x) for w, x in zip(words, rng.normal(0, 2.5, 20))}, -5.0)
+    for _ in range(200):
+        texts = [" ".join(rng.choice(words + ["plain", "other"], rng.integers(1, 6))) + "." for _ in range(rng.integers(1, 8))]
+        scores = [model.score(" ".join(texts[:n]))[0] for n in range(len(texts) + 1)]
+        assert all(b >= a - 1e-12 for a, b in zip(scores, scores[1:]))
+        assert abs(scores[-1] - plain_score(model, " ".join(texts))) < 1e-9
+        assert abs(model.score(" ".join(texts) + " Plain and other." * 1000)[0] - scores[-1]) < 0.01
+
+
+def test_sample_is_bounded_and_repeatable(spark):
+    docs = [(i % 90, f"text {i} " + "long " * (200 if i % 90 == 7 else 1)) for i in range(300)] + [(None, "no id")]
+    labels = [(i, i % 2) for i in range(100)] + [(4, 1), (None, 1), (6, None)]
+    docs, labels = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    got = [bag(toxicity.sample(d, labels, max_fit=10, fit_chars=500).collect()) for d in (docs, docs.repartition(7))]
+    assert got[0] == got[1] and len(got[0]) == 20
+    every = toxicity.sample(docs, labels, fit_chars=500).collect()
+    taught = {i for i in range(90) if zlib.crc32(str(i).encode()) % 5 and i != 7}
+    assert sorted(int(r["text"].split()[1]) % 90 for r in every) == sorted(taught)
+    assert all(r["toxic"] == (1 if int(r["text"].split()[1]) % 90 == 4 else int(r["text"].split()[1]) % 90 % 2) for r in every)
+
+
 def test_drop_toxic_keeps_columns(spark, edge):
     docs = spark.read.parquet(f"{edge}/documents.parquet")
     kept = toxicity.drop_toxic(docs, spark.read.parquet(f"{edge}/labels.parquet"))
