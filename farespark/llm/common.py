@@ -39,6 +39,14 @@ def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with underscores where a column of ``df`` is called so (in any case of letters)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def text_of(df: DataFrame, text_col: str = "text") -> Column:
     """The text, null as the empty string."""
     return F.coalesce(F.col(f"`{text_col}`"), F.lit(""))

@@ -30,13 +30,16 @@ empty result; other columns stay as they are.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farespark.llm.common import land, table, text_of
+from farespark.llm.common import fresh, land, table, text_of
 from farespark.llm.suffix_arrays import repeated_windows
 
 LENGTH = 400
@@ -44,7 +47,7 @@ GRAM = 32
 #: Different snippets of one k-gram that a shard takes.
 PIECE = 4096
 #: Bytes that a task sorts at once, unless one group of a shard is larger.
-_AT_ONCE = 4 << 20
+_AT_ONCE = 1 << 20
 _STRETCH = 1 << 20
 _BYTE = np.random.default_rng(42).integers(1 << 62, size=256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15
@@ -75,13 +78,15 @@ def _hash(data: bytes, seed: int) -> int:
     return xxhash.xxh3_64_intdigest(data, seed) - (1 << 63)
 
 
-def anchors(data: bytes, length: int = LENGTH) -> list[tuple]:
-    """(k-gram hash, snippet hash, first window, last window, left, right) of each anchor of a document.
+def anchors(data: bytes, length: int = LENGTH) -> Iterator[tuple]:
+    """(k-gram hash, snippet hash, first window, last window, sides, last window of all, copies) of each anchor of a document, in turn.
 
-    left, right: hash of the k-gram and the ``side`` bytes before or after it,
-    None if no window of the anchor holds them.
+    sides: hashes of the k-gram with the ``side`` bytes before, and after it,
+    each if a window of the anchor holds them. Neighbouring anchors with the
+    same snippet, as in a run of one character or of a short period, are one
+    row with the number of copies.
     """
-    out, side = [], (length - GRAM) // 2
+    side, held = (length - GRAM) // 2, None
     for at in range(0, max(0, len(data) - length + 1), _STRETCH):
         part = np.frombuffer(data, np.uint8)[at : at + _STRETCH + length - 1]
         h = _gram_hashes(part)
@@ -89,33 +94,49 @@ def anchors(data: bytes, length: int = LENGTH) -> list[tuple]:
         owner = (_least(keys, length - GRAM + 1) & np.uint64(0xFFFFFFFF)).astype(np.int64)
         first = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
         last = np.concatenate([first[1:] - 1, [len(owner) - 1]])
-        grams = h[owner[first]].view(np.int64).tolist()
-        for g, place, lo, hi in zip(grams, (owner[first] + at).tolist(), (first + at).tolist(), (last + at).tolist()):
-            left = _hash(data[place - side : place + GRAM], 1) if place - lo >= side else None
-            right = _hash(data[place : place + GRAM + side], 2) if place - hi <= length - GRAM - side else None
-            out.append((g, _hash(data[lo : hi + length], 0), lo, hi, left, right))
-    return out
-
-
-_ANCHOR = "doc_id long, text_hash long, gram long, snippet long, lo int, hi int, sides array<long>"
+        for some in range(0, len(first), _ROWS):
+            cut = slice(some, some + _ROWS)
+            grams, places = h[owner[first[cut]]].view(np.int64).tolist(), (owner[first[cut]] + at).tolist()
+            for g, place, lo, hi in zip(grams, places, (first[cut] + at).tolist(), (last[cut] + at).tolist()):
+                snippet = _hash(data[lo : hi + length], 0)
+                if held and held[:2] == (g, snippet):
+                    held = (*held[:5], hi, held[6] + 1)
+                    continue
+                if held:
+                    yield held
+                sides = [_hash(data[place - side : place + GRAM], 1)] if place - lo >= side else []
+                if place - hi <= length - GRAM - side:
+                    sides.append(_hash(data[place : place + GRAM + side], 2))
+                held = (g, snippet, lo, hi, sides, hi, 1)
+    if held:
+        yield held
+
+
+_ANCHOR = "doc_id long, text_hash long, gram long, snippet long, lo int, hi int, sides array<long>, stop int, copies int"
+#: Rows of anchors that a task holds.
+_ROWS = 20_000
 
 
 def _anchor_rows(length: int):
-    def rows(frames):
-        for f in frames:
-            for start in range(0, len(f), 500):
-                part = f.iloc[start : start + 500]
-                ids, out = [], []
-                for n, t in enumerate(part["text"]):
-                    got = anchors(t.encode("utf-8", "surrogatepass"), length)
-                    out += got
-                    ids += [n] * len(got)
-                got = pd.DataFrame([(*x[:4], [s for s in x[4:] if s is not None]) for x in out], columns=["gram", "snippet", "lo", "hi", "sides"])
-                for c in ("doc_id", "text_hash"):
-                    got.insert(0, c, part[c].iloc[ids].to_numpy() if ids else [])
-                yield got[["doc_id", "text_hash", "gram", "snippet", "lo", "hi", "sides"]]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.int32(), pa.int32()]
+    names = [c.split()[0] for c in _ANCHOR.split(", ")]
+
+    def batch(rows):
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = []
+        for b in batches:
+            for i, h, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
+                for row in anchors(text.as_py().encode("utf-8", "surrogatepass"), length):
+                    out.append((i, h, *row))
+                    if len(out) >= _ROWS:
+                        yield batch(out)
+                        out = []
+        if out:
+            yield batch(out)
 
-    return rows
+    return run
 
 
 def _ranges(starts: np.ndarray) -> list[list[int]]:
@@ -198,11 +219,11 @@ def _merge(pdf: pd.DataFrame) -> pd.DataFrame:
 def repeated_spans(docs: DataFrame, length: int = LENGTH, piece: int = PIECE) -> DataFrame:
     """(doc_id, text_hash, spans): byte ranges [start, end) of a text that repeated windows cover. ``docs``: doc_id, text."""
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_of(docs)).alias("text_hash"), text_of(docs).alias("text"))
-    every = land(keyed.mapInPandas(_anchor_rows(length), _ANCHOR), "passages-anchors")
-    twice = every.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram")
+    every = land(keyed.mapInArrow(_anchor_rows(length), _ANCHOR), "passages-anchors")
+    twice = every.groupBy("gram").agg(F.sum("copies").alias("n")).where("n > 1").select("gram")
     places = land(every.join(twice, "gram"), "passages-places")
 
-    snippets = places.groupBy("gram", "snippet").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "text_hash", "lo", "hi", "sides")).alias("at"))
+    snippets = places.groupBy("gram", "snippet").agg(F.sum("copies").alias("n"), F.min(F.struct("doc_id", "text_hash", "lo", "hi", "sides")).alias("at"))
     snippets = land(snippets, "passages-snippets")
     several = snippets.groupBy("gram").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1").select("gram")
     sides = snippets.join(several, "gram").select("gram", "snippet", F.explode("at.sides").alias("side"))
@@ -236,7 +257,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, piece: int = PIECE) ->
             "text_hash",
             F.explode(
                 F.expr(
-                    "if(n > 1, array(struct(lo as s, hi + " + str(length) + " as e)),"
+                    "if(n > 1, array(struct(lo as s, stop + " + str(length) + " as e)),"
                     " transform(runs, r -> struct(lo + r[0] as s, lo + r[1] + " + str(length) + " as e)))"
                 )
             ).alias("span"),
@@ -265,6 +286,11 @@ def cut(text: Column, spans: Column) -> Column:
     def of(texts: pd.Series, spans: pd.Series) -> pd.DataFrame:
         kept, removed, n = [], [], []
         for t, s in zip(texts, spans):
+            if t is None:
+                kept.append(None)
+                removed.append(0)
+                n.append(0)
+                continue
             data = t.encode("utf-8", "surrogatepass")
             runs = union_of((x["s"], x["e"]) for x in s) if s is not None and len(s) else []
             gone = sum(e - a for a, e in runs)
@@ -279,14 +305,20 @@ def cut(text: Column, spans: Column) -> Column:
     return of(text, spans)
 
 
-def without_repeats(docs: DataFrame, length: int = LENGTH, piece: int = PIECE) -> DataFrame:
-    """``docs`` with a struct column _cut: kept (bytes), n_removed, n_spans."""
-    spans = repeated_spans(docs.select("doc_id", "text"), length, piece).select(
-        F.col("doc_id").alias("_span_id"), F.col("text_hash").alias("_span_hash"), F.col("spans").alias("_spans")
+def without_repeats(docs: DataFrame, length: int = LENGTH, piece: int = PIECE, name: str = "_cut") -> DataFrame:
+    """``docs`` with a struct column ``name``: kept (bytes), n_removed, n_spans."""
+    spans, doc_id, text_hash = (fresh(docs, x) for x in ("_spans", "_span_id", "_span_hash"))
+    found = repeated_spans(docs.select("doc_id", "text"), length, piece).select(
+        F.col("doc_id").alias(doc_id), F.col("text_hash").alias(text_hash), F.col("spans").alias(spans)
     )
-    same = docs["doc_id"].eqNullSafe(F.col("_span_id")) & (F.xxhash64(text_of(docs)) == F.col("_span_hash"))
-    joined = docs.join(spans, same, "left")
-    return joined.withColumn("_cut", cut(F.coalesce(docs["text"], F.lit("")), F.col("_spans"))).select(*[docs[c] for c in docs.columns], "_cut")
+    same = docs["doc_id"].eqNullSafe(F.col(doc_id)) & (F.xxhash64(text_of(docs)) == F.col(text_hash))
+    joined = docs.join(found, same, "left")
+    # Only texts with something to cut go to Python.
+    whole = F.coalesce(docs["text"], F.lit(""))
+    done = cut(F.when(F.col(spans).isNotNull(), whole), F.col(spans))
+    made = joined.withColumn(name, done)
+    told = F.struct(F.coalesce(F.col(f"{name}.kept"), whole.cast("binary")).alias("kept"), F.col(f"{name}.n_removed").alias("n_removed"), F.col(f"{name}.n_spans").alias("n_spans"))
+    return made.select(*[docs[c] for c in docs.columns], told.alias(name))
 
 
 def op5_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -308,11 +340,12 @@ def cut_repeats(docs: DataFrame) -> DataFrame:
 
     @F.pandas_udf("string")
     def readable(kept: pd.Series) -> pd.Series:
-        return kept.map(lambda b: b.decode("utf-8", "ignore"))
+        return kept.map(lambda b: None if b is None else b.decode("utf-8", "ignore"))
 
-    cut_ = without_repeats(docs)
-    changed = F.col("_cut.n_removed") > 0
-    text = F.when(changed, readable(F.col("_cut.kept"))).otherwise(F.col("text"))
+    name = fresh(docs, "_cut")
+    cut_ = without_repeats(docs, name=name)
+    changed = F.col(f"{name}.n_removed") > 0
+    text = F.when(changed, readable(F.when(changed, F.col(f"{name}.kept")))).otherwise(F.col("text"))
     out = cut_.withColumn("text", text)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(changed, F.char_length("text").cast("long")).otherwise(F.col("n_chars")))

@@ -57,6 +57,24 @@ def test_stage_keeps_columns(spark, edge):
     assert text[9] is not None and len(text[9]) < 60 and text[3] == "short" and text[0] is None
 
 
+def test_runs_and_periods(spark):
+    """Runs of one character and of short periods have few anchors, and their windows are cut as any others."""
+    assert len(list(passages.anchors(b"z" * 500_000))) <= 3
+    assert len(list(passages.anchors(b"ab, " * 100_000))) <= 6
+    docs = [(0, "z" * 3000), (1, "start " + "z" * 700 + " end"), (2, "xyz" * 400), (3, "q" + "zxy" * 300), (4, "ab, " * 150 + "once"), (5, "b, a" * 90), (6, "z" * 400), (7, "y" * 400)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = passages.without_repeats(df).selectExpr("doc_id", "_cut.n_removed", "_cut.n_spans", "sha2(_cut.kept, 256)").collect()
+    assert bag(got) == bag((r[0], *r[2:]) for r in naive(docs, passages.LENGTH))
+
+
+def test_columns_of_any_name(spark):
+    same = "the same passage in both of them, word by word; " * 12
+    docs = spark.createDataFrame([(0, "a " + same, 1, "x", 2, 3), (1, "b " + same, 4, "y", 5, 6)], "doc_id long, text string, _cut int, _spans string, _SPAN_ID int, _span_hash int")
+    got = passages.cut_repeats(docs)
+    assert got.columns == docs.columns
+    assert sorted(tuple(r)[2:] for r in got.collect()) == [(1, "x", 2, 3), (4, "y", 5, 6)]
+
+
 @pytest.mark.parametrize("seed", range(6))
 def test_suffix_array_and_prefixes(seed):
     rng = np.random.default_rng(seed)
