@@ -43,7 +43,7 @@ from farespark.llm.common import batches_of, table
 from farespark.session import scratch_path
 
 #: Cells of a shard (a document's cells stay together, so the last one may go beyond), and terms of a block of items.
-SHARD_CELLS, BLOCK_TERMS = 1 << 19, 200_000
+SHARD_CELLS, BLOCK_TERMS = 1 << 18, 200_000
 #: States opened at a time, or an eighth of them if that is more.
 OPENED = 64
 # Letters of a term: ASCII letters (lower-cased) and digits, and every byte of other code points.
