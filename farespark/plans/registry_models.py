@@ -13,6 +13,7 @@ from farespark.functions import dates, keys
 from farespark.functions.dates import wall_lit
 from farespark.functions.numeric import exact_avg, round_num, safe_ratio
 from farespark.operators.ingest import above_watermark, json_price, normalize, skip_incomplete
+from farespark.operators.selection import percentiles_by_selection
 from farespark.params import DEFAULT
 from farespark.plans import duckdb_sql as D
 from farespark.plans import flows, models
@@ -271,6 +272,26 @@ def agg_percentile_disc(spark, sf):
     )
 
 
+@register(
+    "agg_percentile_select",
+    "SELECT l_returnflag, l_linestatus, quantile_disc(l_quantity, 0.05)::BIGINT AS q05_quantity, "
+    "quantile_disc(CAST(round(l_extendedprice * 100) AS BIGINT), 0.25) AS p25_cents, "
+    "quantile_disc(CAST(round(l_extendedprice * 100) AS BIGINT), 0.5) AS p50_cents, "
+    "quantile_disc(CAST(round(l_extendedprice * 100) AS BIGINT), 0.99) AS p99_cents "
+    "FROM lineitem GROUP BY l_returnflag, l_linestatus",
+)
+def agg_percentile_select(spark, sf):
+    """D5 by distributed selection, on groups that each hold a large share of all rows."""
+    groups = ["l_returnflag", "l_linestatus"]
+    li = spark.read.parquet(f"{sf}/lineitem.parquet")
+    cents = F.round(F.col("l_extendedprice") * 100).cast("long")
+    prices = li.groupBy(*groups, cents.alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    sizes = li.groupBy(*groups, F.col("l_quantity").cast("long").alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    p = percentiles_by_selection(prices, groups, "v", "n", [0.25, 0.5, 0.99]).toDF(*groups, "p25_cents", "p50_cents", "p99_cents")
+    q = percentiles_by_selection(sizes, groups, "v", "n", [0.05]).toDF(*groups, "q05_quantity")
+    return q.join(p, groups)
+
+
 ROUTE_STATS_COLS = [
     "route_key",
     "route_origin",

@@ -9,7 +9,7 @@ from pyspark.sql import SparkSession
 from farespark.params import DEFAULT
 from farespark.plans import duckdb_sql as D
 from farespark.plans import flows
-from farespark.plans.registry_io import UPSERT_SQL
+from farespark.plans.registry_io import SCEN, UPSERT_SQL
 from farespark.schemas import RAW, STG_BASE
 from farespark.session import scratch_path
 from farespark.sources import variants as V
@@ -54,6 +54,31 @@ def stream_ingest(spark, sf):
     return spark.read.parquet(_STATE[k]).select(*STG_BASE.fieldNames())
 
 
+VERSIONS_SQL = D.query(
+    SCEN + D.normalized("b1", P, name="v1") + D.normalized("b2", P, name="v2")
+    + [("versions", "SELECT * FROM v1 UNION SELECT * FROM v2")],
+    "SELECT * FROM versions",
+)
+
+
+@register("stream_versions", VERSIONS_SQL, STG_BASE.fieldNames())
+def stream_versions(spark, sf):
+    """Batch 1, batch 2 and batch 1 again, over many micro-batches and two
+    runs: each version of a quote is appended once."""
+    k = (spark.sparkContext.applicationId, sf, "stream_versions")
+    with _LOCK:
+        if k not in _STATE:
+            first, again = V.batch1(spark, sf), V.batch2(spark, sf)
+            landing = _land(spark, [first], "landing-versions")
+            out, ckpt = scratch_path(spark, "stream-versions"), scratch_path(spark, "stream-versions-ckpt")
+            S.stream_versions(spark, landing, out, ckpt, flows.RUN_TS, P, max_files=2)
+            for df in (again, first):
+                df.select(*RAW_COLS).write.mode("append").parquet(landing)
+            S.stream_versions(spark, landing, out, ckpt, flows.RUN_TS, P, max_files=2)
+            _STATE[k] = out
+    return spark.read.parquet(_STATE[k]).select(*STG_BASE.fieldNames())
+
+
 DAILY_SQL = D.query(
     D.fx1_ods(P)
     + [

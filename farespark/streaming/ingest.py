@@ -29,7 +29,7 @@ class _Totals(StreamingQueryListener):
     """Sums over every micro-batch; a query's own progress list keeps only the last ones."""
 
     def __init__(self):
-        self.batches: dict[str, dict[int, tuple[int, int]]] = {}
+        self.batches: dict[str, dict[int, tuple[int, int, int]]] = {}
         self.ended: dict[str, threading.Event] = {}
 
     def onQueryStarted(self, event):
@@ -38,8 +38,9 @@ class _Totals(StreamingQueryListener):
     def onQueryProgress(self, event):
         p = event.progress
         late = sum(s.numRowsDroppedByWatermark for s in p.stateOperators)
-        rows, dropped = self.batches.setdefault(str(p.runId), {}).get(p.batchId, (0, 0))
-        self.batches[str(p.runId)][p.batchId] = (rows + p.numInputRows, dropped + late)
+        again = sum(int(s.customMetrics.get("numDroppedDuplicateRows", 0)) for s in p.stateOperators)
+        rows, dropped, twice = self.batches.setdefault(str(p.runId), {}).get(p.batchId, (0, 0, 0))
+        self.batches[str(p.runId)][p.batchId] = (rows + p.numInputRows, dropped + late, twice + again)
 
     def onQueryIdle(self, event):
         pass
@@ -48,8 +49,8 @@ class _Totals(StreamingQueryListener):
         self.ended.setdefault(str(event.runId), threading.Event()).set()
 
 
-def _drain(spark: SparkSession, start) -> tuple[int, int, int]:
-    """Runs a query to its end: micro-batches, input rows, rows dropped by the watermark."""
+def _drain(spark: SparkSession, start) -> tuple[int, int, int, int]:
+    """Runs a query to its end: micro-batches, input rows, rows dropped by the watermark, duplicates dropped by the state."""
     totals = _Totals()
     spark.streams.addListener(totals)
     try:
@@ -61,7 +62,8 @@ def _drain(spark: SparkSession, start) -> tuple[int, int, int]:
     finally:
         spark.streams.removeListener(totals)
     of = totals.batches.get(str(q.runId), {})
-    return len(of), sum(r for r, _ in of.values()), sum(d for _, d in of.values())
+    rows, late, again = (sum(counts[i] for counts in of.values()) for i in range(3))
+    return len(of), rows, late, again
 
 
 def raw_stream(spark: SparkSession, landing: str, max_files: int | None = None) -> DataFrame:
@@ -79,6 +81,25 @@ def upsert_newer(spark: SparkSession, batch: DataFrame, path: str, partition_col
     M.upsert_partitioned(spark, batch, path, "record_hash", ["price", "ingested_at"], partition_col, only_newer="ingested_at")
 
 
+#: What makes two deliveries the same version of a quote.
+VERSION_KEY = STG_BASE.fieldNames()
+
+
+def drop_redelivered(rows: DataFrame, keep: str = "7 days") -> DataFrame:
+    """Each version of a quote once: deliveries that repeat one seen within ``keep`` are dropped, over all micro-batches.
+
+    The state holds a version's key from its first arrival for ``keep`` (state
+    store, ``dropDuplicatesWithinWatermark``). The watermark runs on the
+    arrival, the micro-batch's own time, which the offset log keeps for
+    replays: a quote that arrives weeks after its capture is not late and is
+    never lost, and a repeat that comes after ``keep`` goes on to the upsert,
+    which it leaves as it is. Versions differ in any stored column, so a
+    correction passes. Null values are equal to each other.
+    """
+    arrived = rows.withColumn("_arrived", F.current_timestamp()).withWatermark("_arrived", keep)
+    return arrived.dropDuplicatesWithinWatermark(VERSION_KEY).drop("_arrived")
+
+
 def stream_ingest(
     spark: SparkSession,
     landing: str,
@@ -87,17 +108,44 @@ def stream_ingest(
     run_ts: dt.datetime,
     params: Params = DEFAULT,
     max_files: int | None = None,
+    keep: str = "7 days",
 ) -> dict:
-    """Landing files -> normalize -> per-micro-batch de-dup + upsert into STG."""
-    rows = normalize(raw_stream(spark, landing, max_files), run_ts, params)
+    """Landing files -> normalize -> repeats dropped by state -> per-micro-batch de-dup + upsert into STG.
+
+    ``duplicates`` counts the repeats that the state dropped.
+    """
+    rows = drop_redelivered(normalize(raw_stream(spark, landing, max_files), run_ts, params), keep)
 
     def apply(batch: DataFrame, epoch_id: int) -> None:
         b = dedupe_latest(batch).select(*STG_BASE.fieldNames()).withColumn("captured_date", F.to_date("captured_at"))
         upsert_newer(spark, b, stg_path)
 
     writer = rows.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True)
-    batches, n, _ = _drain(spark, writer.start)
-    return {"batches": batches, "rows": n}
+    batches, n, _, twice = _drain(spark, writer.start)
+    return {"batches": batches, "rows": n, "duplicates": twice}
+
+
+def stream_versions(
+    spark: SparkSession,
+    landing: str,
+    out_path: str,
+    checkpoint: str,
+    run_ts: dt.datetime,
+    params: Params = DEFAULT,
+    max_files: int | None = None,
+    keep: str = "7 days",
+) -> dict:
+    """Every version of every quote once, appended to ``out_path`` (no upsert): the history of corrections."""
+    rows = drop_redelivered(normalize(raw_stream(spark, landing, max_files), run_ts, params), keep)
+    writer = (
+        rows.writeStream.format("parquet")
+        .option("path", out_path)
+        .option("checkpointLocation", checkpoint)
+        .outputMode("append")
+        .trigger(availableNow=True)
+    )
+    batches, n, _, twice = _drain(spark, writer.start)
+    return {"batches": batches, "rows": n, "duplicates": twice}
 
 
 def stream_daily(
@@ -144,5 +192,5 @@ def stream_daily(
         .outputMode("append")
         .trigger(availableNow=True)
     )
-    batches, _, dropped = _drain(spark, writer.start)
+    batches, _, dropped, _ = _drain(spark, writer.start)
     return {"batches": batches, "rows_dropped_by_watermark": dropped}
