@@ -42,8 +42,8 @@ class SliceCache:
 
     LONG = 64
 
-    def __init__(self, learn):
-        self.learn, self.new, self.old = learn, {}, {}
+    def __init__(self, learn, most: int = CACHE):
+        self.learn, self.most, self.new, self.old = learn, most, {}, {}
 
     def ids(self, slices: list[str]) -> bytes:
         """The slices' ids in turn, little-endian unsigned 32-bit."""
@@ -57,7 +57,7 @@ class SliceCache:
         got = self.new.get(piece) or self.old.get(piece) or self.learn(piece)
         if len(piece) <= self.LONG:
             self.new[piece] = got
-            if len(self.new) >= CACHE:
+            if len(self.new) >= self.most:
                 self.old, self.new = self.new, {}
         return got
 

@@ -38,7 +38,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from farespark.llm.bpe import SliceCache
+from farespark.llm.bpe import CACHE, SliceCache
 from farespark.llm.common import table, text_of
 from farespark.llm.pretokens import split_batch
 from farespark.session import scratch_path
@@ -168,7 +168,7 @@ class LibraryEncoder:
         self.added = [t.content for t in self.whole.get_added_tokens_decoder().values()]
         self.model = self.whole.model
         self.wide = self.whole.get_vocab_size() > 1 << 16
-        self.cache = SliceCache(self.learn)
+        self.cache = SliceCache(self.learn, most=2 * CACHE)
 
     def learn(self, piece: str) -> bytes:
         shown = piece.encode("utf-8", "surrogatepass").decode("latin-1").translate(_SHOWN)
