@@ -211,17 +211,17 @@ def q_json_price(spark, sf):
 
 # ---------------------------------------------------------------- 2.D aggregates
 
-BASE_DM = FX1 + D.dm_base("ods", P)
+BASE_DM = FX1 + D.mart_rows("ods", P)
 
 
-@register("agg_count", D.query(BASE_DM, "SELECT route_key, COUNT(*) AS n FROM dm_base GROUP BY route_key"), ["route_key", "n"])
+@register("agg_count", D.query(BASE_DM, "SELECT route_key, COUNT(*) AS n FROM mart_rows GROUP BY route_key"), ["route_key", "n"])
 def agg_count(spark, sf):
     return models.dm_base(_ods(spark, sf)).groupBy("route_key").agg(F.count(F.lit(1)).alias("n"))
 
 
 @register(
     "agg_avg",
-    D.query(BASE_DM, "SELECT route_key, CAST(SUM(price) AS DOUBLE) / COUNT(price) AS avg_price FROM dm_base GROUP BY route_key"),
+    D.query(BASE_DM, "SELECT route_key, CAST(SUM(price) AS DOUBLE) / COUNT(price) AS avg_price FROM mart_rows GROUP BY route_key"),
     ["route_key", "avg_price"],
 )
 def agg_avg(spark, sf):
@@ -233,7 +233,7 @@ def agg_avg(spark, sf):
     D.query(
         BASE_DM,
         "SELECT route_key, CAST(round(CAST(stddev_samp(CAST(price AS DOUBLE)) AS DECIMAL(38,10)), 4) AS DOUBLE) AS price_stddev "
-        "FROM dm_base GROUP BY route_key",
+        "FROM mart_rows GROUP BY route_key",
     ),
     ["route_key", "price_stddev"],
 )
@@ -247,7 +247,7 @@ def agg_stddev(spark, sf):
 
 @register(
     "agg_minmax",
-    D.query(BASE_DM, "SELECT route_key, MIN(price) AS min_price, MAX(price) AS max_price FROM dm_base GROUP BY route_key"),
+    D.query(BASE_DM, "SELECT route_key, MIN(price) AS min_price, MAX(price) AS max_price FROM mart_rows GROUP BY route_key"),
     ["route_key", "min_price", "max_price"],
 )
 def agg_minmax(spark, sf):
@@ -261,7 +261,7 @@ def agg_minmax(spark, sf):
     D.query(
         BASE_DM,
         "SELECT route_key, CAST(percentile_disc(0.25) WITHIN GROUP (ORDER BY price) AS DECIMAL(12,2)) AS p25_price, "
-        "CAST(percentile_disc(0.5) WITHIN GROUP (ORDER BY price) AS DECIMAL(12,2)) AS p50_price FROM dm_base GROUP BY route_key",
+        "CAST(percentile_disc(0.5) WITHIN GROUP (ORDER BY price) AS DECIMAL(12,2)) AS p50_price FROM mart_rows GROUP BY route_key",
     ),
     ["route_key", "p25_price", "p50_price"],
 )
@@ -307,10 +307,10 @@ ROUTE_STATS_COLS = [
 @register(
     "route_stats",
     D.query(
-        FX1 + D.dm_parts("ods", P),
-        "SELECT route_key, route_origin, route_destination, samples_total, route_avg_price, "
-        "CAST(round(CAST(route_price_stddev AS DECIMAL(38,10)), 4) AS DOUBLE) AS route_price_stddev, "
-        "route_min_price, route_max_price FROM per_route",
+        FX1 + D.mart_groups("ods", P),
+        "SELECT route.key AS route_key, route.origin AS route_origin, route.destination AS route_destination, n AS samples_total, "
+        f"mean AS route_avg_price, {D.r2('sd', 4)}::DOUBLE AS route_price_stddev, low AS route_min_price, high AS route_max_price "
+        f"FROM mart_groups WHERE part = {D.BY_ROUTE}",
     ),
     ROUTE_STATS_COLS,
 )
@@ -319,9 +319,16 @@ def q_route_stats(spark, sf):
     return rs.withColumn("route_price_stddev", round_num("route_price_stddev", 4).cast("double"))
 
 
+LEAD_SQL = "route.key AS route_key, lead AS days_before_departure, n AS segment_samples, mean AS avg_price_for_days_before_departure"
+SLOT_SQL = (
+    "route.key AS route_key, CAST(slot // 24 AS INTEGER) AS search_weekday_num, CAST(slot % 24 AS INTEGER) AS search_hour, "
+    "n AS segment_samples, mean AS avg_price_for_search_slot"
+)
+
+
 @register(
     "lead_time_stats",
-    D.query(FX1 + D.dm_parts("ods", P), "SELECT * FROM lead_stats"),
+    D.query(FX1 + D.mart_groups("ods", P), f"SELECT {LEAD_SQL} FROM mart_groups WHERE part = {D.BY_LEAD}"),
     ["route_key", "days_before_departure", "segment_samples", "avg_price_for_days_before_departure"],
 )
 def q_lead_time_stats(spark, sf):
@@ -330,7 +337,7 @@ def q_lead_time_stats(spark, sf):
 
 @register(
     "search_time_stats",
-    D.query(FX1 + D.dm_parts("ods", P), "SELECT * FROM slot_stats"),
+    D.query(FX1 + D.mart_groups("ods", P), f"SELECT {SLOT_SQL} FROM mart_groups WHERE part = {D.BY_SLOT}"),
     ["route_key", "search_weekday_num", "search_hour", "segment_samples", "avg_price_for_search_slot"],
 )
 def q_search_time_stats(spark, sf):
@@ -349,9 +356,8 @@ def q_daily_agg(spark, sf):
 @register(
     "route_cv",
     D.query(
-        FX1 + D.dm_parts("ods", P),
-        "SELECT route_key, CAST(round(CAST(CASE WHEN route_avg_price = 0 THEN NULL ELSE route_price_stddev / route_avg_price END "
-        "AS DECIMAL(38,10)), 4) AS DOUBLE) AS route_price_cv FROM per_route",
+        FX1 + D.mart_groups("ods", P),
+        f"SELECT route.key AS route_key, {D.r2('sd / nullif(mean, 0)', 4)}::DOUBLE AS route_price_cv FROM mart_groups WHERE part = {D.BY_ROUTE}",
     ),
     ["route_key", "route_price_cv"],
 )
@@ -376,8 +382,8 @@ def win_rolling7(spark, sf):
 @register(
     "rank_lead_time",
     D.query(
-        FX1 + D.dm_parts("ods", P),
-        "SELECT route_key, days_before_departure, segment_samples, avg_price_for_days_before_departure, CAST(rn AS INTEGER) AS rn FROM lead_ranked",
+        FX1 + D.mart_groups("ods", P),
+        f"SELECT {LEAD_SQL}, (rank() OVER (PARTITION BY route ORDER BY key))::INTEGER AS rn FROM mart_groups WHERE part = {D.BY_LEAD}",
     ),
     ["route_key", "days_before_departure", "segment_samples", "avg_price_for_days_before_departure", "rn"],
 )
@@ -389,8 +395,8 @@ def rank_lead_time(spark, sf):
 @register(
     "rank_search_slot",
     D.query(
-        FX1 + D.dm_parts("ods", P),
-        "SELECT route_key, search_weekday_num, search_hour, segment_samples, avg_price_for_search_slot, CAST(rn AS INTEGER) AS rn FROM slot_ranked",
+        FX1 + D.mart_groups("ods", P),
+        f"SELECT {SLOT_SQL}, (rank() OVER (PARTITION BY route ORDER BY key))::INTEGER AS rn FROM mart_groups WHERE part = {D.BY_SLOT}",
     ),
     ["route_key", "search_weekday_num", "search_hour", "segment_samples", "avg_price_for_search_slot", "rn"],
 )
@@ -405,9 +411,9 @@ def rank_search_slot(spark, sf):
 @register(
     "join_best_lead",
     D.query(
-        FX1 + D.dm_parts("ods", P),
-        "SELECT r.route_key, r.samples_total, CAST(l.days_before_departure AS INTEGER) AS best_days_before_departure, "
-        "l.avg_price_for_days_before_departure FROM per_route r LEFT JOIN lead_ranked l ON r.route_key = l.route_key AND l.rn = 1",
+        FX1 + D.mart_best("ods", P),
+        "SELECT route.key AS route_key, whole.n AS samples_total, days.lead::INTEGER AS best_days_before_departure, "
+        "days.mean AS avg_price_for_days_before_departure FROM mart_best",
     ),
     ["route_key", "samples_total", "best_days_before_departure", "avg_price_for_days_before_departure"],
 )
@@ -424,9 +430,9 @@ def join_best_lead(spark, sf):
 @register(
     "join_best_slot",
     D.query(
-        FX1 + D.dm_parts("ods", P),
-        "SELECT r.route_key, r.samples_total, s.search_weekday_num, CAST(s.search_hour AS INTEGER) AS best_search_hour, "
-        "s.avg_price_for_search_slot FROM per_route r LEFT JOIN slot_ranked s ON r.route_key = s.route_key AND s.rn = 1",
+        FX1 + D.mart_best("ods", P),
+        "SELECT route.key AS route_key, whole.n AS samples_total, (hours.slot // 24)::INTEGER AS search_weekday_num, "
+        "(hours.slot % 24)::INTEGER AS best_search_hour, hours.mean AS avg_price_for_search_slot FROM mart_best",
     ),
     ["route_key", "samples_total", "search_weekday_num", "best_search_hour", "avg_price_for_search_slot"],
 )
@@ -529,8 +535,7 @@ def dow_hour(spark, sf):
     "weekday_name",
     D.query(
         D.raw_fx1(),
-        "SELECT event_id, " + D.WEEKDAY_CASE.replace("s.search_weekday_num", "CAST(extract(dow FROM departure_at) AS INTEGER)")
-        + " AS departure_weekday FROM raw_all",
+        "SELECT event_id, dayname(departure_at) AS departure_weekday FROM raw_all",
     ),
     ["event_id", "departure_weekday"],
 )

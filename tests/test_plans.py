@@ -33,8 +33,9 @@ def test_dm_scans_ods_once_with_grouping_sets(spark):
     assert "BroadcastNestedLoopJoin" not in p and "SortMergeJoin" not in p
 
 
-def test_textbook_dm_uses_window_group_limit(spark):
-    p = plan(models.dm_by_joins(flows.fx1_ods(spark, SF_SMALL)))
+def test_best_segment_by_rank_uses_window_group_limit(spark):
+    stats = models.lead_time_stats(models.dm_base(flows.fx1_ods(spark, SF_SMALL)))
+    p = plan(models.rank_segments(stats, "avg_price_for_days_before_departure", ["days_before_departure"]).filter("rn = 1"))
     assert "WindowGroupLimit" in p
 
 
