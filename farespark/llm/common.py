@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import contextlib
-from collections.abc import Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,6 +42,25 @@ def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
+def giving_back(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run``, a function over a task's batches; at its end the free memory goes back to the system.
+
+    Spark keeps Python workers for later stages, and their allocators keep
+    what earlier ones took.
+    """
+
+    def whole(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # only glibc has it
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return whole
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """``name``, with underscores where a column of ``df`` is called so (in any case of letters)."""
     taken = {c.lower() for c in df.columns}

@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farespark.llm.common import fresh, land, table, text_of
+from farespark.llm.common import fresh, giving_back, land, table, text_of
 from farespark.llm.suffix_arrays import repeated_windows
 
 LENGTH = 400
@@ -219,7 +219,7 @@ def _merge(pdf: pd.DataFrame) -> pd.DataFrame:
 def repeated_spans(docs: DataFrame, length: int = LENGTH, piece: int = PIECE) -> DataFrame:
     """(doc_id, text_hash, spans): byte ranges [start, end) of a text that repeated windows cover. ``docs``: doc_id, text."""
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_of(docs)).alias("text_hash"), text_of(docs).alias("text"))
-    every = land(keyed.mapInArrow(_anchor_rows(length), _ANCHOR), "passages-anchors")
+    every = land(keyed.mapInArrow(giving_back(_anchor_rows(length)), _ANCHOR), "passages-anchors")
     twice = every.groupBy("gram").agg(F.sum("copies").alias("n")).where("n > 1").select("gram")
     places = land(every.join(twice, "gram"), "passages-places")
 
@@ -240,7 +240,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, piece: int = PIECE) ->
         .select("gram", "snippet", "shards", F.pmod("snippet", "shards").alias("shard"), F.expr(f"substring(cast(d.text as binary), lo + 1, hi - lo + {length})").alias("data"))
     )
     found = land(
-        data.repartition("gram", "shard").sortWithinPartitions("gram", "shard", "snippet").mapInPandas(_shards(length), _FOUND),
+        data.repartition("gram", "shard").sortWithinPartitions("gram", "shard", "snippet").mapInPandas(giving_back(_shards(length)), _FOUND),
         "passages-found",
     )
     merged = found.where("shard >= 0").groupBy("gram", "span").applyInPandas(_merge, "gram long, snippet long, runs array<array<int>>")
@@ -279,10 +279,12 @@ def union_of(spans) -> list[tuple[int, int]]:
     return [(s, e) for s, e in out]
 
 
-def cut(text: Column, spans: Column) -> Column:
-    """Struct of what is left of a text (bytes), and the number of bytes and runs removed."""
+def cut(text: Column, spans: Column, whole_chars: bool = False) -> Column:
+    """Struct of what is left of a text (bytes), and the number of bytes and runs removed.
+
+    With ``whole_chars`` the left-over bytes of a character that was cut go too.
+    """
 
-    @F.pandas_udf("kept binary, n_removed long, n_spans long")
     def of(texts: pd.Series, spans: pd.Series) -> pd.DataFrame:
         kept, removed, n = [], [], []
         for t, s in zip(texts, spans):
@@ -297,15 +299,21 @@ def cut(text: Column, spans: Column) -> Column:
             if runs:
                 edges = [0, *(x for r in runs for x in r), len(data)]
                 data = b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2]))
+                if whole_chars:
+                    data = data.decode("utf-8", "ignore").encode()
             kept.append(data)
             removed.append(gone)
             n.append(len(runs))
         return pd.DataFrame({"kept": kept, "n_removed": removed, "n_spans": n})
 
-    return of(text, spans)
+    @F.pandas_udf("kept binary, n_removed long, n_spans long")
+    def some(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        yield from giving_back(lambda pairs: (of(t, s) for t, s in pairs))(batches)
 
+    return some(text, spans)
 
-def without_repeats(docs: DataFrame, length: int = LENGTH, piece: int = PIECE, name: str = "_cut") -> DataFrame:
+
+def without_repeats(docs: DataFrame, length: int = LENGTH, piece: int = PIECE, name: str = "_cut", whole_chars: bool = False) -> DataFrame:
     """``docs`` with a struct column ``name``: kept (bytes), n_removed, n_spans."""
     spans, doc_id, text_hash = (fresh(docs, x) for x in ("_spans", "_span_id", "_span_hash"))
     found = repeated_spans(docs.select("doc_id", "text"), length, piece).select(
@@ -315,7 +323,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, piece: int = PIECE, n
     joined = docs.join(found, same, "left")
     # Only texts with something to cut go to Python.
     whole = F.coalesce(docs["text"], F.lit(""))
-    done = cut(F.when(F.col(spans).isNotNull(), whole), F.col(spans))
+    done = cut(F.when(F.col(spans).isNotNull(), whole), F.col(spans), whole_chars)
     made = joined.withColumn(name, done)
     told = F.struct(F.coalesce(F.col(f"{name}.kept"), whole.cast("binary")).alias("kept"), F.col(f"{name}.n_removed").alias("n_removed"), F.col(f"{name}.n_spans").alias("n_spans"))
     return made.select(*[docs[c] for c in docs.columns], told.alias(name))
@@ -337,15 +345,10 @@ def cut_repeats(docs: DataFrame) -> DataFrame:
 
     A cut may fall inside a character; its left-over bytes go with it.
     """
-
-    @F.pandas_udf("string")
-    def readable(kept: pd.Series) -> pd.Series:
-        return kept.map(lambda b: None if b is None else b.decode("utf-8", "ignore"))
-
     name = fresh(docs, "_cut")
-    cut_ = without_repeats(docs, name=name)
+    cut_ = without_repeats(docs, name=name, whole_chars=True)
     changed = F.col(f"{name}.n_removed") > 0
-    text = F.when(changed, readable(F.when(changed, F.col(f"{name}.kept")))).otherwise(F.col("text"))
+    text = F.when(changed, F.col(f"{name}.kept").cast("string")).otherwise(F.col("text"))
     out = cut_.withColumn("text", text)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(changed, F.char_length("text").cast("long")).otherwise(F.col("n_chars")))

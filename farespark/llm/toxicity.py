@@ -41,7 +41,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farespark.llm.common import crc_mod, land, table, text_of
+from farespark.llm.common import crc_mod, giving_back, land, table, text_of
 
 #: Bounds of the sample that the model is fitted on: documents of each label, and code points of a document.
 MAX_FIT, FIT_CHARS = 6_000, 200_000
@@ -200,7 +200,7 @@ def train(rows: DataFrame, min_docs: int = MIN_DOCS) -> Model:
                     [part.column(1), pa.array([[sorted(x) for x in _bag(t)] for t in part.column(0).to_pylist()], pa.list_(pa.list_(pa.string())))], names=["y", "bag"]
                 )
 
-    got = land(rows.select("text", "toxic").mapInArrow(bags, "y int, bag array<array<string>>"), "toxicity-sample")
+    got = land(rows.select("text", "toxic").mapInArrow(giving_back(bags), "y int, bag array<array<string>>"), "toxicity-sample")
     n = {r["y"]: r["n"] for r in got.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     n0, n1 = n.get(0, 0), n.get(1, 0)
     if not n0 or not n1:
@@ -218,7 +218,7 @@ def train(rows: DataFrame, min_docs: int = MIN_DOCS) -> Model:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(bag, pa.list_(pa.list_(pa.string())))], names=["y", "bag"])
 
     # Sorted, so that the sums of the fit do not depend on which task came first.
-    told = sorted((r["y"], r["bag"]) for r in got.mapInArrow(known, "y int, bag array<array<string>>").collect())
+    told = sorted((r["y"], r["bag"]) for r in got.mapInArrow(giving_back(known), "y int, bag array<array<string>>").collect())
     return fit([[set(s) for s in bag] for _, bag in told], np.array([y for y, _ in told]), vocabulary)
 
 
@@ -234,7 +234,11 @@ def scored(docs: DataFrame, model: Model, text_col: str = "text", at_least: floa
     return docs.withColumn(name, of(text_of(docs, text_col)))
 
 
-def _scores(model: Broadcast, texts: pa.Array, at_least: float | None, some: int = 200) -> Iterator[tuple[float, list]]:
+#: Texts that a worker holds as strings, and rows that it gives back at once.
+_SOME = 200
+
+
+def _scores(model: Broadcast, texts: pa.Array, at_least: float | None, some: int = _SOME) -> Iterator[tuple[float, list]]:
     for at in range(0, len(texts), some):
         for t in texts.slice(at, some).to_pylist():
             yield model.value.score(t, at_least)
@@ -249,9 +253,10 @@ def document_scores(docs: DataFrame, model: Model) -> DataFrame:
             got = [(score, len(found)) for score, found in _scores(shared, b.column(1), 0.5)]
             cols = list(zip(*got)) or [(), ()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(cols[0], pa.float64()), pa.array(cols[1], pa.int32())], names=["doc_id", "score", "n_offending"])
+        shared.value.words.clear()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, score double, n_offending int")
+    return rows.mapInArrow(giving_back(run), "doc_id long, score double, n_offending int")
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -273,6 +278,9 @@ def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            yield b.filter(pa.array([score < 0.5 for score, _ in _scores(shared, b.column(place), None)], pa.bool_()))
+            for at in range(0, b.num_rows, _SOME):
+                part = b.slice(at, _SOME)
+                yield part.filter(pa.array([score < 0.5 for score, _ in _scores(shared, part.column(place), None)], pa.bool_()))
+        shared.value.words.clear()
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(giving_back(run), docs.schema)
