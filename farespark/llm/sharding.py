@@ -8,12 +8,15 @@ shard, so the driver solves it; sizes cover all rows.
 A shard's rows are ordered by a hash of the text, and the flow cuts that order
 into blocks, one for each receiver. The place of a cut is found from sums by
 range of the hash, and only the range with the cut is ordered row by row.
-Equal texts have equal hashes and stay together; only texts of which the
-copies alone fill over a hundredth of a shard are ordered by (text, id), so
-that no group is too large for a task or a shard. Only shards that give or
-take a block are rewritten; the others stay as they are in the old layout.
+Equal texts have equal hashes and stay together. Large groups (over LARGE of a
+shard) come first in the order, where a shard's own block lies, so that cuts fall
+between small ones. Only a group of which the copies alone fill over
+WHOLE of a shard is ordered by (text, id) and may part. Only shards that
+give or take a block are rewritten; the others stay as they are in the old layout.
 
-Law: bytes. Sizes are near equal: each cut is off by less than one group.
+Law: bytes. Sizes are near equal: each cut is off by at most half a group, a large
+one only where an old shard has more of them than its own block holds. On a table of
+few documents one text may be a good part of a shard, so sizes differ by that much.
 
 Defined results: a null text has no bytes and size 1; null ids are a value
 like others; rows that repeat each have a slot. An empty table has empty
@@ -31,8 +34,10 @@ from farespark.llm.common import table
 from farespark.session import scratch_path
 
 N_OLD, N_NEW = 6, 8
-#: A group of equal texts that alone fills this part of a shard is not kept together.
-GROUP_SHARE = 0.01
+#: A group of equal texts that fills this part of a shard is large: it comes first in its shard's order.
+LARGE = 0.01
+#: A group that fills more than this part of a shard cannot stay whole beside near equal sizes.
+WHOLE = 0.5
 _RANGES = 12  # bits: ranges of the hash in which sizes are summed
 
 
@@ -86,13 +91,16 @@ class Transfer:
     n_bytes: int
 
 
-def _order(rows: DataFrame, share: float) -> Column:
-    """63-bit order of the rows: the hash of the text, with the id for texts that are too frequent."""
+def _order(rows: DataFrame, n_shards: int, whole: float = WHOLE) -> Column:
+    """63-bit order of the rows: large groups first, then by the hash of the text, with the id for groups over ``whole``."""
     th = F.xxhash64("text")
     total = rows.agg(F.sum("size")).first()[0] or 0
-    frequent = rows.groupBy(th.alias("th")).agg(F.sum("size").alias("n")).where(F.col("n") > F.lit(total * share)).collect()  # under 1 / share rows
-    wide = th.isin([r["th"] for r in frequent]) if frequent else F.lit(False)
-    return F.shiftrightunsigned(F.when(wide, F.xxhash64("text", "doc_id")).otherwise(th), 1)
+    sums = rows.groupBy(th.alias("th")).agg(F.sum("size").alias("n"))
+    frequent = sums.where(F.col("n") > F.lit(total * min(LARGE, whole) / n_shards)).collect()  # under n_shards / LARGE rows
+    parted = [r["th"] for r in frequent if r["n"] > total * whole / n_shards]
+    large = sorted({r["th"] for r in frequent} - set(parted))
+    low = F.shiftrightunsigned(F.when(th.isin(parted), F.xxhash64("text", "doc_id")).otherwise(th), 2)
+    return F.when(th.isin(large), low).otherwise(low.bitwiseOR(F.lit(1 << 62)))
 
 
 def sized(docs: DataFrame) -> DataFrame:
@@ -173,7 +181,7 @@ def slots(rows: DataFrame) -> Column:
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Grows a layout of N_OLD shards, dealt by the hash of the text, to N_NEW of near equal bytes."""
     docs = sized(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    rows = docs.withColumn("ord", _order(docs, GROUP_SHARE / N_NEW)).withColumn("old", F.pmod(F.col("ord"), F.lit(N_OLD)).cast("int"))
+    rows = docs.withColumn("ord", _order(docs, N_NEW)).withColumn("old", F.pmod(F.col("ord"), F.lit(N_OLD)).cast("int"))
     total = rows.agg(F.sum("size")).first()[0] or 0
     blocks = plan(rows.select("old", "ord", "size"), N_OLD, capacities(total, N_NEW))
     path = scratch_path(spark, "sharding")
