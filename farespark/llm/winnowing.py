@@ -1,7 +1,8 @@
 """Document fingerprints by winnowing, in DataFrame functions only.
 
-A text is cut into tokens (up to eight letters or digits, or one other sign),
-every ``K`` consecutive tokens are hashed, and of every window of ``W``
+A text is cut into tokens: a run of up to ``RUN`` letters or digits, each letter or
+digit of a longer run (base64, scripts without spaces), or one other sign. So where a
+token starts and ends does not depend on how far away its run began. Every ``K`` consecutive tokens are hashed, and of every window of ``W``
 consecutive hashes the smallest is chosen, the rightmost of equals. Hash and
 place are kept. Two texts that share K + W - 1 consecutive tokens share a
 chosen hash; no match shorter than K tokens is reported.
@@ -27,7 +28,8 @@ from pyspark.sql import functions as F
 from farespark.llm.common import land, table, text_of
 
 K, W = 4, 8
-_TOKEN = r"[\p{L}\p{N}]{1,8}|[^\s\p{L}\p{N}]"
+RUN = 32
+_TOKEN = r"(?<![\p{L}\p{N}])[\p{L}\p{N}]{1,%d}+(?![\p{L}\p{N}])|[\p{L}\p{N}]|[^\s\p{L}\p{N}]" % RUN
 _PLACE = 31  # bits of the place
 
 

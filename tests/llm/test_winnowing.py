@@ -23,9 +23,8 @@ def tokens(text: str) -> list[str]:
     out, run = [], ""
     for c in [*text, "\n"]:
         wordy = unicodedata.category(c)[0] in "LN"
-        if not wordy or len(run) == 8:
-            if run:
-                out.append(run)
+        if not wordy:
+            out += [run] if 0 < len(run) <= winnowing.RUN else list(run)
             run = ""
         if wordy:
             run += c
@@ -113,6 +112,14 @@ def test_shared_run_shares_a_hash(spark):
     assert any(a[h] - b[h] == 2 for h in a.keys() & b.keys())
 
 
+def test_runs_match_at_any_offset(spark):
+    """What two unbroken runs share is found wherever the runs began."""
+    letters = "".join(chr(97 + (i * i // 7 + i) % 26) for i in range(400))
+    df = spark.createDataFrame([(letters,), ("x" + letters,), (letters[3:] + " end",)], "text string")
+    a, b, c = ({h for h, _ in r["p"]} for r in winnowing.fingerprint(df, F.col("text"), "fp").select(winnowing.with_places(F.col("fp")).alias("p")).collect())
+    assert len(a & b) / len(a | b) > 0.9 and len(a & c) / len(a | c) > 0.9
+
+
 def test_plan_has_no_python(spark, small):
     plan = winnowing.op10_winnowing(spark, small)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
