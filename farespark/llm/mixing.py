@@ -33,7 +33,7 @@ from fractions import Fraction
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from farespark.llm.common import land, table, text_of
+from farespark.llm.common import fresh, land, table, text_of
 
 BUCKETS = 12  # bits: 4096 ranges of the drawn order
 LEVELS = ("_domain", "_language", "_source")
@@ -128,17 +128,18 @@ def _draw(seed: int, epoch: Column) -> Column:
 
 
 def mixed(docs: DataFrame, mix: Mixture, domain: Column, id_col: str = "doc_id") -> DataFrame:
-    """``docs`` that are chosen, with _domain, _tokens (of one copy) and _copies (how often each is taken)."""
+    """``docs`` that are chosen, with columns named by :func:`added`: domain, tokens (of one copy), copies (how often each is taken)."""
     spark = docs.sparkSession
-    told = docs.withColumns(
-        {
-            "_domain": domain,
-            "_language": F.col("lang"),
-            "_source": F.col("source"),
-            "_key": F.col(id_col),
-            "_text_hash": F.xxhash64(text_of(docs)),
-            "_tokens": tokens_of(text_of(docs)),
-        }
+    # Columns of ``docs`` go by their number here, so that no name of theirs can clash.
+    own = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    told = docs.select(
+        *[F.col(f"`{c}`").alias(n) for c, n in own.items()],
+        domain.alias("_domain"),
+        F.col("lang").alias("_language"),
+        F.col("source").alias("_source"),
+        F.col(f"`{id_col}`").alias("_key"),
+        F.xxhash64(text_of(docs)).alias("_text_hash"),
+        tokens_of(text_of(docs)).alias("_tokens"),
     )
     # Read three times below: the words of a text are counted once for it.
     narrow = land(told.select(*LEVELS, "_key", "_text_hash", "_tokens"), "mixing-rows")
@@ -191,13 +192,22 @@ def mixed(docs: DataFrame, mix: Mixture, domain: Column, id_col: str = "doc_id")
         F.struct(F.col("_tokens").alias("n"), whole.alias("copies"), F.lit(False).alias("cut")),
         F.struct(F.col("_part").alias("n"), cut.alias("copies"), F.lit(True).alias("cut")),
     )
-    text = F.when(F.col("_take.cut"), first_tokens(F.col("text"), F.col("_take.n"))).otherwise(F.col("text")).alias("text")
-    return (
-        numbered.withColumn("_take", F.explode(F.filter(takes, lambda t: t["copies"] > 0)))
-        .select(*[text if c == "text" else F.col(f"`{c}`") for c in docs.columns], "_domain", F.col("_take.n").alias("_tokens"), F.col("_take.copies").alias("_copies"))
+    whole_text = F.col(own["text"])
+    text = F.when(F.col("_take.cut"), first_tokens(whole_text, F.col("_take.n"))).otherwise(whole_text)
+    domain_name, tokens_name, copies_name = added(docs)
+    return numbered.withColumn("_take", F.explode(F.filter(takes, lambda t: t["copies"] > 0))).select(
+        *[(text if c == "text" else F.col(n)).alias(c) for c, n in own.items()],
+        F.col("_domain").alias(domain_name),
+        F.col("_take.n").alias(tokens_name),
+        F.col("_take.copies").alias(copies_name),
     )
 
 
+def added(docs: DataFrame) -> tuple[str, str, str]:
+    """Names of the columns that :func:`mixed` adds: domain, tokens, copies."""
+    return fresh(docs, "_domain"), fresh(docs, "_tokens"), fresh(docs, "_copies")
+
+
 def _with_leaf(df: DataFrame, leaves: DataFrame) -> DataFrame:
     b = leaves.select(*[F.col(c).alias(f"_leaf{c}") if c in LEVELS else F.col(c) for c in leaves.columns])
     same = [df[c].eqNullSafe(b[f"_leaf{c}"]) for c in LEVELS]
@@ -210,7 +220,11 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.select("doc_id", F.col("_domain").alias("domain"), "lang", "source", F.col("_tokens").alias("n_tokens"), F.col("_copies").alias("copies"))
 
 
-def take_mix(docs: DataFrame, mix: Mixture = PLAN) -> DataFrame:
-    """The chosen documents, each as often as it is taken; columns unchanged, but for the text of the cut ones."""
-    m = mixed(docs, mix, domain_of(F.col("source")))
-    return m.withColumn("_epoch", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select(*[F.col(f"`{c}`") for c in docs.columns])
+def take_mix(docs: DataFrame, mix: Mixture = PLAN, domain: Column | None = None) -> DataFrame:
+    """The chosen documents, each as often as it is taken; columns unchanged, but for the text of the cut ones.
+
+    ``domain``: a column of the documents or a mapping of them; by the source's name if it is not given.
+    """
+    m = mixed(docs, mix, domain_of(F.col("source")) if domain is None else domain)
+    again = F.explode(F.sequence(F.lit(1).cast("long"), F.col(added(docs)[2])))
+    return m.select(*[F.col(f"`{c}`") for c in docs.columns], again.alias(fresh(docs, "_epoch"))).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -113,6 +113,25 @@ def test_op3_recall(spark, small):
     assert sum(r["n_links"] for r in got.values()) >= 0.9 * sum(r[1] for r in want.values())
 
 
+@pytest.mark.parametrize("dim", [64, 256])
+def test_op3_recall_of_planted_pairs(spark, tmp_path, dim):
+    """Pairs planted just above the bound are found, pairs just below it are not."""
+    rng = np.random.default_rng(dim)
+    rows, above = [], set()
+    for i, cosine in enumerate(np.tile([0.931, 0.94, 0.96, 0.929], 100)):
+        a, b = rng.standard_normal((2, dim))
+        a /= np.linalg.norm(a)
+        b -= (b @ a) * a
+        b /= np.linalg.norm(b)
+        rows += [(2 * i, a.tolist(), i % 3), (2 * i + 1, (cosine * a + np.sqrt(1 - cosine**2) * b).tolist(), i % 3)]
+        if cosine >= 0.93:
+            above |= {2 * i, 2 * i + 1}
+    # Doubles, as vectors of floats may fall below the bound.
+    spark.createDataFrame(rows, "vec_id long, embedding array<double>, label long").write.parquet(str(tmp_path / "embeddings.parquet"))
+    linked = {r["vec_id"] for r in lattice.op3_lattice(spark, str(tmp_path)).where("n_links > 0").collect()}
+    assert linked <= above and len(linked) >= 0.9 * len(above)
+
+
 def test_e8_points_are_nearest():
     x = np.random.default_rng(1).standard_normal((300, 8)) * 2
     got = lattice.decode_e8(x)

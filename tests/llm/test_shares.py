@@ -53,6 +53,31 @@ def test_op4(spark, request, where):
         assert max(abs(size[j] - total / 8) for j in range(8)) <= 2 * max(group.values())
 
 
+def test_op4_groups_stay_whole(spark, small):
+    """Copies part only where they fill over half a shard; then sizes are still near equal."""
+    size, shards, group = Counter(), defaultdict(set), Counter()
+    for r in sharding.op4_sharding(spark, small).collect():
+        size[r["shard"]] += r["size"]
+        shards[r["text_crc32"]].add(r["shard"])
+        group[r["text_crc32"]] += r["size"]
+    assert not [t for t, s in shards.items() if len(s) > 1 and group[t] <= sharding.WHOLE * sum(size.values()) / sharding.N_NEW]
+
+
+def test_op4_large_groups_leave_the_sizes_equal(spark, tmp_path):
+    """A hot text of a third of all rows parts, groups of a twelfth of a shard do not, and no shard is off by more than a part of them."""
+    rows = [(i, "hot" if i % 3 == 0 else f"group {i % 96}" if i % 3 == 1 else f"text {i}") for i in range(9_000)]
+    got = _resharded(spark, rows, tmp_path)
+    shards, size = defaultdict(set), Counter()
+    texts = dict(rows)
+    for r in got:
+        shards[texts[r["doc_id"]]].add(r["shard"])
+        size[r["shard"]] += r["size"]
+    assert len(got) == len(rows) and len(shards.pop("hot")) > 1
+    assert all(len(s) == 1 for s in shards.values())
+    mean = sum(size.values()) / 8
+    assert max(abs(size[j] - mean) for j in range(8)) < 0.02 * mean
+
+
 def test_only_affected_shards_are_written():
     blocks = [sharding.Transfer(0, 0, 0, 5, 9), sharding.Transfer(1, 1, 0, 4, 3), sharding.Transfer(1, 3, 4, 9, 2), sharding.Transfer(2, 2, 0, 9, 5)]
     assert sharding.affected(blocks, 3, 4) == [1, 3]
@@ -62,7 +87,7 @@ def _old_shards(spark, rows) -> list[list[tuple]]:
     """The rows (doc_id, text) by the old shard that they have in a small table."""
     docs = sharding.sized(spark.createDataFrame(rows, "doc_id long, text string"))
     out = [[] for _ in range(sharding.N_OLD)]
-    for r in docs.select("doc_id", "text", F.pmod(sharding._order(docs, 0.0), F.lit(sharding.N_OLD)).alias("old")).collect():
+    for r in docs.select("doc_id", "text", F.pmod(sharding._order(docs, sharding.N_NEW), F.lit(sharding.N_OLD)).alias("old")).collect():
         out[r["old"]].append((r["doc_id"], r["text"]))
     return out
 
@@ -175,3 +200,15 @@ def test_take_mix_gives_each_leaf_its_part_of_skewed_documents(spark, seed):
     assert not Counter(r["doc_id"] for r in got) - Counter(r[0] for r in rows)
     cut = Counter((r["lang"], r["source"]) for r in got if (r["text"] or "") != whole[r["doc_id"]])
     assert all(n == 1 for n in cut.values())
+
+
+def test_mixing_keeps_columns_of_any_name(spark):
+    """Columns called as the operator's own come back as they were."""
+    names = ["_domain", "_language", "_source", "_key", "_tokens", "_text_hash", "_copies", "_take", "_r", "_leaf_domain", "c0", "_epoch"]
+    docs = spark.range(50).select(
+        F.col("id").alias("doc_id"), F.format_string("word%d of text", "id").alias("text"), F.lit("en").alias("lang"), F.lit("src1").alias("source"), *[F.lit(f"own {n}").alias(n) for n in names]
+    )
+    got = mixing.take_mix(docs, mixing.PLAN, F.lit("one domain"))
+    assert got.columns == docs.columns
+    rows = got.collect()
+    assert rows and all(r[n] == f"own {n}" for r in rows for n in names)
