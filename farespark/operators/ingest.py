@@ -4,17 +4,54 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from farespark.functions.dates import wall_lit
 from farespark.functions.keys import record_hash
 from farespark.params import DEFAULT, Params
-from farespark.schemas import PRICE, STG_BASE
+from farespark.schemas import PRICE, RAW, STG_BASE
 
 EPOCH = dt.datetime(1970, 1, 1)
 
 
+#: Text of a line that is no document, beside the columns of RAW.
+CORRUPT = "corrupt_line"
+
+
+def read_documents(spark: SparkSession, path: str) -> DataFrame:
+    """Raw quotes from files with one JSON document a line (A1), as RAW and ``CORRUPT``.
+
+    Documents have no schema of their own: fields that RAW lacks are left
+    out, absent ones are null, and every value is read as text and then
+    cast, so a number in quotes or a time with an offset is understood and a
+    value that is not costs its field only. A line that is no document costs
+    itself only: its other columns are null, the loader skips it and
+    :func:`rejected` reports it. Empty lines are nothing.
+    """
+    fields = [T.StructField(f.name, T.StringType()) for f in RAW.fields]
+    as_text = T.StructType([*fields, T.StructField(CORRUPT, T.StringType())])
+    document = F.from_json("value", as_text, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    # A line such as [] is JSON and no document.
+    told = F.coalesce(F.col(f"d.{CORRUPT}"), F.when(~F.col("value").rlike(r"^\s*\{"), F.col("value")))
+    rows = spark.read.text(path).where(F.trim("value") != "").select("value", document.alias("d")).withColumn(CORRUPT, told)
+
+    def typed(f: T.StructField) -> Column:
+        c = F.when(F.col(CORRUPT).isNull(), F.col(f"d.{f.name}"))
+        if isinstance(f.dataType, T.TimestampNTZType):
+            c = c.try_cast("timestamp")  # with an offset or in the session's zone, UTC
+        return c.cast(f.dataType) if isinstance(f.dataType, (T.TimestampNTZType, T.StringType)) else c.try_cast(f.dataType)
+
+    return rows.select(*[typed(f).alias(f.name) for f in RAW.fields], CORRUPT)
+
+
+def stamped(raw: DataFrame, run_ts: dt.datetime) -> DataFrame:
+    """RAW rows with the time of their arrival where they carry none (A3)."""
+    at = F.coalesce(F.col("ingested_at").cast("timestamp_ntz"), wall_lit(run_ts))
+    return raw.select(*[at.alias(c) if c == "ingested_at" else F.col(c) for c in RAW.fieldNames()])
+
+
 def skip_incomplete(raw: DataFrame) -> DataFrame:
     """Drop quotes lacking a departure or capture time (B2)."""
     return raw.dropna(subset=["departure_at", "captured_at"])
@@ -56,16 +93,21 @@ def normalize(raw: DataFrame, run_ts: dt.datetime, params: Params = DEFAULT) ->
     return df.filter(F.col("price").isNotNull())
 
 
-def rejected(raw: DataFrame, params: Params = DEFAULT) -> DataFrame:
-    """Quotes the loader does not load, with a reason (quarantine view)."""
+def reject_reason(raw: DataFrame, params: Params = DEFAULT) -> Column:
+    """Why the loader does not load a quote; null if it does."""
     price = _price_col(params)
-    reason = (
-        F.when(F.col("departure_at").isNull(), "missing departure_at")
+    return (
+        F.when(F.col(CORRUPT).isNotNull() if CORRUPT in raw.columns else F.lit(False), "not a document")
+        .when(F.col("departure_at").isNull(), "missing departure_at")
         .when(F.col("captured_at").isNull(), "missing captured_at")
         .when(F.col("price").isNull(), "null price")
         .when(price.isNull(), "price out of range")
     )
-    return raw.withColumn("reject_reason", reason).filter(F.col("reject_reason").isNotNull())
+
+
+def rejected(raw: DataFrame, params: Params = DEFAULT) -> DataFrame:
+    """Quotes the loader does not load, with a reason (quarantine view)."""
+    return raw.withColumn("reject_reason", reject_reason(raw, params)).filter(F.col("reject_reason").isNotNull())
 
 
 def dedupe_latest(df: DataFrame, key: str = "record_hash", order: tuple[str, ...] = ("ingested_at", "price")) -> DataFrame:

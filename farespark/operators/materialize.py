@@ -10,7 +10,7 @@ overwrite; the next change finishes a swap that was interrupted. Everything else
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -59,12 +59,23 @@ def read_first(spark: SparkSession, paths: list[str]) -> DataFrame | None:
     return None
 
 
-def _write(df: DataFrame, path: str, mode: str, partition_col: str | None, dynamic: bool = False, order: tuple[str, ...] = ()) -> None:
+def _write(
+    df: DataFrame,
+    path: str,
+    mode: str,
+    partition_col: str | None,
+    dynamic: bool = False,
+    order: tuple[str, ...] = (),
+    seen: Observation | None = None,
+) -> None:
     if partition_col and not dynamic:
         # Without it every task writes a file into every day it holds. AQE splits a large day and joins small ones.
         df = df.hint("rebalance", F.col(partition_col))
     if order:
         df = df.sortWithinPartitions(*([partition_col] if partition_col else []), *order)
+    if seen is not None:
+        # Last before the write, behind every exchange: a task of the writing stage counts once, however often it is retried.
+        df = df.observe(seen, F.count(F.lit(1)).alias("rows"))
     w = df.write.mode(mode)
     if dynamic:
         w = w.option("partitionOverwriteMode", "dynamic")
@@ -89,9 +100,20 @@ def overwrite(df: DataFrame, path: str) -> None:
     _write(df, path, "overwrite", None)
 
 
-def _staged(spark: SparkSession, df: DataFrame, partition_col: str, name: str) -> DataFrame:
+def write_counted(df: DataFrame, path: str) -> int:
+    """Writes ``df`` in place of what ``path`` holds; the rows are counted by the write itself."""
+    seen = Observation()
+    _write(df, path, "overwrite", None, seen=seen)
+    return rows_seen(seen)
+
+
+def rows_seen(seen: Observation) -> int:
+    return seen.get.get("rows") or 0
+
+
+def _staged(spark: SparkSession, df: DataFrame, partition_col: str, name: str, seen: Observation) -> DataFrame:
     stage = scratch_path(spark, name)
-    _write(df, stage, "overwrite", partition_col)
+    _write(df, stage, "overwrite", partition_col, seen=seen)
     # read through the known schema: an empty stage has no file to infer from
     return spark.read.schema(df.schema).parquet(stage)
 
@@ -167,8 +189,8 @@ def upsert_partitioned(
     update_cols: list[str],
     partition_col: str,
     only_newer: str | None = None,
-) -> None:
-    """Keyed upsert into a partitioned table (A4).
+) -> int:
+    """Keyed upsert into a partitioned table (A4). Returns the rows of the batch, counted as they are written.
 
     The key must determine the partition (record_hash includes captured_at,
     the partition is its date), so a key can only live in the batch's own
@@ -178,22 +200,23 @@ def upsert_partitioned(
     independent of batch order and of replays.
     """
     finish_swap(spark, path, partition_col)
+    seen = Observation()
     current = read_synced(spark, path, batch.schema)
     if current is None:
         # first load: written directly (an empty batch leaves an empty
         # folder, which reads as "no table yet")
-        _write(batch, path, "overwrite", partition_col)
-        return
+        _write(batch, path, "overwrite", partition_col, seen=seen)
+        return rows_seen(seen)
     # The stored schema wins: a batch of wider types must not rewrite some
     # partitions with a different Parquet type (ANSI casts fail on overflow).
     batch = conform(batch, current)
     # Stage the batch once: it is used twice (touched partitions, merge) and
     # is usually the product of normalize + de-dup, not worth recomputing.
     cols = batch.columns
-    staged = _staged(spark, batch, partition_col, "upsert-batch").select(*cols)
+    staged = _staged(spark, batch, partition_col, "upsert-batch", seen).select(*cols)
     parts = staged_partitions(staged, partition_col)
     if not parts:  # empty batch (D13): the table is not touched
-        return
+        return 0
     ptype = current.schema[partition_col].dataType
     target = current.filter(F.col(partition_col).isin([F.lit(p).cast(ptype) for p in parts])).select(*cols)
     if only_newer:
@@ -205,6 +228,7 @@ def upsert_partitioned(
         )
     merged = upsert_rows(target, staged, key, update_cols).select(*cols)
     _replace_partitions(spark, merged, path, partition_col)
+    return rows_seen(seen)
 
 
 def delete_insert_partitioned(

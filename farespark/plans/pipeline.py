@@ -1,6 +1,7 @@
 """The incremental pipeline: one call per raw batch.
 
 Order per batch (the reference's schedule, as a plain function order):
+  0. Raw: the batch, stamped, into its own folder of the raw layer (if it is named).
   1. EL: raw quotes strictly above the STG watermark -> normalize -> de-dup
      -> upsert into STG base (partitioned by capture date).
   2. ODS: STG model rows in the pipeline currency strictly above the ODS
@@ -18,13 +19,14 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from farespark.functions.dates import wall_lit
 from farespark.operators import materialize as M
-from farespark.operators.ingest import above_watermark, normalize, to_stg_base
+from farespark.operators.ingest import CORRUPT, above_watermark, normalize, stamped, to_stg_base
 from farespark.params import DEFAULT, Params
 from farespark.plans import models
-from farespark.schemas import DM_COLUMNS, DWH, DWH_COLUMNS, ODS, ODS_COLUMNS, STG_BASE, with_column_docs
+from farespark.schemas import DM_COLUMNS, DWH, DWH_COLUMNS, ODS, ODS_COLUMNS, RAW, STG_BASE, with_column_docs
 
 
 @dataclass(frozen=True)
@@ -64,6 +66,23 @@ def _with_cap_date(df: DataFrame) -> DataFrame:
     return df.withColumn("captured_date", F.to_date("captured_at"))
 
 
+def store_raw(spark: SparkSession, raw_batch: DataFrame, layout: Layout, batch: str, run_ts: dt.datetime) -> tuple[DataFrame, int]:
+    """Step 0 (A3): the stamped batch as stored, and how many rows were inserted.
+
+    A batch has a folder of its own, so a run that is repeated writes it
+    again and inserts nothing twice. Lines that are no documents are not quotes
+    and stay out of it.
+    """
+    path = f"{layout.raw}/batch={batch}"
+    n = M.write_counted(stamped(raw_batch if CORRUPT not in raw_batch.columns else raw_batch.filter(F.col(CORRUPT).isNull()), run_ts), path)
+    return spark.read.schema(RAW).parquet(path), n
+
+
+def read_raw(spark: SparkSession, layout: Layout) -> DataFrame | None:
+    """Every stored batch of the raw layer, with the column ``batch``."""
+    return M.read_table(spark, layout.raw, T.StructType([*RAW.fields, T.StructField("batch", T.StringType())]))
+
+
 def read_stg_base(spark: SparkSession, layout: Layout) -> DataFrame | None:
     df = M.read_table(spark, layout.stg)
     return None if df is None else df.select(*STG_BASE.fieldNames())
@@ -85,14 +104,13 @@ def read_dm(spark: SparkSession, layout: Layout) -> DataFrame | None:
 
 
 def load_stg(spark: SparkSession, raw_batch: DataFrame, layout: Layout, run_ts: dt.datetime, params: Params = DEFAULT):
-    """Step 1. Returns the STG watermark used (None on the first load)."""
+    """Step 1. Returns the STG watermark used (None on the first load) and the rows transferred."""
     M.finish_swap(spark, layout.stg, "captured_date")
     wm = M.max_value(spark, layout.stg, "captured_at", "captured_date")
     visible = above_watermark(raw_batch, "captured_at", wm)
     # An empty batch stages nothing and leaves the table untouched
     rows = _with_cap_date(to_stg_base(visible, run_ts, params))
-    M.upsert_partitioned(spark, rows, layout.stg, "record_hash", ["price", "ingested_at"], "captured_date")
-    return wm
+    return wm, M.upsert_partitioned(spark, rows, layout.stg, "record_hash", ["price", "ingested_at"], "captured_date")
 
 
 def append_ods(spark: SparkSession, layout: Layout, params: Params = DEFAULT):
@@ -186,11 +204,15 @@ def read_segment_state(spark: SparkSession, layout: Layout, params: Params = DEF
     return spark.read.parquet(f"{layout.dm_segments}/v={head['v']}"), head["v"], head["through_captured_at"]
 
 
-def run_batch(spark: SparkSession, raw_batch: DataFrame, layout: Layout, run_ts: dt.datetime, params: Params = DEFAULT) -> dict:
-    """One scheduled run. DWH and DM both read only ODS, so they are
+def run_batch(spark: SparkSession, raw_batch: DataFrame, layout: Layout, run_ts: dt.datetime, params: Params = DEFAULT, batch: str | None = None) -> dict:
+    """One scheduled run. With a name of the ``batch`` it is kept in the raw layer,
+    and loaded from there. The counters (D12) are observed by the writes: no job is run for them. DWH and DM both read only ODS, so they are
     submitted as concurrent Spark jobs (the reference runs its models on
     several threads too); the session's scheduler shares the cluster."""
-    stg_wm = load_stg(spark, raw_batch, layout, run_ts, params)
+    inserted = None
+    if batch is not None:
+        raw_batch, inserted = store_raw(spark, raw_batch, layout, batch, run_ts)
+    stg_wm, transferred = load_stg(spark, raw_batch, layout, run_ts, params)
     ods_wm = append_ods(spark, layout, params)
     if params.model_threads > 1:
         with ThreadPoolExecutor(max_workers=min(2, params.model_threads)) as pool:
@@ -201,7 +223,7 @@ def run_batch(spark: SparkSession, raw_batch: DataFrame, layout: Layout, run_ts:
     else:
         dwh_since = refresh_dwh(spark, layout, params)
         refresh_dm(spark, layout, params)
-    return {"stg_watermark": stg_wm, "ods_watermark": ods_wm, "dwh_since": dwh_since}
+    return {"stg_watermark": stg_wm, "ods_watermark": ods_wm, "dwh_since": dwh_since, "inserted": inserted, "transferred": transferred}
 
 
 def skipped_by_watermark(raw_batch: DataFrame, stg_base: DataFrame, watermark, run_ts: dt.datetime, params: Params = DEFAULT) -> DataFrame:

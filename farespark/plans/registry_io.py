@@ -96,8 +96,8 @@ def pipeline_state(spark: SparkSession, sf: str) -> dict:
             layout = PL.Layout(scratch_path(spark, "pipeline"))
             b1 = V.batch1(spark, sf).select(*RAW_COLS)
             b2 = V.batch2(spark, sf).select(*RAW_COLS)
-            info1 = PL.run_batch(spark, b1, layout, flows.RUN_TS, P)
-            info2 = PL.run_batch(spark, b2, layout, flows.RUN_TS, P)
+            info1 = PL.run_batch(spark, b1, layout, flows.RUN_TS, P, batch="b1")
+            info2 = PL.run_batch(spark, b2, layout, flows.RUN_TS, P, batch="b2")
             _STATE[k] = {"layout": layout, "batch1": info1, "batch2": info2}
         return _STATE[k]
 
@@ -109,6 +109,22 @@ def pipeline_incremental(spark, sf):
     return PL.read_dwh(spark, pipeline_state(spark, sf)["layout"])
 
 
+@register(
+    "raw_layer",
+    D.query(
+        SCEN,
+        f"SELECT * REPLACE (coalesce(ingested_at, {D.RUN_TS}) AS ingested_at), 'b1' AS batch FROM b1 "
+        f"UNION ALL BY NAME SELECT * REPLACE (coalesce(ingested_at, {D.RUN_TS}) AS ingested_at), 'b2' AS batch FROM b2",
+    ),
+    [*RAW_COLS, "batch"],
+)
+def raw_layer(spark, sf):
+    """A3: both batches as the pipeline stored them, stamped; the first one is stored twice, as by a repeated run."""
+    layout = pipeline_state(spark, sf)["layout"]
+    PL.store_raw(spark, V.batch1(spark, sf).select(*RAW_COLS), layout, "b1", flows.RUN_TS)
+    return PL.read_raw(spark, layout).select(*RAW_COLS, "batch")
+
+
 @register("ods_append", D.query(PIPE, "SELECT * FROM ods"), ODS_COLUMNS)
 def ods_append(spark, sf):
     return PL.read_ods(spark, pipeline_state(spark, sf)["layout"])
@@ -272,14 +288,11 @@ UNION ALL SELECT 2, 'dm_rows', COUNT(*) FROM dm""",
     ["batch", "counter", "n"],
 )
 def batch_counters(spark, sf):
-    """Rows generated, transferred (distinct keys loaded) and stored per
-    layer - each a distributed count, unioned into one small table."""
+    """Rows generated and transferred (distinct keys loaded), as the runs
+    observed them while writing, and rows stored per layer, counted."""
     st = pipeline_state(spark, sf)
     layout = st["layout"]
-    b1 = V.batch1(spark, sf).select(*RAW_COLS)
-    b2 = V.batch2(spark, sf).select(*RAW_COLS)
-    wm = st["batch2"]["stg_watermark"]
-    b2v = b2.filter(F.col("captured_at") > wall_lit(wm))
+    told = [(i, name, st[f"batch{i}"][key]) for name, key in (("generated", "inserted"), ("transferred", "transferred")) for i in (1, 2)]
 
     def cnt(df: DataFrame, batch: int, counter: str) -> DataFrame:
         return df.agg(F.count(F.lit(1)).alias("n")).select(
@@ -287,10 +300,7 @@ def batch_counters(spark, sf):
         )
 
     parts = [
-        cnt(b1, 1, "generated"),
-        cnt(b2, 2, "generated"),
-        cnt(to_stg_base(b1, flows.RUN_TS, P), 1, "transferred"),
-        cnt(to_stg_base(b2v, flows.RUN_TS, P), 2, "transferred"),
+        spark.createDataFrame(told, "batch int, counter string, n long"),
         cnt(PL.read_stg_base(spark, layout), 2, "stg_rows"),
         cnt(PL.read_ods(spark, layout), 2, "ods_rows"),
         cnt(PL.read_dwh(spark, layout), 2, "dwh_rows"),

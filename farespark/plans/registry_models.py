@@ -12,12 +12,13 @@ from pyspark.sql import functions as F
 from farespark.functions import dates, keys
 from farespark.functions.dates import wall_lit
 from farespark.functions.numeric import exact_avg, round_num, safe_ratio
-from farespark.operators.ingest import above_watermark, json_price, normalize, skip_incomplete
+from farespark.operators.ingest import above_watermark, json_price, normalize, read_documents, reject_reason, skip_incomplete
 from farespark.operators.selection import percentiles_by_selection
 from farespark.params import DEFAULT
 from farespark.plans import duckdb_sql as D
 from farespark.plans import flows, models
 from farespark.schemas import DM_COLUMNS, DWH_COLUMNS, ODS_COLUMNS, RAW, STG_BASE, STG_COLUMNS
+from farespark.session import scratch_path
 from farespark.sources import variants as V
 from farespark.sources.fixtures import fx1_raw, fx2_raw
 
@@ -164,6 +165,32 @@ def scan_raw(spark, sf):
     return above_watermark(fx1_raw(spark, sf), "captured_at", V.CUT)
 
 
+# Each event as a document, with a field that no one asks for; some lines are cut off.
+def _document_lines(spark, sf):
+    e = fx1_raw(spark, sf, keep_event_id=True)
+    line = F.to_json(F.struct(*[F.col(c) for c in RAW_COLS], F.col("event_id").alias("event")), {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"})
+    return e.select("event_id", line.alias("line")).select(F.expr("if(event_id % 77 = 0, left(line, length(line) div 2), line)").alias("value"))
+
+
+@register(
+    "json_documents",
+    D.query(
+        D.raw_fx1(),
+        "SELECT " + ", ".join(f"CASE WHEN event_id % 77 <> 0 THEN {c} END AS {c}" for c in RAW_COLS)
+        + ", CASE WHEN event_id % 77 = 0 THEN 'not a document' WHEN departure_at IS NULL THEN 'missing departure_at' "
+        "WHEN captured_at IS NULL THEN 'missing captured_at' WHEN price IS NULL THEN 'null price' "
+        "WHEN TRY_CAST(price AS DECIMAL(12,2)) IS NULL THEN 'price out of range' END AS reject_reason FROM raw_all",
+    ),
+    [*RAW_COLS, "reject_reason"],
+)
+def json_documents(spark, sf):
+    """A1 from JSON lines: every line as read, and why it is not loaded if it is not."""
+    path = scratch_path(spark, "json-documents")
+    _document_lines(spark, sf).write.text(path)
+    rows = read_documents(spark, path)
+    return rows.select(*RAW_COLS, reject_reason(rows, P).alias("reject_reason"))
+
+
 # Payload text derived from each event (list form, object form, empty list,
 # no candidate, unparsable), then parsed back.
 def _payload(spark, sf):
