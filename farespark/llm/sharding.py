@@ -194,7 +194,7 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     if stay:
         files = files.unionByName(dealt.where(F.col("shard").isin(stay)).select(*files.columns))
     kept = files.select(
-        "doc_id", "size", F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("text_crc32"), "shard", "ord", F.shiftright("ord", 63 - _RANGES).alias("span")
+        "doc_id", "size", F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("text_crc32"), "shard", "ord", F.shiftrightunsigned(F.xxhash64("doc_id", "ord"), 64 - _RANGES).alias("span")  # a large group is in all of them
     )
     ranges = kept.groupBy("shard", "span").agg(F.count(F.lit(1)).alias("n"))
     ranges = ranges.withColumn("before", F.sum("n").over(Window.partitionBy("shard").orderBy("span")) - F.col("n"))
