@@ -59,7 +59,7 @@ def read_first(spark: SparkSession, paths: list[str]) -> DataFrame | None:
     return None
 
 
-def _write(
+def write(
     df: DataFrame,
     path: str,
     mode: str,
@@ -87,23 +87,23 @@ def _write(
 def append(df: DataFrame, path: str, partition_col: str | None = None, order: tuple[str, ...] = ()) -> None:
     """Append files (A3, A9), clustered by the partition column and sorted
     by ``order`` (the compound lookup key, A14) within it."""
-    _write(df, path, "append", partition_col, order=order)
+    write(df, path, "append", partition_col, order=order)
 
 
 def create_partitioned(df: DataFrame, path: str, partition_col: str) -> None:
     """First materialization of an incremental table."""
-    _write(df, path, "overwrite", partition_col)
+    write(df, path, "overwrite", partition_col)
 
 
 def overwrite(df: DataFrame, path: str) -> None:
     """Full refresh (A11). ``df`` must not read ``path`` itself."""
-    _write(df, path, "overwrite", None)
+    write(df, path, "overwrite", None)
 
 
 def write_counted(df: DataFrame, path: str) -> int:
     """Writes ``df`` in place of what ``path`` holds; the rows are counted by the write itself."""
     seen = Observation()
-    _write(df, path, "overwrite", None, seen=seen)
+    write(df, path, "overwrite", None, seen=seen)
     return rows_seen(seen)
 
 
@@ -111,15 +111,15 @@ def rows_seen(seen: Observation) -> int:
     return seen.get.get("rows") or 0
 
 
-def _staged(spark: SparkSession, df: DataFrame, partition_col: str, name: str, seen: Observation) -> DataFrame:
+def stage_rows(spark: SparkSession, df: DataFrame, partition_col: str, name: str, seen: Observation) -> DataFrame:
     stage = scratch_path(spark, name)
-    _write(df, stage, "overwrite", partition_col, seen=seen)
+    write(df, stage, "overwrite", partition_col, seen=seen)
     # read through the known schema: an empty stage has no file to infer from
     return spark.read.schema(df.schema).parquet(stage)
 
 
 def _replace_partitions(spark: SparkSession, new_content: DataFrame, path: str, partition_col: str) -> None:
-    _write(new_content, f"{path}/{SWAP}/rows", "overwrite", partition_col)
+    write(new_content, f"{path}/{SWAP}/rows", "overwrite", partition_col)
     finish_swap(spark, path, partition_col, new_content.schema)
 
 
@@ -141,7 +141,7 @@ def finish_swap(spark: SparkSession, path: str, partition_col: str, schema: T.St
     if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{SWAP}/rows/_SUCCESS")):
         staged = read_table(spark, f"{path}/{SWAP}/rows", schema)
         if staged is not None:
-            _write(staged, path, "overwrite", partition_col, dynamic=True)
+            write(staged, path, "overwrite", partition_col, dynamic=True)
     fs.delete(root, True)
 
 
@@ -181,6 +181,13 @@ def staged_partitions(staged: DataFrame, partition_col: str) -> list[str]:
     return sorted(vals)
 
 
+def newer_rows(stored: DataFrame, batch: DataFrame, key: str, column: str) -> DataFrame:
+    """Rows of ``batch`` that are new, or at least as new as the stored row of their key."""
+    old = stored.select(key, F.col(column).alias("_stored_version"))
+    is_new = F.col("_stored_version").isNull() | (F.col(column) >= F.col("_stored_version"))
+    return batch.join(old, key, "left").filter(is_new).select(*batch.columns)
+
+
 def upsert_partitioned(
     spark: SparkSession,
     batch: DataFrame,
@@ -205,7 +212,7 @@ def upsert_partitioned(
     if current is None:
         # first load: written directly (an empty batch leaves an empty
         # folder, which reads as "no table yet")
-        _write(batch, path, "overwrite", partition_col, seen=seen)
+        write(batch, path, "overwrite", partition_col, seen=seen)
         return rows_seen(seen)
     # The stored schema wins: a batch of wider types must not rewrite some
     # partitions with a different Parquet type (ANSI casts fail on overflow).
@@ -213,19 +220,14 @@ def upsert_partitioned(
     # Stage the batch once: it is used twice (touched partitions, merge) and
     # is usually the product of normalize + de-dup, not worth recomputing.
     cols = batch.columns
-    staged = _staged(spark, batch, partition_col, "upsert-batch", seen).select(*cols)
+    staged = stage_rows(spark, batch, partition_col, "upsert-batch", seen).select(*cols)
     parts = staged_partitions(staged, partition_col)
     if not parts:  # empty batch (D13): the table is not touched
         return 0
     ptype = current.schema[partition_col].dataType
     target = current.filter(F.col(partition_col).isin([F.lit(p).cast(ptype) for p in parts])).select(*cols)
     if only_newer:
-        stored = target.select(key, F.col(only_newer).alias("_stored_version"))
-        staged = (
-            staged.join(stored, key, "left")
-            .filter(F.col("_stored_version").isNull() | (F.col(only_newer) >= F.col("_stored_version")))
-            .select(*cols)
-        )
+        staged = newer_rows(target, staged, key, only_newer)
     merged = upsert_rows(target, staged, key, update_cols).select(*cols)
     _replace_partitions(spark, merged, path, partition_col)
     return rows_seen(seen)
@@ -247,7 +249,7 @@ def delete_insert_partitioned(
     finish_swap(spark, path, partition_col)
     current = read_synced(spark, path, new.schema)
     if current is None:
-        _write(new, path, "overwrite", partition_col)
+        write(new, path, "overwrite", partition_col)
         return
     new = conform(new, current)
     if since is not None:

@@ -38,6 +38,13 @@ class Params:
     # state (True) instead of re-scanning all of ODS per batch (False, the
     # reference's full rebuild). Both write the whole mart table.
     incremental_mart: bool = True
+    # STG, ODS and DWH as versioned tables (operators.versions): one write of a
+    # touched partition, changes seen whole or not at all. Off, they are plain
+    # partitioned folders, which a catalog table can be declared over. A table
+    # that has versions keeps them; a plain one is taken over when this is set.
+    versioned_tables: bool = False
+    # Versions that a run leaves of such a table.
+    keep_versions: int = 2
     # Independent models (DWH, DM) of one run are submitted concurrently.
     model_threads: int = 2
     # Anomaly checks (our own control chart; the reference gives no numbers):

@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 
 from farespark.functions.dates import wall_lit
 from farespark.operators import materialize as M
+from farespark.operators import versions as V
 from farespark.operators.ingest import CORRUPT, above_watermark, normalize, stamped, to_stg_base
 from farespark.params import DEFAULT, Params
 from farespark.plans import models
@@ -84,17 +85,17 @@ def read_raw(spark: SparkSession, layout: Layout) -> DataFrame | None:
 
 
 def read_stg_base(spark: SparkSession, layout: Layout) -> DataFrame | None:
-    df = M.read_table(spark, layout.stg)
+    df = V.read(spark, layout.stg) if V.exists(spark, layout.stg) else M.read_table(spark, layout.stg)
     return None if df is None else df.select(*STG_BASE.fieldNames())
 
 
 def read_ods(spark: SparkSession, layout: Layout) -> DataFrame | None:
-    df = M.read_synced(spark, layout.ods, ODS)
+    df = V.read_synced(spark, layout.ods, ODS)
     return None if df is None else df.select(*ODS_COLUMNS)
 
 
 def read_dwh(spark: SparkSession, layout: Layout) -> DataFrame | None:
-    df = M.read_synced(spark, layout.dwh, DWH)
+    df = V.read_synced(spark, layout.dwh, DWH)
     return None if df is None else df.select(*DWH_COLUMNS)
 
 
@@ -103,20 +104,28 @@ def read_dm(spark: SparkSession, layout: Layout) -> DataFrame | None:
     return None if df is None else df.select(*DM_COLUMNS)
 
 
+def _versioned(spark: SparkSession, path: str, params: Params) -> bool:
+    return params.versioned_tables or V.exists(spark, path)
+
+
 def load_stg(spark: SparkSession, raw_batch: DataFrame, layout: Layout, run_ts: dt.datetime, params: Params = DEFAULT):
     """Step 1. Returns the STG watermark used (None on the first load) and the rows transferred."""
-    M.finish_swap(spark, layout.stg, "captured_date")
-    wm = M.max_value(spark, layout.stg, "captured_at", "captured_date")
+    versioned = _versioned(spark, layout.stg, params)
+    if not V.exists(spark, layout.stg):
+        M.finish_swap(spark, layout.stg, "captured_date")
+    wm = (V if versioned else M).max_value(spark, layout.stg, "captured_at", "captured_date")
     visible = above_watermark(raw_batch, "captured_at", wm)
     # An empty batch stages nothing and leaves the table untouched
     rows = _with_cap_date(to_stg_base(visible, run_ts, params))
-    return wm, M.upsert_partitioned(spark, rows, layout.stg, "record_hash", ["price", "ingested_at"], "captured_date")
+    change = V.upsert if versioned else M.upsert_partitioned
+    return wm, change(spark, rows, layout.stg, "record_hash", ["price", "ingested_at"], "captured_date")
 
 
 def append_ods(spark: SparkSession, layout: Layout, params: Params = DEFAULT):
     """Step 2 (A9): strict ``captured_at > max(ODS.captured_at)`` append."""
-    wm = M.max_value(spark, layout.ods, "captured_at", "captured_date")
-    stg = M.read_table(spark, layout.stg)
+    store = V if _versioned(spark, layout.ods, params) else M
+    wm = store.max_value(spark, layout.ods, "captured_at", "captured_date")
+    stg = V.read(spark, layout.stg) if V.exists(spark, layout.stg) else M.read_table(spark, layout.stg)
     if stg is None:  # nothing has been loaded yet (D13)
         return None
     if wm is not None:
@@ -124,15 +133,21 @@ def append_ods(spark: SparkSession, layout: Layout, params: Params = DEFAULT):
         stg = stg.filter(F.col("captured_date") >= wall_lit(wm).cast("date"))
     new = models.ods(models.stg(stg.select(*STG_BASE.fieldNames())), params)
     new = with_column_docs(above_watermark(new, "captured_at", wm))
-    M.append(_with_cap_date(new), layout.ods, "captured_date", order=("route_key", "departure_at", "captured_at"))
+    order = ("route_key", "departure_at", "captured_at")
+    if store is V:
+        V.append(spark, _with_cap_date(new), layout.ods, "captured_date", order=order)
+    else:
+        M.append(_with_cap_date(new), layout.ods, "captured_date", order=order)
     return wm
 
 
 def refresh_dwh(spark: SparkSession, layout: Layout, params: Params = DEFAULT):
     """Step 3 (A10): re-open ``captured_date >= max(DWH.captured_date)``."""
-    M.finish_swap(spark, layout.dwh, "captured_date")
-    since = M.max_value(spark, layout.dwh, "captured_date")
-    ods = M.read_synced(spark, layout.ods, ODS)
+    store = V if _versioned(spark, layout.dwh, params) else M
+    if not V.exists(spark, layout.dwh):
+        M.finish_swap(spark, layout.dwh, "captured_date")
+    since = store.max_value(spark, layout.dwh, "captured_date", "captured_date")
+    ods = V.read_synced(spark, layout.ods, ODS)
     if ods is None:
         return None
     if since is not None:
@@ -140,7 +155,9 @@ def refresh_dwh(spark: SparkSession, layout: Layout, params: Params = DEFAULT):
         # day were captured at most `horizon_days` before it
         ods = ods.filter(F.col("captured_date") >= F.date_sub(wall_lit(since), params.horizon_days))
     new = with_column_docs(models.dwh(ods.select(*ODS_COLUMNS), params, since=since))
-    if since is None:
+    if store is V:
+        V.delete_insert(spark, new, layout.dwh, "feature_key", "captured_date", since)
+    elif since is None:
         M.create_partitioned(new, layout.dwh, "captured_date")
     else:
         M.delete_insert_partitioned(spark, new, layout.dwh, "feature_key", "captured_date", since)
@@ -158,7 +175,7 @@ def refresh_dm(spark: SparkSession, layout: Layout, params: Params = DEFAULT) ->
     failed half-way is caught up by the next one, which writes over what it
     left, and other parameters build the state anew.
     """
-    ods = M.read_synced(spark, layout.ods, ODS)
+    ods = V.read_synced(spark, layout.ods, ODS)
     if ods is None:
         return
     if not params.incremental_mart:
@@ -223,6 +240,8 @@ def run_batch(spark: SparkSession, raw_batch: DataFrame, layout: Layout, run_ts:
     else:
         dwh_since = refresh_dwh(spark, layout, params)
         refresh_dm(spark, layout, params)
+    for path in (layout.stg, layout.ods, layout.dwh):
+        V.vacuum(spark, path, params.keep_versions)
     return {"stg_watermark": stg_wm, "ods_watermark": ods_wm, "dwh_since": dwh_since, "inserted": inserted, "transferred": transferred}
 
 

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from farespark.functions.dates import wall_lit
 from farespark.operators import materialize as M
+from farespark.operators import versions
 from farespark.operators.ingest import delete_insert_rows, source_fallback, to_stg_base
 from farespark.operators import report
 from farespark.params import DEFAULT
@@ -176,6 +177,35 @@ def stg_upsert(spark, sf):
     return spark.read.parquet(_STATE[k]).select(*STG_BASE_COLS)
 
 
+@register("stg_upsert_versions", D.query(UPSERT_SQL, "SELECT * FROM merged"), STG_BASE_COLS)
+def stg_upsert_versions(spark, sf):
+    """A4 on a versioned table: the same two batches, each touched partition
+    written once and the change published as a version; the newest is read."""
+    k = _key(spark, sf, "upsert-versions")
+    with _LOCK:
+        if k not in _STATE:
+            path = scratch_path(spark, "stg-upsert-versions")
+            for b in (V.batch1(spark, sf), V.batch2(spark, sf)):
+                rows = to_stg_base(b.select(*RAW_COLS), flows.RUN_TS, P).withColumn("captured_date", F.to_date("captured_at"))
+                versions.upsert(spark, rows, path, "record_hash", ["price", "ingested_at"], "captured_date")
+            _STATE[k] = path
+    return versions.read(spark, _STATE[k]).select(*STG_BASE_COLS)
+
+
+@register("pipeline_versions", D.query(PIPE_DWH, "SELECT * FROM dwh"), DWH_COLUMNS)
+def pipeline_versions(spark, sf):
+    """L5 with versioned STG, ODS and DWH (A4, A9, A10): the DWH's newest
+    version equals one full run over the rows the watermark admits."""
+    k = _key(spark, sf, "pipeline-versions")
+    with _LOCK:
+        if k not in _STATE:
+            layout = PL.Layout(scratch_path(spark, "pipeline-versions"))
+            for b in (V.batch1(spark, sf), V.batch2(spark, sf)):
+                PL.run_batch(spark, b.select(*RAW_COLS), layout, flows.RUN_TS, P.with_(versioned_tables=True))
+            _STATE[k] = layout
+    return PL.read_dwh(spark, _STATE[k])
+
+
 @register(
     "raw_append",
     D.query(SCEN, "SELECT * FROM b1 UNION ALL SELECT * FROM b2"),

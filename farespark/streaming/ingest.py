@@ -19,6 +19,7 @@ from pyspark.sql.streaming import StreamingQueryListener
 
 from farespark.functions.keys import route_key
 from farespark.operators import materialize as M
+from farespark.operators import versions as V
 from farespark.operators.ingest import dedupe_latest, normalize
 from farespark.params import DEFAULT, Params
 from farespark.plans import models
@@ -78,7 +79,8 @@ def upsert_newer(spark: SparkSession, batch: DataFrame, path: str, partition_col
     """Upsert where a stored row is only replaced by a *newer* version
     (``ingested_at``), so the result does not depend on how files are
     grouped into micro-batches or on replays."""
-    M.upsert_partitioned(spark, batch, path, "record_hash", ["price", "ingested_at"], partition_col, only_newer="ingested_at")
+    change = V.upsert if V.exists(spark, path) else M.upsert_partitioned
+    change(spark, batch, path, "record_hash", ["price", "ingested_at"], partition_col, only_newer="ingested_at")
 
 
 #: What makes two deliveries the same version of a quote.

@@ -46,7 +46,7 @@ def test_empty_first_batch_leaves_no_tables_and_the_next_one_loads(spark):
     layout = PL.Layout(scratch_path(spark, "empty-first"))
     first, _ = batches(spark)
     info = PL.run_batch(spark, first.limit(0), layout, flows.RUN_TS)
-    assert info == {"stg_watermark": None, "ods_watermark": None, "dwh_since": None}
+    assert info == {"stg_watermark": None, "ods_watermark": None, "dwh_since": None, "inserted": None, "transferred": 0}
     assert PL.read_stg_base(spark, layout) is None and PL.read_ods(spark, layout) is None and PL.read_dm(spark, layout) is None
     PL.run_batch(spark, first, layout, flows.RUN_TS)
     assert rows(PL.read_dm(spark, layout)) == full_mart(spark, layout)
