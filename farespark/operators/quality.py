@@ -65,7 +65,11 @@ def day_spine(df: DataFrame, day_col: str, by: list[str] | None = None) -> DataF
     """
     by = by or []
     firsts = df.groupBy(*by).agg(F.min(day_col).alias("_first"), F.max(day_col).alias("_last"))
-    firsts = firsts.withColumn("_end", F.max("_last").over(Window.partitionBy()))
+    if by:
+        # the last day of all is one row: it goes to the series, the series do not go to one task
+        firsts = firsts.join(F.broadcast(firsts.agg(F.max("_last").alias("_end"))), F.col("_last") <= F.col("_end"))
+    else:
+        firsts = firsts.withColumnRenamed("_last", "_end")
     return firsts.select(*by, F.explode(F.sequence("_first", "_end", F.expr("INTERVAL 1 DAY"))).alias(day_col))
 
 

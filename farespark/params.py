@@ -38,6 +38,10 @@ class Params:
     # state (True) instead of re-scanning all of ODS per batch (False, the
     # reference's full rebuild). Both write the whole mart table.
     incremental_mart: bool = True
+    # DWH windows: carry the last daily rows of each route and departure from run
+    # to run, so that a re-opened day reads its own quotes only (True), or read
+    # the quotes of the whole horizon before it again (False).
+    carried_windows: bool = True
     # STG, ODS and DWH as versioned tables (operators.versions): one write of a
     # touched partition, changes seen whole or not at all. Off, they are plain
     # partitioned folders, which a catalog table can be declared over. A table

@@ -50,6 +50,14 @@ class Layout:
     def dwh(self) -> str:
         return f"{self.root}/dwh_route_price_features"
 
+    @property
+    def dwh_trend(self) -> str:
+        return f"{self.root}/dwh_trend_state"
+
+    @property
+    def dwh_trend_commits(self) -> str:
+        return f"{self.root}/dwh_trend_commits"
+
     @property
     def dm(self) -> str:
         return f"{self.root}/dm_route_purchase_recommendations"
@@ -142,7 +150,13 @@ def append_ods(spark: SparkSession, layout: Layout, params: Params = DEFAULT):
 
 
 def refresh_dwh(spark: SparkSession, layout: Layout, params: Params = DEFAULT):
-    """Step 3 (A10): re-open ``captured_date >= max(DWH.captured_date)``."""
+    """Step 3 (A10): re-open ``captured_date >= max(DWH.captured_date)``.
+
+    The re-opened days are computed from their own quotes and the window
+    state that the last run carried over. Without a state of just that day
+    and these parameters (first run, a run that died before it was
+    committed) they are computed from the whole horizon.
+    """
     store = V if _versioned(spark, layout.dwh, params) else M
     if not V.exists(spark, layout.dwh):
         M.finish_swap(spark, layout.dwh, "captured_date")
@@ -150,20 +164,70 @@ def refresh_dwh(spark: SparkSession, layout: Layout, params: Params = DEFAULT):
     ods = V.read_synced(spark, layout.ods, ODS)
     if ods is None:
         return None
-    if since is not None:
-        # partition pruning: rows within the horizon of a re-opened departure
-        # day were captured at most `horizon_days` before it
-        ods = ods.filter(F.col("captured_date") >= F.date_sub(wall_lit(since), params.horizon_days))
-    new = with_column_docs(models.dwh(ods.select(*ODS_COLUMNS), params, since=since))
+    state = None
+    if since is not None and params.carried_windows:
+        state = read_trend_state(spark, layout, params, since)
+    if state is not None:
+        ods = ods.filter(F.col("captured_date") >= wall_lit(since).cast("date"))
+        new = models.dwh_carried(ods.select(*ODS_COLUMNS), state, params, since)
+    else:
+        if since is not None:
+            # partition pruning: rows within the horizon of a re-opened departure
+            # day were captured at most `horizon_days` before it
+            ods = ods.filter(F.col("captured_date") >= F.date_sub(wall_lit(since), params.horizon_days))
+        new = models.dwh(ods.select(*ODS_COLUMNS), params, since=since)
+    new = with_column_docs(new)
     if store is V:
         V.delete_insert(spark, new, layout.dwh, "feature_key", "captured_date", since)
     elif since is None:
         M.create_partitioned(new, layout.dwh, "captured_date")
     else:
         M.delete_insert_partitioned(spark, new, layout.dwh, "feature_key", "captured_date", since)
+    if params.carried_windows:
+        _carry_trend(spark, layout, params, since, state)
     return since
 
 
+def _trend_built_with(params: Params) -> str:
+    """The parameters that the mean prices in the window state depend on."""
+    return f"currency={params.currency} horizon_days={params.horizon_days}"
+
+
+def _trend_commit(spark: SparkSession, layout: Layout):
+    commits = M.read_table(spark, layout.dwh_trend_commits)
+    return None if commits is None else commits.agg(F.max(F.struct("v", "before", "built_with")).alias("h")).first()["h"]
+
+
+def read_trend_state(spark: SparkSession, layout: Layout, params: Params, before) -> DataFrame | None:
+    """The committed window state of the day ``before``; None if the newest one is of another day or other parameters."""
+    head = _trend_commit(spark, layout)
+    if head is None or head["before"] != before or head["built_with"] != _trend_built_with(params):
+        return None
+    return spark.read.parquet(f"{layout.dwh_trend}/v={head['v']}")
+
+
+def _carry_trend(spark: SparkSession, layout: Layout, params: Params, since, state: DataFrame | None) -> None:
+    """Folds the days that are closed now into the state, for the day the next run re-opens.
+
+    The rows come from the DWH as stored, not from quotes. A state counts once
+    its commit row is written.
+    """
+    store = V if V.exists(spark, layout.dwh) else M
+    last = store.max_value(spark, layout.dwh, "captured_date", "captured_date")
+    if last is None or (state is not None and last == since):
+        return
+    day = wall_lit(last).cast("date")
+    first = F.date_sub(day, params.horizon_days) if state is None else wall_lit(since).cast("date")
+    daily = V.read_synced(spark, layout.dwh, DWH).filter(F.col("captured_date").between(first, F.date_sub(day, 1))).select(*models.TREND_STATE)
+    if state is not None:
+        daily = daily.unionByName(state.select(*models.TREND_STATE))
+    head = _trend_commit(spark, layout)
+    v = 1 if head is None else head["v"] + 1
+    M.overwrite(models.trend_state(daily, last), f"{layout.dwh_trend}/v={v}")
+    commit = spark.range(1).select(F.lit(v).cast("long").alias("v"), day.alias("before"), F.lit(_trend_built_with(params)).alias("built_with"))
+    M.append(commit, layout.dwh_trend_commits)
+
+
 def refresh_dm(spark: SparkSession, layout: Layout, params: Params = DEFAULT) -> None:
     """Step 4 (A11): rebuild the mart table (one row per route: small).
 
