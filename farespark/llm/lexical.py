@@ -39,11 +39,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from farespark.llm.common import batches_of, table
+from farespark.llm.common import batches_of, giving_back, table
 from farespark.session import scratch_path
 
 #: Cells of a shard (a document's cells stay together, so the last one may go beyond), and terms of a block of items.
 SHARD_CELLS, BLOCK_TERMS = 1 << 18, 200_000
+#: Texts handed to Python at a time.
+BATCH_TEXTS = 1000
 #: States opened at a time, or an eighth of them if that is more.
 OPENED = 64
 # Letters of a term: ASCII letters (lower-cased) and digits, and every byte of other code points.
@@ -221,9 +223,10 @@ def _indexing(n_all: int, l_all: int, cells: int):
         if docs:
             yield row(docs, known)
 
-    return run
+    return giving_back(run)
 
 
+@giving_back
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     n = total = 0
     for b in batches:
@@ -243,10 +246,13 @@ class Index:
     @classmethod
     def write(cls, docs: DataFrame, path: str, cells: int = SHARD_CELLS) -> Index:
         rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-        n, total = rows.select("text").mapInArrow(_counted, "n long, total long").agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("total"), F.lit(0))).first()
+        counted = rows.select("text").mapInArrow(_counted, "n long, total long").agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("total"), F.lit(0)))
+        with batches_of(docs.sparkSession, BATCH_TEXTS):
+            n, total = counted.first()
         # A shard is a row group of its own, so that a reader holds one at a time.
         shards = rows.mapInArrow(_indexing(n, total, cells), _INDEX)
-        shards.write.option("parquet.block.size", 1 << 20).option("parquet.block.size.row.check.min", 1).option("parquet.block.size.row.check.max", 1).parquet(path)
+        with batches_of(docs.sparkSession, BATCH_TEXTS):
+            shards.write.option("parquet.block.size", 1 << 20).option("parquet.block.size.row.check.min", 1).option("parquet.block.size.row.check.max", 1).parquet(path)
         return cls(docs.sparkSession, path, n)
 
     def rows(self) -> DataFrame:
@@ -316,7 +322,7 @@ def _searching(block: list[tuple], top: int):
         cols = list(zip(*out)) or [(), (), ()]
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int64(), pa.int64()))], names=["number", "doc_id", "score"])
 
-    return run
+    return giving_back(run)
 
 
 def op12_k2_treap(spark: SparkSession, sf_dir: str) -> DataFrame:
