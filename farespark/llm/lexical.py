@@ -258,24 +258,30 @@ class Index:
     def rows(self) -> DataFrame:
         return self.spark.read.schema(_INDEX).parquet(self.path)
 
-    def weights(self, items: DataFrame) -> DataFrame:
-        """item_id, term, w of each known term of the items (item_id, text)."""
-        wanted = items.select("item_id", F.col("text").cast("string").alias("text")).mapInArrow(_item_terms(items.schema["item_id"].dataType.simpleString()), f"item_id {items.schema['item_id'].dataType.simpleString()}, term string").distinct()
-        df = self.rows().select(F.explode(F.arrays_zip(F.split("terms", "\n").alias("terms"), "dfs")).alias("t")).groupBy(F.col("t.terms").alias("term")).agg(F.sum("t.dfs").alias("df"))
+    def weights(self, names: list[str]) -> dict[str, int]:
+        """w of each of the sorted terms that a document holds; ``names`` are those of one block of items.
+
+        The terms are looked up where the shards are, so the terms of all documents are neither shuffled nor unpacked by Spark.
+        """
+        df = self.rows().select("terms", "dfs").mapInArrow(_frequencies(names), "number int, df long").groupBy("number").agg(F.sum("df").alias("df"))
         w = F.floor(F.lit(1000.0) * F.log(F.lit(float(2 * self.n + 2)) / (2 * F.col("df") + 1).cast("double")))
-        return wanted.join(df, "term").select("item_id", "term", w.cast("long").alias("w"))
+        with batches_of(self.spark, 1):
+            return {names[r["number"]]: r["w"] for r in df.select("number", w.cast("long").alias("w")).collect()}
 
     def search(self, items: DataFrame, top: int = 50, block_terms: int = BLOCK_TERMS) -> DataFrame:
         """item_id, rank, doc_id, score of each item's ``top`` documents."""
         kind = items.schema["item_id"].dataType.simpleString()
         found, known = scratch_path(self.spark, "lexical-hits"), scratch_path(self.spark, "lexical-items")
-        self.weights(items).groupBy("item_id").agg(F.collect_list(F.struct("term", "w")).alias("terms")).write.parquet(known)
+        of_items = items.select("item_id", F.col("text").cast("string").alias("text")).mapInArrow(_item_terms(kind), f"item_id {kind}, term string")
+        of_items.groupBy("item_id").agg(F.collect_set("term").alias("terms")).write.parquet(known)
         known = self.spark.read.parquet(known)
         blocks = max(1, -(-(known.agg(F.sum(F.size("terms"))).first()[0] or 0) // block_terms))
         known = known.withColumn("block", F.pmod(F.xxhash64("item_id"), F.lit(blocks)))
         for b in range(blocks):
             # One block of the stated query set, not rows of the corpus.
-            block = [(r["item_id"], [t["term"] for t in r["terms"]], [t["w"] for t in r["terms"]]) for r in known.where(F.col("block") == b).collect()]
+            stated = [(r["item_id"], r["terms"]) for r in known.where(F.col("block") == b).collect()]
+            w = self.weights(sorted({t for _, terms in stated for t in terms}))
+            block = [(i, held, [w[t] for t in held]) for i, held in ((i, [t for t in terms if t in w]) for i, terms in stated)]
             hits = self.rows().drop("dfs").mapInArrow(_searching(block, top), "number int, doc_id long, score long")
             named = self.spark.createDataFrame([(i, r[0]) for i, r in enumerate(block)], f"number int, item_id {kind}")
             ranked = hits.withColumn("rank", F.row_number().over(Window.partitionBy("number").orderBy(F.desc("score"), F.asc_nulls_last("doc_id")))).where(F.col("rank") <= top)
@@ -294,6 +300,25 @@ def _item_terms(kind: str):
     return run
 
 
+def _frequencies(names: list[str]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(len(names), np.int64)
+        for b in batches:
+            for terms, dfs in zip(b.column(0), b.column(1)):
+                found = _places(terms.as_py(), names)
+                total[found >= 0] += dfs.values.to_numpy()[found[found >= 0]]
+        held = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(held, pa.int32()), pa.array(total[held])], names=["number", "df"])
+
+    return giving_back(run)
+
+
+def _places(terms: str, names: list[str]) -> np.ndarray:
+    """The row of each name among a shard's ``terms``, -1 if it is none of them."""
+    place = dict(zip(terms.split("\n"), itertools.count()))
+    return np.array([place.get(t, -1) for t in names], np.int64)
+
+
 def _searching(block: list[tuple], top: int):
     names = sorted({t for _, terms, _ in block for t in terms})
 
@@ -304,8 +329,7 @@ def _searching(block: list[tuple], top: int):
         for b in batches:
             for at in range(b.num_rows):
                 row = {n: b.column(i)[at] for i, n in enumerate(b.schema.names)}
-                place = dict(zip(row["terms"].as_py().split("\n"), itertools.count()))
-                found = np.array([place.get(t, -1) for t in names], np.int64)
+                found = _places(row["terms"].as_py(), names)
                 tree = Tree(row["height"].as_py(), row["bits"].as_py(), row["top"].as_py(), row["drops"].as_py())
                 ids, nulls = np.frombuffer(row["ids"].as_py(), "<i8"), np.frombuffer(row["nulls"].as_py(), "u1")
                 level = tree.height - (len(ids) - 1).bit_length()
