@@ -129,11 +129,16 @@ def dq_volume(df: DataFrame, ts_col: str, params: Params = DEFAULT, since=None)
     """K5: rows per day (zero days included) as a z-scored series."""
     df = _recent(df, ts_col, since, params)
     daily = df.groupBy(_day(ts_col).alias("bucket_date")).agg(F.count(F.lit(1)).alias("metric_value"))
-    spine = day_spine(daily, "bucket_date")
-    series = spine.join(daily, "bucket_date", "left").select(
-        "bucket_date", F.coalesce("metric_value", F.lit(0)).cast("double").alias("metric_value")
+    return _report_from(zscored_counts(daily, [], params), since)
+
+
+def zscored_counts(daily: DataFrame, by: list[str], params: Params = DEFAULT) -> DataFrame:
+    """Counts by day (``bucket_date``, ``metric_value``) and series with their zero days, z-scored."""
+    spine = day_spine(daily, "bucket_date", by)
+    series = spine.join(daily, [*by, "bucket_date"], "left").select(
+        *by, "bucket_date", F.coalesce("metric_value", F.lit(0)).cast("double").alias("metric_value")
     )
-    return _report_from(zscore(series, [], "bucket_date", params=params), since)
+    return zscore(series, by, "bucket_date", params=params)
 
 
 def dq_event_freshness(df: DataFrame, event_col: str, update_col: str, params: Params = DEFAULT, since=None) -> DataFrame:
@@ -200,11 +205,7 @@ def dq_dimension(df: DataFrame, day_col: str, dims: list[str], params: Params =
     """K9: rows per dimension value and day (zeros included), z per value."""
     df = _recent(df, day_col, since, params)
     daily = df.groupBy(*dims, _day(day_col).alias("bucket_date")).agg(F.count(F.lit(1)).alias("metric_value"))
-    spine = day_spine(daily, "bucket_date", dims)
-    series = spine.join(daily, [*dims, "bucket_date"], "left").select(
-        *dims, "bucket_date", F.coalesce("metric_value", F.lit(0)).cast("double").alias("metric_value")
-    )
-    return _report_from(zscore(series, dims, "bucket_date", params=params), since)
+    return _report_from(zscored_counts(daily, dims, params), since)
 
 
 def dq_freshness(df: DataFrame, day_col: str, params: Params = DEFAULT, since=None) -> DataFrame:

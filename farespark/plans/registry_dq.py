@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from farespark.functions.dates import wall_lit
 from farespark.operators import materialize as M
+from farespark.operators import metric_store
 from farespark.operators import quality as Qy
 from farespark.params import DEFAULT, Params
 from farespark.plans import duckdb_sql as D
@@ -333,6 +334,63 @@ def dq_freshness(spark, sf):
     return Qy.dq_freshness(models.dwh(_gap_ods(spark, sf), P), "captured_date", P)
 
 
+# ------------------------------------------------------------ K5-K9 from stored moments
+
+
+def _folded(spark, sf, what: str) -> str:
+    """A store that two runs have filled: the second one folds the days from the batch cut on."""
+    k = (spark.sparkContext.applicationId, sf, "moments", what)
+    with _LOCK:
+        if k not in _STATE:
+            path = scratch_path(spark, f"moments-{what}")
+            ods = _gap_ods(spark, sf) if what != "ods" else flows.fx1_ods(spark, sf)
+            first = ods.filter(F.col("captured_at") < wall_lit(V.CUT))
+            if what == "dwh":  # the day of the cut is opened again
+                for df, day in ((models.dwh(first, P), None), (models.dwh(ods, P), V.CUT.date())):
+                    metric_store.fold(spark, path, df, "captured_date", DWH_COLUMNS, ["route_origin", "route_destination"], reopened=day)
+            else:
+                for df in (first, ods):
+                    metric_store.fold(spark, path, df, "captured_at", ["price"], event_col="departure_at")
+            _STATE[k] = path
+        return _STATE[k]
+
+
+@register(
+    "dq_volume_stored",
+    D.query(GAP_MODELS + volume_ctes("ods", "captured_at", "vol"), "SELECT * FROM vol"),
+    ["bucket_date", "metric_value", *ZCOLS],
+)
+def dq_volume_stored(spark, sf):
+    return metric_store.volume(spark, _folded(spark, sf, "gap"), P)
+
+
+@register(
+    "dq_event_freshness_stored",
+    D.query(FX1 + freshness_event_ctes("ods", "departure_at", "captured_at", "efr"), "SELECT * FROM efr"),
+    ["bucket_date", "metric", "metric_value", *ZCOLS],
+)
+def dq_event_freshness_stored(spark, sf):
+    return metric_store.event_freshness(spark, _folded(spark, sf, "ods"), P)
+
+
+@register(
+    "dq_column_anomaly_stored",
+    D.query(GAP_MODELS + column_metrics_ctes("ods", "captured_at", {"price": "decimal"}, "colm"), "SELECT * FROM colm"),
+    ["bucket_date", "column_name", "metric", "metric_value", *ZCOLS],
+)
+def dq_column_anomaly_stored(spark, sf):
+    return metric_store.column_metrics(spark, _folded(spark, sf, "gap"), P)
+
+
+@register(
+    "dq_dimension_stored",
+    D.query(GAP_MODELS + dimension_ctes("dwh", "captured_date", ["route_origin", "route_destination"], "dim"), "SELECT * FROM dim"),
+    ["route_origin", "route_destination", "bucket_date", "metric_value", *ZCOLS],
+)
+def dq_dimension_stored(spark, sf):
+    return metric_store.dimension(spark, _folded(spark, sf, "dwh"), ["route_origin", "route_destination"], P)
+
+
 # ------------------------------------------------------------ K11, K12
 
 # The declared tests (check, model, column), in a fixed order.
