@@ -54,6 +54,29 @@ def stream_ingest(spark, sf):
     return spark.read.parquet(_STATE[k]).select(*STG_BASE.fieldNames())
 
 
+@register(
+    "stream_late_rows",
+    D.query(
+        SCEN + [("late_cand", "SELECT * FROM b2 WHERE captured_at <= (SELECT wm FROM wm1)")]
+        + D.normalized("late_cand", P, name="late_norm") + D.stg_base("b1", P, name="stored"),
+        "SELECT * FROM late_norm WHERE record_hash NOT IN (SELECT record_hash FROM stored)",
+    ),
+    STG_BASE.fieldNames(),
+)
+def stream_late_rows(spark, sf):
+    """I3 in the stream: batch 1 is drained, then batch 2; the late rows kept
+    beside STG are those that a strict watermark never loads."""
+    k = (spark.sparkContext.applicationId, sf, "stream_late_rows")
+    with _LOCK:
+        if k not in _STATE:
+            landing, stg, ckpt, late = (scratch_path(spark, n) for n in ("landing-late", "stg-late", "ckpt-late", "late"))
+            for b in (V.batch1(spark, sf), V.batch2(spark, sf)):
+                b.select(*RAW_COLS).write.mode("append").parquet(landing)
+                S.stream_ingest(spark, landing, stg, ckpt, flows.RUN_TS, P, late_path=late)
+            _STATE[k] = late
+    return S.read_late(spark, _STATE[k]).select(*STG_BASE.fieldNames())
+
+
 VERSIONS_SQL = D.query(
     SCEN + D.normalized("b1", P, name="v1") + D.normalized("b2", P, name="v2")
     + [("versions", "SELECT * FROM v1 UNION SELECT * FROM v2")],

@@ -15,8 +15,10 @@ import threading
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQueryListener
 
+from farespark.functions.dates import wall_lit
 from farespark.functions.keys import route_key
 from farespark.operators import materialize as M
 from farespark.operators import versions as V
@@ -24,6 +26,7 @@ from farespark.operators.ingest import dedupe_latest, normalize
 from farespark.params import DEFAULT, Params
 from farespark.plans import models
 from farespark.schemas import PRICE, RAW, STG_BASE
+from farespark.session import scratch_path
 
 
 class _Totals(StreamingQueryListener):
@@ -102,6 +105,38 @@ def drop_redelivered(rows: DataFrame, keep: str = "7 days") -> DataFrame:
     return arrived.dropDuplicatesWithinWatermark(VERSION_KEY).drop("_arrived")
 
 
+def keep_late(spark: SparkSession, batch: DataFrame, stg_path: str, late_path: str, epoch_id: int) -> None:
+    """Writes the rows of a micro-batch that a loader with a strict watermark would
+    lose: not above the newest capture that STG holds, and of a key it lacks.
+
+    Called before the upsert, which makes them no longer late. So the folder of
+    a micro-batch that is complete is not written again when the batch is
+    replayed; one that is not complete is, as its upsert has not begun.
+    """
+    folder = f"{late_path}/epoch={epoch_id}"
+    done = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")
+    if done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done):
+        return
+    store = V if V.exists(spark, stg_path) else M
+    if store is M:
+        M.finish_swap(spark, stg_path, "captured_date")
+    newest = store.max_value(spark, stg_path, "captured_at", "captured_date")
+    cols = STG_BASE.fieldNames()
+    late = batch.select(*cols).filter(F.col("captured_at") <= wall_lit(newest) if newest is not None else F.lit(False))
+    stored = V.read(spark, stg_path) if store is V else M.read_table(spark, stg_path)
+    if stored is not None:
+        # a key holds its capture day, so only the days that late rows are of are looked at
+        days = [r[0] for r in late.select(F.to_date("captured_at")).distinct().collect()]
+        stored = stored.filter(F.col("captured_date").isin(days))
+        late = late.join(stored.select("record_hash"), "record_hash", "left_anti").select(*cols)
+    M.overwrite(late, folder)
+
+
+def read_late(spark: SparkSession, late_path: str) -> DataFrame:
+    """All late rows that the stream has kept, with the micro-batch they came in."""
+    return spark.read.schema(T.StructType([*STG_BASE.fields, T.StructField("epoch", T.LongType())])).parquet(late_path)
+
+
 def stream_ingest(
     spark: SparkSession,
     landing: str,
@@ -111,14 +146,22 @@ def stream_ingest(
     params: Params = DEFAULT,
     max_files: int | None = None,
     keep: str = "7 days",
+    late_path: str | None = None,
 ) -> dict:
     """Landing files -> normalize -> repeats dropped by state -> per-micro-batch de-dup + upsert into STG.
 
-    ``duplicates`` counts the repeats that the state dropped.
+    ``duplicates`` counts the repeats that the state dropped. With ``late_path``
+    the late rows of each micro-batch (I3) are kept there as well, see :func:`keep_late`.
     """
     rows = drop_redelivered(normalize(raw_stream(spark, landing, max_files), run_ts, params), keep)
 
     def apply(batch: DataFrame, epoch_id: int) -> None:
+        if late_path:
+            # held, as a second action on the micro-batch would run its state again
+            held = scratch_path(spark, "micro-batch")
+            M.overwrite(batch, held)
+            batch = spark.read.schema(batch.schema).parquet(held)
+            keep_late(spark, batch, stg_path, late_path, epoch_id)
         b = dedupe_latest(batch).select(*STG_BASE.fieldNames()).withColumn("captured_date", F.to_date("captured_at"))
         upsert_newer(spark, b, stg_path)
 

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
+from farespark.operators import materialize as M
+from farespark.operators.ingest import normalize
 from farespark.plans import flows
-from farespark.schemas import RAW
+from farespark.schemas import RAW, STG_BASE
 from farespark.session import scratch_path
 from farespark.sources.fixtures import fx1_raw
 from farespark.streaming import ingest as S
@@ -72,3 +75,37 @@ def test_redelivered_rows_never_reach_the_upsert(spark, monkeypatch):
     third = S.stream_ingest(spark, landing, stg, ckpt, flows.RUN_TS)
     assert third["duplicates"] == 0 and sum(seen) == loaded + 5
     assert spark.read.parquet(stg).count() == loaded
+
+
+def test_late_rows_are_kept_once_over_a_crash(spark, monkeypatch):
+    """Died in the upsert, or while the late rows were written: the replay keeps the same rows."""
+    raw = fx1_raw(spark, SF_SMALL).select(*RAW.fieldNames())
+    cut = F.col("captured_at") < F.lit("2024-01-20").cast("timestamp_ntz")
+    held_back = F.crc32(F.concat_ws("|", "captured_at", "route_origin")) % 20 == 0
+    first, second = raw.where(cut & ~held_back), raw.where(~cut | held_back)
+    stg, ckpt, landing, late = (scratch_path(spark, n) for n in ("stg4", "ckpt4", "land4", "late4"))
+    first.write.parquet(landing)
+    S.stream_ingest(spark, landing, stg, ckpt, flows.RUN_TS, late_path=late)
+    assert S.read_late(spark, late).isEmpty()  # nothing was stored before it
+    before = spark.read.parquet(stg)
+    newest = before.agg(F.max("captured_at")).first()[0]
+    want = normalize(second, flows.RUN_TS).where(F.col("captured_at") <= F.lit(newest)).join(before.select("record_hash"), "record_hash", "left_anti").distinct()
+    want = sorted(tuple(r) for r in want.select(*STG_BASE.fieldNames()).collect())
+    assert want
+    second.write.mode("append").parquet(landing)
+    for broken in ("write", "upsert", "after"):
+        with monkeypatch.context() as m:
+            if broken == "write":
+                m.setattr(M, "max_value", lambda *a: 1 / 0)
+            elif broken == "upsert":
+                m.setattr(S, "upsert_newer", lambda *a: 1 / 0)
+            else:
+                upsert = S.upsert_newer
+                m.setattr(S, "upsert_newer", lambda *a: (upsert(*a), 1 / 0))
+            with pytest.raises(Exception, match="division by zero"):
+                S.stream_ingest(spark, landing, stg, ckpt, flows.RUN_TS, late_path=late)
+    S.stream_ingest(spark, landing, stg, ckpt, flows.RUN_TS, late_path=late)
+    got = S.read_late(spark, late)
+    assert sorted(tuple(r) for r in got.select(*STG_BASE.fieldNames()).collect()) == want
+    assert got.select("epoch").distinct().count() == 1
+    assert spark.read.parquet(stg).select("record_hash").distinct().count() == spark.read.parquet(stg).count()
