@@ -26,7 +26,7 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Iterable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -214,13 +214,40 @@ def _to_change(spark: SparkSession, path: str, partition_col: str) -> Version |
     return version(spark, path)
 
 
-def append(spark: SparkSession, rows: DataFrame, path: str, partition_col: str, order: tuple[str, ...] = ()) -> int:
-    """Adds rows (A9): all of them or, if the run dies, none."""
-    return commit(spark, rows, path, partition_col, _to_change(spark, path, partition_col), order=order)
+_WHOLE = [T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType()]
+
+
+def wider(stored: T.DataType, new: T.DataType) -> T.DataType:
+    """``new`` if it holds every value of ``stored`` and files of ``stored`` can be read as it, else ``stored``."""
+    if stored in _WHOLE and new in _WHOLE:
+        return max(stored, new, key=_WHOLE.index)
+    if isinstance(stored, T.FloatType) and isinstance(new, T.DoubleType):
+        return new
+    if isinstance(stored, T.DecimalType) and isinstance(new, T.DecimalType):
+        fits = new.scale >= stored.scale and new.precision - new.scale >= stored.precision - stored.scale
+        return new if fits else stored
+    return stored
+
+
+def widened(base: Version, rows: DataFrame) -> Version:
+    """``base`` as it is read and written once its columns are as wide as those of ``rows``.
+
+    No file is rewritten for it: older ones are read as the wider type, and the version that is published next has the
+    new types. The versions are the log of the table's types.
+    """
+    types = {f.name: f.dataType for f in rows.schema.fields}
+    fields = [T.StructField(f.name, wider(f.dataType, types.get(f.name, f.dataType)), True, f.metadata) for f in base.schema.fields]
+    return replace(base, schema=T.StructType(fields))
+
+
+def append(spark: SparkSession, rows: DataFrame, path: str, partition_col: str, order: tuple[str, ...] = (), widen: bool = False) -> int:
+    """Adds rows (A9): all of them or, if the run dies, none. ``widen`` lets wider columns widen the table's."""
+    base = _to_change(spark, path, partition_col)
+    return commit(spark, rows, path, partition_col, widened(base, rows) if widen and base else base, order=order)
 
 
 def upsert(
-    spark: SparkSession, batch: DataFrame, path: str, key: str, update_cols: list[str], partition_col: str, only_newer: str | None = None
+    spark: SparkSession, batch: DataFrame, path: str, key: str, update_cols: list[str], partition_col: str, only_newer: str | None = None, widen: bool = False
 ) -> int:
     """Keyed upsert (A4) with the rules of ``materialize.upsert_partitioned``. Returns the rows of the batch.
 
@@ -232,6 +259,8 @@ def upsert(
     if base is None:
         commit(spark, batch, path, partition_col, None, seen=seen)
         return M.rows_seen(seen)
+    if widen:
+        base = widened(base, batch)
     batch = M.conform(batch, spark.createDataFrame([], base.schema))
     staged = M.stage_rows(spark, batch, partition_col, "upsert-batch", seen).select(*batch.columns)
     touched = [f"{partition_col}={p}" for p in M.staged_partitions(staged, partition_col)]
@@ -249,7 +278,7 @@ def upsert(
     return M.rows_seen(seen)
 
 
-def delete_insert(spark: SparkSession, new: DataFrame, path: str, key: str, partition_col: str, since=None) -> int:
+def delete_insert(spark: SparkSession, new: DataFrame, path: str, key: str, partition_col: str, since=None, widen: bool = False) -> int:
     """Deletes rows whose key is in ``new`` and inserts ``new`` (A10).
 
     ``new`` holds only partitions ``>= since``; those alone are read, and written once.
@@ -257,6 +286,8 @@ def delete_insert(spark: SparkSession, new: DataFrame, path: str, key: str, part
     base = _to_change(spark, path, partition_col)
     if base is None:
         return commit(spark, new, path, partition_col, None)
+    if widen:
+        base = widened(base, new)
     touched = [p for p in base.partitions if since is None or p >= f"{partition_col}={since}"]
     current = read(spark, path, touched, of=base)
     new = M.conform(new, spark.createDataFrame([], base.schema))

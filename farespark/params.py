@@ -47,6 +47,10 @@ class Params:
     # partitioned folders, which a catalog table can be declared over. A table
     # that has versions keeps them; a plain one is taken over when this is set.
     versioned_tables: bool = False
+    # A column whose model has become wider (int to long, more digits) widens
+    # in a versioned table; otherwise the stored type stays and a value that
+    # does not fit fails the run.
+    widen_types: bool = False
     # Versions that a run leaves of such a table.
     keep_versions: int = 2
     # Independent models (DWH, DM) of one run are submitted concurrently.

@@ -125,8 +125,8 @@ def load_stg(spark: SparkSession, raw_batch: DataFrame, layout: Layout, run_ts:
     visible = above_watermark(raw_batch, "captured_at", wm)
     # An empty batch stages nothing and leaves the table untouched
     rows = _with_cap_date(to_stg_base(visible, run_ts, params))
-    change = V.upsert if versioned else M.upsert_partitioned
-    return wm, change(spark, rows, layout.stg, "record_hash", ["price", "ingested_at"], "captured_date")
+    how = (layout.stg, "record_hash", ["price", "ingested_at"], "captured_date")
+    return wm, V.upsert(spark, rows, *how, widen=params.widen_types) if versioned else M.upsert_partitioned(spark, rows, *how)
 
 
 def append_ods(spark: SparkSession, layout: Layout, params: Params = DEFAULT):
@@ -143,7 +143,7 @@ def append_ods(spark: SparkSession, layout: Layout, params: Params = DEFAULT):
     new = with_column_docs(above_watermark(new, "captured_at", wm))
     order = ("route_key", "departure_at", "captured_at")
     if store is V:
-        V.append(spark, _with_cap_date(new), layout.ods, "captured_date", order=order)
+        V.append(spark, _with_cap_date(new), layout.ods, "captured_date", order=order, widen=params.widen_types)
     else:
         M.append(_with_cap_date(new), layout.ods, "captured_date", order=order)
     return wm
@@ -178,7 +178,7 @@ def refresh_dwh(spark: SparkSession, layout: Layout, params: Params = DEFAULT):
         new = models.dwh(ods.select(*ODS_COLUMNS), params, since=since)
     new = with_column_docs(new)
     if store is V:
-        V.delete_insert(spark, new, layout.dwh, "feature_key", "captured_date", since)
+        V.delete_insert(spark, new, layout.dwh, "feature_key", "captured_date", since, widen=params.widen_types)
     elif since is None:
         M.create_partitioned(new, layout.dwh, "captured_date")
     else:

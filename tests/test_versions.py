@@ -90,6 +90,42 @@ def test_null_days_older_versions_and_new_columns(spark):
     assert str(V.max_value(spark, path, "day", "day")) == "2024-01-03"
 
 
+def test_wider_columns_widen_without_a_rewrite(spark):
+    path = scratch_path(spark, "widen")
+    old = "day date, k string, i int, s short, d decimal(6,2), f float, t string"
+    new = "day date, k string, i long, s int, d decimal(12,4), f double, t long"
+    V.append(spark, frame(spark, ("2024-01-01", "a", 1, 2, None, 0.5, "x"), ("2024-01-02", "b", 3, 4, None, 0.25, "y"), schema=old).withColumn("d", F.lit("12.34").cast("decimal(6,2)")), path, "day")
+    before = files(path)
+    batch = frame(spark, ("2024-01-02", "b", 2**40, 70000, None, 1e300, 7), schema=new).withColumn("d", F.lit("12345678.9876").cast("decimal(12,4)"))
+    V.upsert(spark, batch, path, "k", ["i", "s", "d", "f", "t"], "day", widen=True)
+    df = V.read(spark, path)
+    assert [f.dataType.simpleString() for f in df.schema.fields] == ["date", "string", "bigint", "int", "decimal(12,4)", "double", "string"]
+    assert rows(df) == [
+        ("2024-01-01", "a", "1", "2", "12.3400", "0.5", "x"), ("2024-01-02", "b", str(2**40), "70000", "12345678.9876", "1e+300", "7")
+    ]
+    assert not any("day=2024-01-01" in f for f in files(path) - before)
+    assert V.version(spark, path, 1).schema["i"].dataType.simpleString() == "int"  # the log of types
+    V.append(spark, frame(spark, ("2024-01-03", "c", 5, 6, None, 0.5, "z"), schema=old), path, "day", widen=True)  # narrow rows narrow nothing
+    assert V.read(spark, path).schema == df.schema and V.read(spark, path).count() == 3
+
+
+def test_pipeline_passes_a_change_of_type(spark):
+    b1, b2 = (b(spark, SF_SMALL).select(*COLS) for b in (variants.batch1, variants.batch2))
+    params, got = VERSIONED.with_(widen_types=True), []
+    for narrow in (False, True):
+        layout = PL.Layout(scratch_path(spark, "pipeline-widen"))
+        PL.run_batch(spark, b1, layout, flows.RUN_TS, params)
+        if narrow:  # as an older model has left it
+            for path, types in ((layout.ods, {"days_before_departure": "short", "price": "decimal(9,2)"}), (layout.stg, {"price": "decimal(9,2)"})):
+                held = V.read(spark, path).withColumns({c: F.col(c).cast(t) for c, t in types.items()}).checkpoint()
+                M.create_partitioned(held, path, "captured_date")
+        PL.run_batch(spark, b2, layout, flows.RUN_TS, params)
+        got.append([rows(r(spark, layout)) for r in (PL.read_stg_base, PL.read_ods, PL.read_dwh, PL.read_dm)])
+    assert got[0] == got[1]
+    assert dict(PL.read_ods(spark, layout).dtypes)["days_before_departure"] == "int"
+    assert {dict(r(spark, layout).dtypes)["price"] for r in (PL.read_stg_base, PL.read_ods)} == {"decimal(12,2)"}
+
+
 def test_only_newer_versions_replace(spark):
     path = table(spark, ("2024-01-01", "a", 5), ("2024-01-01", "b", 5))
     upsert(spark, path, ("2024-01-01", "a", 4), ("2024-01-01", "b", 6), only_newer="x")
