@@ -17,7 +17,9 @@ smaller id, is dropped, so the answer is exact, ties by id included. Hits of
 earlier shards of a task bound the later ones.
 
 Texts are not shuffled: each task indexes what it reads, the shards are
-landed, and items are answered block by block against all shards. A block
+landed, and items are answered block by block against all shards. A shard is
+a file of its own, of ``PIECES`` rows that hold a slice of each of its columns:
+the JVM has no array of megabytes, which its collector frees late. A block
 holds about ``BLOCK_TERMS`` terms of items, whatever the number of items.
 What leaves a task are at most ``top`` rows an item.
 
@@ -44,14 +46,14 @@ from farespark.session import scratch_path
 
 #: Cells of a shard (a document's cells stay together, so the last one may go beyond), and terms of a block of items.
 SHARD_CELLS, BLOCK_TERMS = 1 << 18, 200_000
-#: Texts handed to Python at a time.
-BATCH_TEXTS = 1000
+#: Texts handed to Python at a time; rows of a shard, and how many of them are read at a time.
+BATCH_TEXTS, PIECES, BATCH_PIECES = 1000, 32, 4
 #: States opened at a time, or an eighth of them if that is more.
 OPENED = 64
 # Letters of a term: ASCII letters (lower-cased) and digits, and every byte of other code points.
 _LETTERS = bytes(c if chr(c).isdigit() or chr(c).isalpha() and c < 128 or c >= 128 else 32 for c in range(256)).lower()
 _ONES = np.array([bin(i).count("1") for i in range(16)], np.uint8)
-_INDEX = "ids binary, nulls binary, terms string, dfs array<int>, height int, bits binary, top int, drops binary"
+_INDEX = "ids binary, nulls binary, terms binary, dfs binary, height int, bits binary, top int, drops binary"
 
 
 def terms_of(text: str | None) -> list[bytes]:
@@ -179,7 +181,7 @@ def best(tree: Tree, level: int, rows: np.ndarray, nodes: np.ndarray, weights: n
 
 
 def _shard(docs: list[tuple], known: dict[bytes, int], n_all: int, l_all: int) -> dict:
-    """A row of the index from (id, is null, terms' numbers, counts, n) of each document and the numbers of the terms."""
+    """A shard of the index from (id, is null, terms' numbers, counts, n) of each document and the numbers of the terms."""
     docs.sort(key=lambda d: (d[1], d[0]))
     names = sorted(known)
     rank = np.empty(len(names), np.int64)
@@ -192,19 +194,36 @@ def _shard(docs: list[tuple], known: dict[bytes, int], n_all: int, l_all: int) -
     height, bits, top, drops = build(row, col, (1_000_000_000 * tf) // (1000 * tf + 20 * m))
     return {
         "ids": np.array([d[0] for d in docs], "<i8").tobytes(), "nulls": np.array([d[1] for d in docs], "u1").tobytes(),
-        "terms": b"\n".join(names).decode(), "dfs": np.bincount(row, minlength=len(names)).astype(np.int32),
+        "terms": b"\n".join(names), "dfs": np.bincount(row, minlength=len(names)).astype("<i4").tobytes(),
         "height": height, "bits": bits, "top": top, "drops": drops,
     }
 
 
-_INDEX_ARROW = pa.schema(
-    [("ids", pa.binary()), ("nulls", pa.binary()), ("terms", pa.string()), ("dfs", pa.list_(pa.int32())), ("height", pa.int32()), ("bits", pa.binary()), ("top", pa.int32()), ("drops", pa.binary())]
-)
+_INDEX_ARROW = pa.schema([(n, pa.int32() if kind == "int" else pa.binary()) for n, kind in (c.split() for c in _INDEX.split(", "))])
+
+
+def _slice(value, k: int):
+    """The k-th of the ``PIECES`` slices of a shard's bytes; its numbers are in each row."""
+    return value[len(value) * k // PIECES : len(value) * (k + 1) // PIECES] if isinstance(value, bytes) else value
+
+
+def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """The shards of a task's rows, one after another; the columns that were read."""
+    held: list[dict] = []
+    for b in batches:
+        for row in b.to_pylist():
+            held.append(row)
+            if len(held) == PIECES:
+                shard = {n: b"".join(r[n] for r in held) if isinstance(v, bytes) else v for n, v in row.items()}
+                held = []
+                yield shard
 
 
 def _indexing(n_all: int, l_all: int, cells: int):
-    def row(docs, known):
-        return pa.RecordBatch.from_pylist([_shard(docs, known, n_all, l_all)], schema=_INDEX_ARROW)
+    def rows(docs, known):
+        shard = _shard(docs, known, n_all, l_all)
+        for k in range(PIECES):
+            yield pa.RecordBatch.from_pylist([{n: _slice(v, k) for n, v in shard.items()}], schema=_INDEX_ARROW)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         docs, known, size = [], defaultdict(itertools.count().__next__), 0
@@ -218,10 +237,10 @@ def _indexing(n_all: int, l_all: int, cells: int):
                 docs.append(((1 << 63) - 1 if i is None else i, i is None, number, np.fromiter(counts.values(), np.int64, len(counts)), len(words)))
                 size += len(counts)
                 if size >= cells:
-                    yield row(docs, known)
+                    yield from rows(docs, known)
                     docs, known, size = [], defaultdict(itertools.count().__next__), 0
         if docs:
-            yield row(docs, known)
+            yield from rows(docs, known)
 
     return giving_back(run)
 
@@ -249,10 +268,11 @@ class Index:
         counted = rows.select("text").mapInArrow(_counted, "n long, total long").agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("total"), F.lit(0)))
         with batches_of(docs.sparkSession, BATCH_TEXTS):
             n, total = counted.first()
-        # A shard is a row group of its own, so that a reader holds one at a time.
+        # A shard is a file and, as the size of a row group is not reached, a row group of its own: one task reads it whole.
         shards = rows.mapInArrow(_indexing(n, total, cells), _INDEX)
+        sizes = {"maxRecordsPerFile": PIECES, "parquet.block.size": 1 << 30, "parquet.enable.dictionary": "false", "parquet.page.size": 1 << 18, "parquet.page.size.row.check.min": 1}
         with batches_of(docs.sparkSession, BATCH_TEXTS):
-            shards.write.option("parquet.block.size", 1 << 20).option("parquet.block.size.row.check.min", 1).option("parquet.block.size.row.check.max", 1).parquet(path)
+            shards.write.options(**sizes).parquet(path)
         return cls(docs.sparkSession, path, n)
 
     def rows(self) -> DataFrame:
@@ -265,7 +285,7 @@ class Index:
         """
         df = self.rows().select("terms", "dfs").mapInArrow(_frequencies(names), "number int, df long").groupBy("number").agg(F.sum("df").alias("df"))
         w = F.floor(F.lit(1000.0) * F.log(F.lit(float(2 * self.n + 2)) / (2 * F.col("df") + 1).cast("double")))
-        with batches_of(self.spark, 1):
+        with batches_of(self.spark, BATCH_PIECES, BATCH_PIECES):
             return {names[r["number"]]: r["w"] for r in df.select("number", w.cast("long").alias("w")).collect()}
 
     def search(self, items: DataFrame, top: int = 50, block_terms: int = BLOCK_TERMS) -> DataFrame:
@@ -285,7 +305,7 @@ class Index:
             hits = self.rows().drop("dfs").mapInArrow(_searching(block, top), "number int, doc_id long, score long")
             named = self.spark.createDataFrame([(i, r[0]) for i, r in enumerate(block)], f"number int, item_id {kind}")
             ranked = hits.withColumn("rank", F.row_number().over(Window.partitionBy("number").orderBy(F.desc("score"), F.asc_nulls_last("doc_id")))).where(F.col("rank") <= top)
-            with batches_of(self.spark, 1):
+            with batches_of(self.spark, BATCH_PIECES, BATCH_PIECES):
                 ranked.join(named, "number").select("item_id", "rank", "doc_id", "score").write.mode("append").parquet(found)
         return self.spark.read.schema(f"item_id {kind}, rank int, doc_id long, score long").parquet(found)
 
@@ -303,19 +323,18 @@ def _item_terms(kind: str):
 def _frequencies(names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(len(names), np.int64)
-        for b in batches:
-            for terms, dfs in zip(b.column(0), b.column(1)):
-                found = _places(terms.as_py(), names)
-                total[found >= 0] += dfs.values.to_numpy()[found[found >= 0]]
+        for shard in _shards(batches):
+            found = _places(shard["terms"], names)
+            total[found >= 0] += np.frombuffer(shard["dfs"], "<i4")[found[found >= 0]]
         held = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(held, pa.int32()), pa.array(total[held])], names=["number", "df"])
 
     return giving_back(run)
 
 
-def _places(terms: str, names: list[str]) -> np.ndarray:
+def _places(terms: bytes, names: list[str]) -> np.ndarray:
     """The row of each name among a shard's ``terms``, -1 if it is none of them."""
-    place = dict(zip(terms.split("\n"), itertools.count()))
+    place = dict(zip(terms.decode().split("\n"), itertools.count()))
     return np.array([place.get(t, -1) for t in names], np.int64)
 
 
@@ -326,22 +345,20 @@ def _searching(block: list[tuple], top: int):
         number = {t: i for i, t in enumerate(names)}
         items = [(np.array([number[t] for t in terms], np.int64), np.array(w, np.int64)) for _, terms, w in block]
         hits: list[list[tuple[int, int, bool]]] = [[] for _ in block]  # (-score, id, is null), sorted
-        for b in batches:
-            for at in range(b.num_rows):
-                row = {n: b.column(i)[at] for i, n in enumerate(b.schema.names)}
-                found = _places(row["terms"].as_py(), names)
-                tree = Tree(row["height"].as_py(), row["bits"].as_py(), row["top"].as_py(), row["drops"].as_py())
-                ids, nulls = np.frombuffer(row["ids"].as_py(), "<i8"), np.frombuffer(row["nulls"].as_py(), "u1")
-                level = tree.height - (len(ids) - 1).bit_length()
-                nodes = np.where(found >= 0, tree.rows_at(np.maximum(found, 0), level), tree.none)
-                for k, (mine, w) in enumerate(items):
-                    mine, w = mine[found[mine] >= 0], w[found[mine] >= 0]
-                    if not len(mine):
-                        continue
-                    floor = (-hits[k][-1][0], hits[k][-1][1]) if len(hits[k]) == top else None
-                    got = best(tree, level, found[mine], nodes[mine], w, ids, top, floor)
-                    if got:
-                        hits[k] = sorted([*hits[k], *((-s, int(ids[c]), bool(nulls[c])) for s, c in got if s > 0)])[:top]
+        for row in _shards(batches):
+            found = _places(row["terms"], names)
+            tree = Tree(row["height"], row["bits"], row["top"], row["drops"])
+            ids, nulls = np.frombuffer(row["ids"], "<i8"), np.frombuffer(row["nulls"], "u1")
+            level = tree.height - (len(ids) - 1).bit_length()
+            nodes = np.where(found >= 0, tree.rows_at(np.maximum(found, 0), level), tree.none)
+            for k, (mine, w) in enumerate(items):
+                mine, w = mine[found[mine] >= 0], w[found[mine] >= 0]
+                if not len(mine):
+                    continue
+                floor = (-hits[k][-1][0], hits[k][-1][1]) if len(hits[k]) == top else None
+                got = best(tree, level, found[mine], nodes[mine], w, ids, top, floor)
+                if got:
+                    hits[k] = sorted([*hits[k], *((-s, int(ids[c]), bool(nulls[c])) for s, c in got if s > 0)])[:top]
         out = [(k, None if null else i, -s) for k, rows in enumerate(hits) for s, i, null in rows]
         cols = list(zip(*out)) or [(), (), ()]
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int64(), pa.int64()))], names=["number", "doc_id", "score"])

@@ -84,3 +84,22 @@ def test_tree(shape):
         want = sorted((-s, c) for c, s in enumerate(score.tolist()) if s > 0)[:5]
         got = lexical.best(tree, tree.height - (shape[1] - 1).bit_length(), rows, nodes[rows], w, ids, 5, None)
         assert sorted((-s, c) for s, c in got if s > 0) == want
+
+
+def test_shards_are_read_whole(spark, small, tmp_path):
+    """A shard is one file of rows that hold a slice of each column: no row has a shard's bytes in one, and no split of files parts a shard."""
+    docs = [(r["doc_id"], r["text"]) for r in rows_of(spark, small, "documents")]
+    items = [(r["item_id"], r["text"]) for r in rows_of(spark, small, "benchmark")][:20]
+    index = lexical.Index.write(spark.createDataFrame(docs, "doc_id long, text string").repartition(3), str(tmp_path / "index"), 5000)
+    per_file = index.rows().selectExpr("_metadata.file_path as f", "octet_length(drops) as n").groupBy("f").agg({"*": "count", "n": "max", "f": "first"}).collect()
+    assert len(per_file) > 3 and {r["count(1)"] for r in per_file} == {lexical.PIECES}
+    whole = index.rows().selectExpr("_metadata.file_path as f", "octet_length(drops) as n").groupBy("f").sum("n").agg({"sum(n)": "max"}).first()[0]
+    assert max(r["max(n)"] for r in per_file) <= whole // lexical.PIECES + 1
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "10000")  # splits smaller than a file
+    try:
+        got = index.search(spark.createDataFrame(items, "item_id int, text string"), 5).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert bag(got) == bag(plain(docs, items, 5))
+    assert spark.conf.get("spark.sql.parquet.columnarReaderBatchSize") == "4096"
