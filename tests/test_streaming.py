@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -109,3 +111,23 @@ def test_late_rows_are_kept_once_over_a_crash(spark, monkeypatch):
     assert sorted(tuple(r) for r in got.select(*STG_BASE.fieldNames()).collect()) == want
     assert got.select("epoch").distinct().count() == 1
     assert spark.read.parquet(stg).select("record_hash").distinct().count() == spark.read.parquet(stg).count()
+
+
+def test_state_is_on_disk_and_the_session_keeps_its_settings(spark):
+    """The keys of the stream are in RocksDB, not in maps that each micro-batch copies; what a session sets itself stays."""
+    raw = fx1_raw(spark, SF_SMALL).select(*RAW.fieldNames())
+    landing, out, ckpt = (scratch_path(spark, n) for n in ("land5", "versions5", "ckpt5"))
+    raw.repartition(2).write.parquet(landing)
+    before = spark.conf.getAll
+    info = S.stream_versions(spark, landing, out, ckpt, flows.RUN_TS, max_files=1)
+    assert spark.conf.getAll == before
+    assert info["rows"] == raw.count() == spark.read.parquet(out).count() + info["duplicates"]
+    kinds = {p.suffix for p in Path(ckpt.removeprefix("file:")).glob("state/**/*") if p.is_file()}
+    assert kinds & {".changelog", ".zip"} and ".delta" not in kinds
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", HDFS := "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider")
+    try:
+        S.stream_versions(spark, landing, scratch_path(spark, "versions6"), ckpt := scratch_path(spark, "ckpt6"), flows.RUN_TS)
+        assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == HDFS
+    finally:
+        spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
+    assert ".delta" in {p.suffix for p in Path(ckpt.removeprefix("file:")).glob("state/**/*")}
