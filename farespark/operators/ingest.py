@@ -125,7 +125,9 @@ def dedupe_latest(df: DataFrame, key: str = "record_hash", order: tuple[str, ...
 
 def to_stg_base(raw: DataFrame, run_ts: dt.datetime, params: Params = DEFAULT) -> DataFrame:
     """normalize -> de-duplicate: the rows an upsert of this batch applies."""
-    return dedupe_latest(normalize(raw, run_ts, params)).select(*STG_BASE.fieldNames())
+    # The hash goes through the shuffle as its 32 bytes instead of their text.
+    rows = normalize(raw, run_ts, params).withColumn("record_hash", F.unhex("record_hash"))
+    return dedupe_latest(rows).withColumn("record_hash", F.lower(F.hex("record_hash"))).select(*STG_BASE.fieldNames())
 
 
 def above_watermark(df: DataFrame, column: str, watermark) -> DataFrame:

@@ -153,6 +153,7 @@ def commit(
     replaced: Iterable[str] = (),
     order: tuple[str, ...] = (),
     seen: Observation | None = None,
+    placed: bool = False,
 ) -> int:
     """Writes ``rows`` and publishes ``base`` with them; returns the version's number.
 
@@ -164,7 +165,7 @@ def commit(
     if base is not None:
         rows = M.conform(rows, spark.createDataFrame([], base.schema))
     name = f"{COMMIT}={number:08d}-{uuid.uuid4().hex[:12]}"
-    M.write(rows, f"{path}/{DATA}/{name}", "errorifexists", partition_col, order=order, seen=seen)
+    M.write(rows, f"{path}/{DATA}/{name}", "errorifexists", partition_col, placed, order=order, seen=seen)
     written = [n for n in _names(spark, f"{path}/{DATA}/{name}") if n.startswith(f"{partition_col}=")]
     gone = set(replaced)
     before = {} if base is None else base.partitions
@@ -240,10 +241,10 @@ def widened(base: Version, rows: DataFrame) -> Version:
     return replace(base, schema=T.StructType(fields))
 
 
-def append(spark: SparkSession, rows: DataFrame, path: str, partition_col: str, order: tuple[str, ...] = (), widen: bool = False) -> int:
-    """Adds rows (A9): all of them or, if the run dies, none. ``widen`` lets wider columns widen the table's."""
+def append(spark: SparkSession, rows: DataFrame, path: str, partition_col: str, order: tuple[str, ...] = (), widen: bool = False, placed: bool = False) -> int:
+    """Adds rows (A9): all of them or, if the run dies, none. ``widen`` lets wider columns widen the table's; ``placed`` as in materialize.append."""
     base = _to_change(spark, path, partition_col)
-    return commit(spark, rows, path, partition_col, widened(base, rows) if widen and base else base, order=order)
+    return commit(spark, rows, path, partition_col, widened(base, rows) if widen and base else base, order=order, placed=placed)
 
 
 def upsert(

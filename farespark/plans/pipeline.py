@@ -142,10 +142,11 @@ def append_ods(spark: SparkSession, layout: Layout, params: Params = DEFAULT):
     new = models.ods(models.stg(stg.select(*STG_BASE.fieldNames())), params)
     new = with_column_docs(above_watermark(new, "captured_at", wm))
     order = ("route_key", "departure_at", "captured_at")
+    # ODS has the partitions of STG, and no step between them moves rows: files of a day are read and written as such.
     if store is V:
-        V.append(spark, _with_cap_date(new), layout.ods, "captured_date", order=order, widen=params.widen_types)
+        V.append(spark, _with_cap_date(new), layout.ods, "captured_date", order=order, widen=params.widen_types, placed=True)
     else:
-        M.append(_with_cap_date(new), layout.ods, "captured_date", order=order)
+        M.append(_with_cap_date(new), layout.ods, "captured_date", order=order, placed=True)
     return wm
 
 

@@ -140,3 +140,44 @@ def test_stream_counts_cover_more_batches_than_the_progress_list(spark):
     finally:
         spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
     assert info["rows"] == 50 and info["batches"] >= 5
+
+
+def test_upsert_writes_new_days_once(spark, monkeypatch):
+    """Days that the table lacks are moved in as staged; a run that dies before all are there leaves none, and its replay all."""
+    def day(d, price, n=3):
+        return [(f"{d}-{i}", price, dt.datetime(2024, 3, d), dt.date(2024, 3, d)) for i in range(n)]
+
+    def upsert(rows):
+        df = spark.createDataFrame(rows, "k string, price double, ingested_at timestamp_ntz, day date")
+        return M.upsert_partitioned(spark, df, path, "k", ["price", "ingested_at"], "day")
+
+    path, written = scratch_path(spark, "moved"), []
+    write = M.write
+    monkeypatch.setattr(M, "write", lambda df, *a, **kw: (written.append(a[0].rsplit("/", 1)[1]), write(df, *a, **kw))[1])
+    assert upsert(day(1, 1.0) + day(2, 1.0)) == 6
+    written.clear()
+    assert upsert(day(3, 2.0) + day(4, 2.0)) == 6 and written == ["batch"]  # neither joined nor written again
+    fs = spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    before = rows(spark.read.parquet(path))
+    with monkeypatch.context() as m:
+        m.setattr(M, "finish_swap", lambda *a: None if not fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{M.SWAP}")) else 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            upsert(day(4, 3.0) + day(5, 3.0))
+    assert rows(spark.read.parquet(path)) == before
+    fs.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{M.SWAP}/rows/_SUCCESS"), False)  # as if it had died a step before
+    M.finish_swap(spark, path, "day")
+    assert rows(spark.read.parquet(path)) == before
+    assert upsert(day(4, 3.0, 1) + day(5, 3.0)) == 4
+    got = {(r.k, r.price) for r in spark.read.parquet(path).collect()}
+    want = day(1, 1.0) + day(2, 1.0) + day(3, 2.0) + day(4, 3.0, 1) + day(4, 2.0)[1:] + day(5, 3.0)
+    assert got == {w[:2] for w in want} and spark.read.parquet(path).count() == len(want)
+
+
+def test_ods_is_appended_without_a_shuffle(spark, monkeypatch):
+    plans, write = [], M.write
+    monkeypatch.setattr(M, "write", lambda df, path, *a, **kw: (plans.append((path, a[2] if len(a) > 2 else kw.get("placed", False))), write(df, path, *a, **kw))[1])
+    layout = run(spark, "placed")
+    ods = [placed for path, placed in plans if path == layout.ods]
+    assert ods and all(ods)
+    days = [len({p.split("captured_date=")[1].split("/")[0] for p in spark.read.parquet(layout.ods).inputFiles()}), len(spark.read.parquet(layout.ods).inputFiles())]
+    assert days[1] <= 3 * days[0]
