@@ -30,7 +30,7 @@ def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def passages_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cuts passages of 400 bytes and more that occur more than once."""
+    """Cuts passages of 400 bytes and more that occur more than once, and of 50 words and more that several documents hold."""
     return passages.cut_repeats(docs)
 
 

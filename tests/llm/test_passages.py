@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import re
 from collections import Counter
 
 import numpy as np
@@ -67,6 +68,66 @@ def test_runs_and_periods(spark):
     assert bag(got) == bag((r[0], *r[2:]) for r in naive(docs, passages.LENGTH))
 
 
+def words_and_bytes(texts: list[str], words: int, length: int) -> list[bytes]:
+    """What is left after cutting windows of ``length`` bytes found anywhere else and of ``words`` words found in other rows."""
+    data = [t.encode() for t in texts]
+    seen = Counter(d[i : i + length] for d in data for i in range(len(d) - length + 1))
+    places = [[m.span() for m in re.finditer(rb"[^\x20\x09-\x0D]+", d)] for d in data]
+    window = lambda d, p, i: b" ".join(d[a:b] for a, b in p[i : i + words])
+    rows = Counter(w for d, p in zip(data, places) for w in {window(d, p, i) for i in range(len(p) - words + 1)})
+    out = []
+    for d, p in zip(data, places):
+        gone = np.zeros(len(d), bool)
+        for i in range(len(d) - length + 1):
+            if seen[d[i : i + length]] > 1:
+                gone[i : i + length] = True
+        for i in range(len(p) - words + 1):
+            if rows[window(d, p, i)] > 1:
+                gone[p[i][0] : p[i + words - 1][1]] = True
+        out.append(bytes(np.frombuffer(d, np.uint8)[~gone]).decode("utf-8", "ignore").encode())
+    return out
+
+
+def test_stage_cuts_short_passages_of_many_words(spark):
+    """Over 50 words in fewer than 400 bytes: not a repeat by bytes, but one by words, in two documents or more."""
+    passage = " ".join(f"w{i}" for i in range(53))
+    assert len(passage) < passages.LENGTH
+    alone = " ".join(f"x{i}" for i in range(53))
+    docs = [(0, f"one {passage} end"), (1, "two\n" + passage.replace(" ", "\n") + " fin"), (2, f"{alone} and again {alone}"), (3, " ".join(passage.split()[:49])), (4, None), (None, f"no id {passage}")]
+    got = {r["doc_id"]: r["text"] for r in passages.cut_repeats(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == {0: "one  end", 1: "two\n fin", 2: docs[2][1], 3: docs[3][1], 4: None, None: "no id "}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_words_against_all_windows(spark, seed):
+    """Passages over one another, in copies, in rows that come twice, in runs of one word and of short periods."""
+    rng = np.random.default_rng(seed)
+    say = lambda n, of=60: " ".join(rng.choice([f"é{i}" if i % 7 == 0 else f"w{i}" for i in range(of)], n))
+    base = [say(90).split() for _ in range(5)]
+    texts = ["a " * 300, "x " + "a " * 70 + "y", "a " * 49, "p q r " * 60, "s " + "q r p " * 25, ""]
+    for _ in range(40):
+        t = base[rng.integers(5)]
+        lo, n = int(rng.integers(40)), int(rng.integers(20, 80))
+        sep = rng.choice([" ", "\n", " \t"])
+        texts.append(say(int(rng.integers(30)), 400) + " " + sep.join(t[lo : lo + n]) + " " + say(int(rng.integers(30)), 400))
+    texts += texts[-3:]
+    docs = [(i, t) for i, t in enumerate(texts)] + [(6, texts[6])]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    got = [(r["doc_id"], r["text"].encode()) for r in passages.cut_repeats(df).collect()]
+    assert bag(got) == bag(zip([i for i, _ in docs], words_and_bytes([t for _, t in docs], passages.WORDS, passages.LENGTH)))
+
+
+def test_word_anchors_of_long_texts(monkeypatch):
+    """Few anchors in runs and periods; stretches own all windows once."""
+    assert len(list(passages.word_anchors(b"z " * 500_000))) <= 8
+    data = " ".join(f"w{i * i % 997}" for i in range(3000)).encode()
+    monkeypatch.setattr(passages, "_STRETCH_WORDS", 700)
+    found = list(passages.word_anchors(data))
+    assert [w for r in found for w in range(r[2], r[4] + 1)] == list(range(3000 - passages.WORDS + 1))
+    split = data.split()
+    assert all(data[r[5] : r[6]] == b" ".join(split[r[2] : r[3] + passages.WORDS]) for r in found)
+
+
 def test_columns_of_any_name(spark):
     same = "the same passage in both of them, word by word; " * 12
     docs = spark.createDataFrame([(0, "a " + same, 1, "x", 2, 3), (1, "b " + same, 4, "y", 5, 6)], "doc_id long, text string, _cut int, _spans string, _SPAN_ID int, _span_hash int")
