@@ -98,6 +98,17 @@ def test_stage_cuts_short_passages_of_many_words(spark):
     assert got == {0: "one  end", 1: "two\n fin", 2: docs[2][1], 3: docs[3][1], 4: None, None: "no id "}
 
 
+def test_op5_goes_by_bytes_only(spark, tmp_path):
+    """The contract's 400 bytes decide, not the stage's words: a passage of 60 words and 399 bytes stays, one of 400 goes."""
+    passage = " ".join(f"w{i:04d}" for i in range(60)) + "x" * 41
+    assert len(passage) == 400 == passages.LENGTH and len(passage.split()) > passages.WORDS
+    docs = [(0, f"<{passage[:-1]}>"), (1, f"({passage[:-1]})"), (2, f"[{passage[::-1]}]"), (3, f"{{{passage[::-1]}}}")]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = passages.op5_suffix_array(spark, str(tmp_path)).collect()
+    assert bag(got) == bag(naive(docs, passages.LENGTH))
+    assert {r["doc_id"]: (r["n_bytes"], r["n_removed"]) for r in got} == {0: (401, 0), 1: (401, 0), 2: (402, 400), 3: (402, 400)}
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_words_against_all_windows(spark, seed):
     """Passages over one another, in copies, in rows that come twice, in runs of one word and of short periods."""
